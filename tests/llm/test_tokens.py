@@ -1,0 +1,95 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from strata_spark.llm import bpe, token_files
+from strata_spark.llm.queries import word_bpe
+
+from .conftest import ODD
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(word_bpe())
+
+
+@pytest.fixture(scope="module")
+def ours():
+    return bpe.tokenizer(word_bpe())
+
+
+def same(library, ours, text):
+    want = library.encode(text, add_special_tokens=False).ids
+    got = ours.encode(text)
+    assert np.frombuffer(got, "<u4").tolist() == want
+    assert ours.decode(got) == library.decode(want, skip_special_tokens=False)
+
+
+@settings(max_examples=200, deadline=None)
+@given(text=st.text(st.characters(exclude_categories=("Cs", "Cn")), max_size=60))  # not those that only newer Unicode tables know
+def test_any_text(library, ours, text):
+    same(library, ours, text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(parts=st.lists(st.sampled_from(["th", "e", "in", "g", "an", "!", "é", "1", "ß", "'s", "ea", "Σ", "ion", "</w>", " ", "\n", "<|endoftext|>", "́", "aa", "\x1c", "Ġ"]), max_size=25))
+def test_pieces(library, ours, parts):
+    same(library, ours, "".join(parts))
+
+
+def test_every_token_encodes_to_itself(ours):
+    for i, size in enumerate(ours.sizes):
+        if size == 1:
+            continue
+        left, right = ours.split[i]
+        assert ours.merged[left, right] == i
+    r = random.Random(0)
+    words = [bytes(r.choice(b"abcdehinorst") for _ in range(r.randint(1, 40))) for _ in range(500)]
+    for w in words:  # greedy merging by rank
+        parts = [ours.by_text[chr(b)] for b in w[:-1]] + [ours.by_text[chr(256 + w[-1])]]
+        while pairs := [(ours.merged[p], k) for k, p in enumerate(zip(parts, parts[1:], strict=False)) if p in ours.merged]:
+            whole, k = min(pairs)
+            parts[k : k + 2] = [whole]
+        assert ours.encode_word(w) == parts
+
+
+def test_odd_documents(spark, library, odd_docs, no_docs):
+    got = bpe.decode(bpe.encode(odd_docs, word_bpe()), word_bpe()).collect()
+    assert len(got) == len(ODD) + 1
+    for r in got:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert np.frombuffer(r.token_ids, "<u4").tolist() == ids and r.n_tokens == len(ids)
+        assert r.decoded == library.decode(ids, skip_special_tokens=False)
+    assert bpe.encode(no_docs, word_bpe()).count() == 0
+
+
+def test_token_files(spark, library, odd_docs, no_docs):
+    docs = odd_docs.repartition(3)
+    got = token_files.digests(docs, word_bpe()).collect()
+    rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""))
+    want, start = [], 0
+    for r in rows:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids + [token_files.END]
+        want.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, got), key=lambda x: x[1]) == want
+    assert token_files.digests(no_docs, word_bpe()).count() == 0
+
+
+def test_token_files_prune(spark, tmp_path):
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    token_files.write(docs, word_bpe(), str(tmp_path / "f"))
+    one = token_files.read(spark, str(tmp_path / "f")).where("doc_id = 1234")
+    assert one.count() == 1
+    assert "EqualTo(doc_id,1234)" in one._jdf.queryExecution().toString()
+
+
+def test_hashes(spark, odd_docs):
+    got = bpe.encode(odd_docs, word_bpe()).selectExpr("text", "sha2(token_ids, 256) as h").collect()
+    assert all(r.h == hashlib.sha256(bpe.tokenizer(word_bpe()).encode(r.text)).hexdigest() for r in got)
