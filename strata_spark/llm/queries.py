@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, media, secrets, token_files
+from . import bpe, decontam, media, neardup, secrets, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,9 +38,13 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.described(media.features(media.store(docs).drop("text")))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(_table(spark, sf_dir, "documents"), word_bpe())
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_decontamination": op2_decontamination, "op4_secrets": op4_secrets, "op5_media": op5_media, "op8_token_files": op8_token_files}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_secrets, op5_media, op6_near_duplicates, op8_token_files)}
 ORACLE: dict[str, str] = {}
