@@ -5,9 +5,9 @@ shingles, shown as its truncated logarithm, so registers of a union are the larg
 registers give bucket keys. Within a bucket, documents are compared with a pivot: the joint likelihood of
 the registers gives an estimate, and pairs it doesn't rule out are compared on their whole shingle sets.
 
-Buckets aren't paired off. Documents linked with the pivot lie in its group already; those far from it can't
-be linked with those near to it, by the triangle inequality of the Jaccard distance; so a bucket falls into a
-near and a far part, of which only those with several groups left go on with another pivot.
+Buckets aren't paired off. First, each document of a bucket is compared with the bucket's least; links join
+groups. Then only buckets with members of several groups go on: their members' registers are compared in
+blocks of bounded size, and of the pairs across groups only those go on that the likelihood doesn't rule out.
 
 With 36 bands of 4 registers a link of similarity 0.75 shares no bucket with probability 1e-6.
 """
@@ -15,7 +15,7 @@ With 36 bands of 4 registers a link of similarity 0.75 shares no bucket with pro
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lower_words, mix64, staged
@@ -26,12 +26,12 @@ SHINGLE = 5
 PERCENT = 75
 REGISTERS, ROWS = 144, 4
 BASE, RATE, TOP = 1.001, 20.0, 65534
-#: Estimates have a standard error under 0.04. Below MAYBE pairs aren't compared; up to FAR they are far apart.
-MAYBE, FAR = 0.55, 0.3
+#: Estimates have a standard error under 0.04; pairs with one below MAYBE aren't compared on their sets.
+MAYBE = 0.58
 #: Copies of a pivot that members are compared with in different tasks.
 SALTS = 64
-#: Rounds of pivots, after which pairs of different groups that are left in a bucket are compared one by one.
-PIVOT_ROUNDS = 6
+#: Members of a bucket whose registers are compared with those of as many others in one step.
+BLOCK = 1024
 
 _SEEDS = mix64(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MULTIPLY, _ADD = _SEEDS[:REGISTERS] | np.uint64(1), _SEEDS[REGISTERS:]
@@ -144,30 +144,48 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("id"), pa.array(np.where(100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m), estimate(a, b, n, m), np.minimum(estimate(a, b, n, m), 0.5)))], ["pivot", "id", "similar"])
 
     of_pivot = classes.select(F.col("id").alias("pivot"), F.col("n").alias("n_p"), F.col("sketch").alias("sketch_p"))
-    return pairs.join(classes, "id").join(of_pivot, "pivot").select("pivot", "id", "n", "n_p", "sketch", "sketch_p").mapInArrow(run, "pivot long, id long, similar double")
+    return pairs.join(classes.drop("items"), "id").join(of_pivot, "pivot").select("pivot", "id", "n", "n_p", "sketch", "sketch_p").mapInArrow(run, "pivot long, id long, similar double")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _common(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Which of many's values the sorted array one has."""
+    return one[np.minimum(np.searchsorted(one, many), len(one) - 1)] == many
+
+
+def _sets(docs: DataFrame, text: str) -> DataFrame:
+    """(id, n, items): the whole shingle sets, as packed 64-bit integers."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [shingles(lower_words(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "items"])
+
+    return docs.select("id", text).mapInArrow(run, "id long, items binary")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (pivot, id) whose whole shingle sets are similar enough.
 
-    A pivot's text goes to SALTS tasks at most, and each member to one of them; a task holds one pivot's set.
+    A pivot's set goes to SALTS tasks at most, and each member to one of them; a task holds one pivot's set.
     """
 
     def run(batches):
         import pyarrow as pa
 
-        at, sets = None, []
+        at, heads = None, []
         for batch in batches:
             pivots, ids = [], []
-            for pivot, salt, member, text in zip(*(batch.column(c).to_pylist() for c in ("pivot", "salt", "id", "text")), strict=True):
+            for pivot, salt, member, items in zip(*(batch.column(c).to_pylist() for c in ("pivot", "salt", "id", "items")), strict=True):
                 if (pivot, salt) != at:
-                    at, sets = (pivot, salt), []
-                s = shingles(lower_words(text))
+                    at, heads = (pivot, salt), []
+                s = np.frombuffer(items, np.uint64)
                 if member is None:
-                    sets.append(s)
+                    heads.append(s)
                     continue
-                for p in sets:
-                    common = len(np.intersect1d(p, s, assume_unique=True))
+                for p in heads:
+                    common = int(_common(p, s).sum())
                     if 100 * common >= PERCENT * (len(p) + len(s) - common):
                         pivots.append(pivot)
                         ids.append(member)
@@ -175,13 +193,80 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(pivots, pa.int64()), pa.array(ids, pa.int64())], ["pivot", "id"])
 
     pairs = pairs.select("pivot", "id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
-    members = pairs.join(texts, "id").select("pivot", "salt", "id", "text")
-    heads = pairs.select("pivot", "salt").distinct().join(texts.withColumnRenamed("id", "pivot"), "pivot").select("pivot", "salt", F.lit(None).cast("long").alias("id"), "text")
+    members = pairs.join(sets, "id").select("pivot", "salt", "id", "items")
+    heads = pairs.select("pivot", "salt").distinct().join(sets.withColumnRenamed("id", "pivot"), "pivot").select("pivot", "salt", F.lit(None).cast("long").alias("id"), "items")
     rows = members.unionByName(heads).repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", F.col("id").asc_nulls_first())
     return rows.mapInArrow(run, "pivot long, id long").distinct()
 
 
-def link(docs: DataFrame, text: str = "text", pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
+def _links_of_block(key: int, rows: list) -> list[tuple[int, int]]:
+    """Links across groups between two blocks of a bucket, or within one: (side, id, label, n, sketch, items) each.
+
+    A pair that shares several buckets is looked at in the one of its first common band. Its registers must
+    allow the similarity by their likelihood; then the whole sets are compared. Groups that a link joins are one.
+    """
+    side, ids, labels, n, registers, items = (np.array(x, object) if k == 5 else np.array(x) for k, x in enumerate(zip(*rows, strict=True)))
+    registers = np.frombuffer(b"".join(registers.tolist()), np.uint16).reshape(len(rows), REGISTERS)
+    bands = registers.view(np.uint64)
+    here = int(np.argmax(band_keys(registers[:1])[0].view(np.int64) == key))
+    one, two = (np.flatnonzero(side == s) for s in (0, 1 if (side == 1).any() else 0))
+    found = []
+    for i in one:
+        j = two[labels[two] != labels[i]]
+        j = j[100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])]
+        j = j[(bands[j] == bands[i]).argmax(axis=1) == here]
+        j = j[(registers[j] == registers[i]).sum(axis=1) >= (MAYBE - 0.05) * REGISTERS]
+        if not len(j):
+            continue
+        similar = estimate(np.broadcast_to(registers[i], (len(j), REGISTERS)), registers[j], np.full(len(j), float(n[i])), n[j].astype(float))
+        j = j[similar >= MAYBE]
+        if not len(j):
+            continue
+        mine, theirs = np.frombuffer(items[i], np.uint64), [np.frombuffer(items[k], np.uint64) for k in j]
+        sizes = np.array([len(t) for t in theirs])
+        common = np.add.reduceat(_common(mine, np.concatenate(theirs)).astype(np.int64), np.cumsum(sizes) - sizes)
+        for k in j[100 * common >= PERCENT * (len(mine) + sizes - common)]:
+            if labels[k] != labels[i]:
+                found.append((int(ids[i]), int(ids[k])))
+                labels[labels == labels[k]] = labels[i]
+    return found
+
+
+def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """Links (pivot, id) between different groups in the buckets of live (key, id, label).
+
+    Members are cut into blocks by group; blocks of one and the same group don't meet.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        def close():
+            found = _links_of_block(at[0], rows) if rows else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["pivot", "id"])
+
+        at, rows = None, []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("key", "x", "y", "side", "id", "label", "n", "sketch", "items"))
+            for key, x, y, *row in zip(*columns, strict=True):
+                if (key, x, y) != at:
+                    yield close()
+                    at, rows = (key, x, y), []
+                rows.append(row)
+        yield close()
+
+    by_group = Window.partitionBy("key").orderBy("label", "id")
+    blocks = staged(live.withColumn("block", F.floor((F.row_number().over(by_group) - 1) / size).cast("int")), "blocks")
+    groups = blocks.groupBy("key", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    other = groups.select("key", F.col("block").alias("y"), F.col("lo").alias("lo_y"), F.col("hi").alias("hi_y"))
+    meet = groups.withColumnRenamed("block", "x").join(other, "key").where("x <= y and (lo < hi or lo_y < hi_y or lo <> lo_y)").select("key", "x", "y")
+    left = blocks.join(meet.withColumn("block", F.col("x")), ["key", "block"]).withColumn("side", F.lit(0))
+    right = blocks.join(meet.where("x < y").withColumn("block", F.col("y")), ["key", "block"]).withColumn("side", F.lit(1))
+    rows = left.unionByName(right).drop("block").join(classes, "id").select("key", "x", "y", "side", "id", "label", "n", "sketch", "items")
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "pivot long, id long").distinct()
+
+
+def link(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs.
 
     Words lie between white space, A-Z lower-cased; a set has the distinct shingles of 5 words. component_id is
@@ -195,46 +280,29 @@ def link(docs: DataFrame, text: str = "text", pivot_rounds: int = PIVOT_ROUNDS)
     classes = staged(sets.join(of_content, "content").where("doc_id = id").select("id", "n", "sketch").distinct(), "classes")
     live = staged(_buckets(classes), "buckets")
     ids = live.select("id").distinct()
-    texts = staged(docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id"), "texts")
-    classes = staged(classes.join(ids, "id"), "classes")
-    live = live.withColumn("label", F.col("id"))
-    links = labels = None
-    for turn in range(pivot_rounds + 1):
-        live = staged(_several_groups(live), "live")
-        if live.isEmpty():
-            break
-        if turn < pivot_rounds:
-            pivots = live.groupBy("key").agg(F.min(F.struct("id", "label")).alias("p")).select("key", F.col("p.id").alias("pivot"), F.col("p.label").alias("pivot_label"))
-            live = live.join(pivots, "key").where("id <> pivot")
-            pairs = live.where("label <> pivot_label").select("pivot", "id").distinct()
-        else:
-            other = live.select("key", F.col("id").alias("pivot"), F.col("label").alias("pivot_label"))
-            pairs = live.join(other, "key").where("pivot < id and label <> pivot_label").select("pivot", "id").distinct()
-        similar = staged(_estimated(pairs, classes).groupBy("pivot", "id").agg(F.max("similar").alias("similar")), "estimates")
-        found = staged(_linked(similar.where(F.col("similar") >= MAYBE), texts), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = staged(components(links.select(F.col("pivot").alias("a"), F.col("id").alias("b"))), "labels")
-        if turn == pivot_rounds:
-            break
-        relation = similar.join(found.withColumn("linked", F.lit(True)), ["pivot", "id"], "left")
-        parts = F.when(F.col("linked"), F.array(F.lit(0))).when(F.col("similar") <= FAR, F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))
-        live = live.join(relation, ["pivot", "id"], "left").select(F.explode(parts).alias("part"), "key", "id").select(F.xxhash64("key", "part").alias("key"), "id")
-        live = live.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    items = _sets(docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id"), "text")
+    classes = staged(classes.join(items.withColumn("n", (F.octet_length("items") / 8).cast("long")), ["id", "n"]).distinct(), "classes")
+    sets = classes.select("id", "items")
+    pivots = live.groupBy("key").agg(F.min("id").alias("pivot"))
+    pairs = live.join(pivots, "key").where("id <> pivot").select("pivot", "id").distinct()
+    similar = _estimated(pairs, classes).where(F.col("similar") >= MAYBE).select("pivot", "id").distinct()
+    links = staged(_linked(similar, sets), "links")
+    labels = components(links.select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+    grouped = live.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    mixed = grouped.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
+    more = staged(_linked_in_buckets(grouped.join(mixed, "key"), classes, block), "links")
+    if not more.isEmpty():
+        # Groups of the first step are nodes now.
+        of = labels.select(F.col("node").alias("pivot"), F.col("label").alias("a")), labels.select(F.col("node").alias("id"), F.col("label").alias("b"))
+        edges = more.join(of[0], "pivot", "left").join(of[1], "id", "left").select(F.coalesce("a", "pivot").alias("a"), F.coalesce("b", "id").alias("b"))
+        upper = components(edges).select(F.col("node").alias("label"), F.col("label").alias("upper"))
+        labels = labels.join(upper, "label", "left").select("node", F.coalesce("upper", "label").alias("label")).unionByName(upper.select(F.col("label").alias("node"), F.col("upper").alias("label"))).distinct()
     out = rows.join(of_content, "content", "left").withColumn("id", F.when(F.col("n") > 0, F.col("id")))
-    if labels is not None:
-        out = out.join(labels.withColumnRenamed("node", "id"), "id", "left")
-    else:
-        out = out.withColumn("label", F.lit(None).cast("long"))
+    out = out.join(labels.withColumnRenamed("node", "id"), "id", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _several_groups(live: DataFrame) -> DataFrame:
-    """The buckets that hold members of two groups or more."""
-    mixed = live.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    return live.join(mixed, "key")
-
-
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs with one document of each group: the smallest doc_id; rows without a doc_id stay."""
     gone = link(docs, text).where("not kept").select("doc_id").distinct()

@@ -53,10 +53,10 @@ def fixture(n=240, seed=5):
 
 
 def test_against_brute_force(spark):
-    for seed, rounds in ((5, neardup.PIVOT_ROUNDS), (6, 1)):  # with the default, and with most left to the exact end
+    for seed, block in ((5, neardup.BLOCK), (6, 3)):  # buckets in one block, and in several
         docs = fixture(seed=seed)
         df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-        got = sorted(map(tuple, neardup.link(df, pivot_rounds=rounds).collect()))
+        got = sorted(map(tuple, neardup.link(df, block=block).collect()))
         assert got == brute(docs)
         assert len({x[2] for x in got}) < len(docs) - 50
 
