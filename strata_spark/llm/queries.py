@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, lm, media, neardup, quality, secrets, token_files
+from . import bpe, decontam, html, licenses, lm, media, neardup, quality, secrets, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,5 +56,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(_table(spark, sf_dir, "documents"), word_bpe())
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_decontamination, op3_language_model, op4_secrets, op5_media, op6_near_duplicates, op7_quality, op8_token_files)}
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.described(licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_bpe, op2_decontamination, op3_language_model, op4_secrets, op5_media, op6_near_duplicates, op7_quality, op8_token_files, op9_licenses, op10_html)
+}
 ORACLE: dict[str, str] = {}
