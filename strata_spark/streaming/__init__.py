@@ -1,0 +1,12 @@
+"""Draws on streams: a Bernoulli draw needs no state, so new households can be sampled as they arrive."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..operators.sampling import draw_bernoulli
+
+
+def draw_stream(households: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+    """A streaming DataFrame of households (with dept) joined with static targets and drawn by hash."""
+    return draw_bernoulli(households, targets, seed)
