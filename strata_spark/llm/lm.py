@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, Memo, by_bytes, drop_path, mix64, work_path
 
 #: Text of a chunk; a longer document is a chunk of its own.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Keys are sent in six bytes beside their part.
 KEY_BYTES = 6
 BUCKETS = 40
