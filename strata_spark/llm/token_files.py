@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, by_bytes, work_path
+from .bpe import WORD
+from .common import by_bytes, work_path
 
 #: Documents are separated by this id.
 END = 2
@@ -21,7 +23,14 @@ STRIPE_BYTES, INDEX_STRIDE, BLOOM_FPP = 16 << 20, 5000, 0.01
 
 
 class _Library:
-    """The tokenizers library, asked once for each run without white space: its pattern never joins two runs."""
+    """The tokenizers library, asked once for each run without white space, which its pattern never joins with another.
+
+    Runs of plain Latin letters and marks are split into the pattern's words first, and many new words are
+    asked for in one text; the token that ends a word says where the next one begins.
+    """
+
+    #: Runs and words that are remembered.
+    MOST = 600_000
 
     def __init__(self, path: str):
         import regex
@@ -30,21 +39,48 @@ class _Library:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        self.space = regex.compile(r"[\t-\r\x20\x85\xa0  -     　]+")
-        self.odd = regex.compile(r"[\x1c-\x1f]")
         self.kind = np.uint16 if self.model.get_vocab_size() <= 1 << 16 else np.uint32
-        self.of_chunk = Memo(lambda c: self._pack(self.model.encode(c, add_special_tokens=False).ids))
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        for token, i in self.model.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = token.endswith("</w>")
+        self.space = regex.compile(r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+        self.odd = regex.compile(r"[\x1c-\x1f]")
+        self.plain = regex.compile(r"[!-~¡-įı-ž]+").fullmatch  # letters that are as normalisation leaves them, one for one in lower case
+        self.split = regex.compile(WORD).findall
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
+    def _learn(self, runs: set[str]) -> None:
+        split = {c: self.split(c.lower()) for c in runs if self.plain(c) and "<|" not in c}
+        new = list(set(chain.from_iterable(split.values())) - self.words.keys())
+        size = self.kind().itemsize
+        for at in range(0, len(new), 5000):
+            part = new[at : at + 5000]
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            cut = [0, *((np.flatnonzero(self.ends[ids]) + 1) * size).tolist()]
+            data = ids.tobytes()
+            self.words.update((w, data[a:b]) for w, a, b in zip(part, cut[:-1], cut[1:], strict=True))
+        words = self.words.__getitem__
+        self.known.update((c, b"".join(map(words, parts))) for c, parts in split.items())
+        rest = [c for c in runs if c not in split]
+        if rest:
+            self.known.update((c, self._pack(e.ids)) for c, e in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False), strict=True))
+        if len(self.words) > self.MOST:
+            self.words.clear()
+
     def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths, and all ids in one array; END follows each text."""
-        end, of_chunk, packed = self._pack([END]), self.of_chunk.__getitem__, []
-        for text in texts:
-            text = text or ""
-            chunks = self.space.split(text) if self.odd.search(text) else text.split()
-            packed.append(b"".join(map(of_chunk, chunks)) + end)
+        runs = [self.space.split(t) if self.odd.search(t) else t.split() for t in ((x or "") for x in texts)]
+        distinct = set(chain.from_iterable(runs))
+        if missing := distinct - self.known.keys():
+            self._learn(missing)
+        end, known = self._pack([END]), self.known.__getitem__
+        packed = [b"".join(map(known, doc)) + end for doc in runs]
+        if len(self.known) > self.MOST:
+            self.known = {c: self.known[c] for c in distinct if len(c) <= 64} if len(distinct) < self.MOST // 2 else {}
         return np.array([len(p) for p in packed]) // self.kind().itemsize, np.frombuffer(b"".join(packed), self.kind)
 
 
