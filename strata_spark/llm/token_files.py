@@ -19,6 +19,8 @@ from .common import by_bytes, work_path
 
 #: Documents are separated by this id.
 END = 2
+#: Offsets of so many files, a few bytes each, are broadcast; those of more are joined by shuffling.
+BROADCAST_PARTS = 100_000
 STRIPE_BYTES, INDEX_STRIDE, BLOOM_FPP = 16 << 20, 5000, 0.01
 
 
@@ -130,7 +132,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema("doc_id long, part int, part_start long, n_tokens int, ids array<int>").orc(path)
     parts = rows.groupBy("part").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("long").alias("part_offset"))
+    offsets = parts.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("long").alias("part_offset"))
+    parts = F.broadcast(offsets) if parts.count() <= BROADCAST_PARTS else offsets
     return rows.join(parts, "part").select("doc_id", (F.col("part_offset") + F.col("part_start")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids")
 
 
