@@ -7,6 +7,7 @@ let a reader skip files, stripes and row groups; ids lie in run-length encoded i
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -41,7 +42,7 @@ class _Library:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        self.kind = np.uint16 if self.model.get_vocab_size() <= 1 << 16 else np.uint32
+        self.kind, self.code = (np.uint16, "H") if self.model.get_vocab_size() <= 1 << 16 else (np.uint32, "I")
         self.ends = np.zeros(self.model.get_vocab_size(), bool)
         for token, i in self.model.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
@@ -53,11 +54,21 @@ class _Library:
         self.words: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return array(self.code, ids).tobytes()
+
+    def _split(self, run: str) -> list[str]:
+        low = run.lower()
+        if low.isalpha():
+            return [low]
+        return [low[:-1], low[-1]] if low[-1] in ",." and low[:-1].isalpha() else self.split(low)
 
     def _learn(self, runs: set[str]) -> None:
-        split = {c: self.split(c.lower()) for c in runs if self.plain(c) and "<|" not in c}
-        new = list(set(chain.from_iterable(split.values())) - self.words.keys())
+        split = {c: self._split(c) for c in runs if self.plain(c) and "<|" not in c}
+        new = set(chain.from_iterable(split.values())) - self.words.keys()
+        merge = self.model.model.tokenize  # what comes before it leaves lower-case ASCII letters as they are
+        simple = [w for w in new if w.isascii() and w.isalpha()]
+        self.words.update((w, self._pack([t.id for t in merge(w)])) for w in simple)
+        new = list(new.difference(simple))
         size = self.kind().itemsize
         for at in range(0, len(new), 5000):
             part = new[at : at + 5000]
