@@ -53,9 +53,10 @@ class WordBpe:
         self.words = regex.compile(WORD)
         self.space = regex.compile(r"[\t-\r\x20\x85\xa0  -     　]+")
         self.odd = regex.compile(r"[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer doesn't
+        self.settled = regex.compile(r"[!-~¡-įı-ž]+").fullmatch
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
         self.special_ids = special
-        self.of_word, self.of_chunk = Memo(self._word), Memo(self._chunk)
+        self.of_word, self.of_chunk = Memo(self._word, 400_000), Memo(self._chunk, 600_000)
         self.fits = {}
 
     def _automaton(self, texts: dict[int, str]) -> None:
@@ -152,7 +153,13 @@ class WordBpe:
         return b"".join([struct.pack("<I", self.special_ids[p]) if p in self.special_ids else self._plain(p) for p in parts])
 
     def _plain(self, part: str) -> bytes:
-        part = part.lower() if part.isascii() else "".join([c.lower() for c in unicodedata.normalize("NFC", part)])
+        # Most letters are as normalisation leaves them, and one for one in lower case.
+        part = part.lower() if part.isascii() or self.settled(part) else "".join([c.lower() for c in unicodedata.normalize("NFC", part)])
+        if part.isascii():
+            if part.isalpha():
+                return self.of_word[part]
+            if part[-1] in ",." and part[:-1].isalpha():
+                return self.of_word[part[:-1]] + self.of_word[part[-1]]
         return b"".join(map(self.of_word.__getitem__, self.words.findall(part)))
 
     def encode(self, text: str | None) -> bytes:
