@@ -155,7 +155,7 @@ class WordBpe:
     def _plain(self, part: str) -> bytes:
         # Most letters are as normalisation leaves them, and one for one in lower case.
         part = part.lower() if part.isascii() or self.settled(part) else "".join([c.lower() for c in unicodedata.normalize("NFC", part)])
-        if part.isascii():
+        if part.isascii() and part:
             if part.isalpha():
                 return self.of_word[part]
             if part[-1] in ",." and part[:-1].isalpha():
