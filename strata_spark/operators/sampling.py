@@ -41,25 +41,28 @@ def stratum_targets(households: DataFrame, ratios: DataFrame, frac: float, on_in
     return out.select("dept", "year", "n", "ratio", "rate", k.alias("k"), "status")
 
 
-def _ranked(households: DataFrame, targets: DataFrame, seed: int, prefilter: bool) -> DataFrame:
-    drawn = households.join(targets.where("k > 0").select("dept", "year", "n", "rate", "k"), "dept").withColumn("draw", draw_hash(seed, F.col("year"), F.col("household_id")))
-    if prefilter:
-        p = F.col("rate")
-        drawn = drawn.where(hash01(F.col("draw")) < p + 6 * F.sqrt(p / F.col("n")) + 10 / F.col("n"))
+def _ranked(households: DataFrame, targets: DataFrame, seed: int, prefilter: bool, verify: bool) -> DataFrame:
+    strata = targets.where("k > 0").select("dept", "year", "n", "rate", "k")
+    draw, p = draw_hash(seed, F.col("year"), F.col("household_id")), F.col("rate")
+    near = hash01(F.col("draw")) < p + 6 * F.sqrt(p / F.col("n")) + 10 / F.col("n")
+    if prefilter and verify:
+        counts = households.join(strata, "dept").withColumn("draw", draw).where(near).groupBy("dept", "year").agg(F.count("*").alias("near"))
+        strata = strata.join(counts, ["dept", "year"], "left").withColumn("short", F.coalesce("near", F.lit(0)) < F.col("k")).drop("near")
+    else:
+        strata = strata.withColumn("short", F.lit(not prefilter))
+    drawn = households.join(strata, "dept").withColumn("draw", draw).where(F.col("short") | near)
     rank = F.row_number().over(Window.partitionBy("dept", "year").orderBy("draw", "household_id"))
-    return drawn.withColumn("rank", rank).where("rank <= k").drop("rank", "draw", "n", "rate", "k")
+    return drawn.withColumn("rank", rank).where("rank <= k").drop("rank", "draw", "short", "n", "rate", "k")
 
 
-def draw_exact(households: DataFrame, targets: DataFrame, seed: int, prefilter: bool = True, verify: bool = False) -> DataFrame:
+def draw_exact(households: DataFrame, targets: DataFrame, seed: int, prefilter: bool = True, verify: bool = True) -> DataFrame:
     """households with year: k of each department and year, the first in the order of their hashes.
 
     Only households whose hash is below the rate and a margin of six deviations are ranked, so a large
-    department isn't sorted whole. With verify the strata are counted, and if one is short all are ranked.
+    department isn't sorted whole. With verify these are counted first, in the same plan, and a stratum with
+    fewer than k of them (many rows of one household_id share a hash) is ranked whole; without, it comes short.
     """
-    out = _ranked(households, targets, seed, prefilter)
-    if verify and prefilter and not short_strata(out, targets).isEmpty():
-        return _ranked(households, targets, seed, False)
-    return out
+    return _ranked(households, targets, seed, prefilter, verify)
 
 
 def short_strata(drawn: DataFrame, targets: DataFrame) -> DataFrame:

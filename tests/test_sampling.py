@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata_spark import sources
@@ -55,6 +56,20 @@ def test_draw(spark):
     assert 0 <= u[0] < 0.01 and 0.99 < u[1] < 1 and abs(u[2] - 0.5) < 0.03
 
 
+def test_draw_is_whole_where_a_household_id_holds_a_third_of_a_department(spark):
+    rows = spark.range(6000).selectExpr("if(id % 3 = 0, -1, id) household_id", "cast(id % 2 as int) dept", "id row")
+    ratios = spark.createDataFrame([(d, y, 1.0) for d in (0, 1) for y in range(2010, 2016)], "dept int, year int, ratio double")
+    targets = sampling.stratum_targets(rows, ratios, 0.3)
+    drawn = sampling.draw_exact(rows, targets, 3)
+    assert not sampling.short_strata(sampling.draw_exact(rows, targets, 3, verify=False), targets).isEmpty()
+    assert sampling.short_strata(drawn, targets).isEmpty() and set(drawn.columns) == {*rows.columns, "year"}
+    order = Window.partitionBy("dept", "year").orderBy(draw_hash(3, F.col("year"), F.col("household_id")), "household_id")
+    want = rows.join(targets.select("dept", "year", "k"), "dept").withColumn("rn", F.row_number().over(order)).where("rn <= k").groupBy("dept", "year", "household_id").count()
+    assert {tuple(r) for r in drawn.groupBy("dept", "year", "household_id").count().collect()} == {tuple(r) for r in want.collect()}
+    alone = sampling.draw_exact(rows, targets.withColumn("n", F.lit(10**12)), 3)
+    assert sampling.short_strata(alone, targets).isEmpty()
+
+
 def test_flat_sample_keeps_null_agglomerates(tiny):
     flat, report = sample_job(*tiny, SampleSpec(frac=1.0, years=(2015, 2016), base_year=2010))
     rows = flat.collect()
