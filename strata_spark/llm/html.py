@@ -23,14 +23,17 @@ RAW = frozenset("script style noscript template textarea title iframe svg select
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: An open element that a new one of these ends.
 ENDED_BY = {"p": frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 article section aside nav footer header form pre blockquote hr main figure li".split()), "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
-#: Elements and words of class or id that hold no main text.
-BOILERPLATE_TAGS = frozenset("nav header footer aside form button menu dialog head figcaption".split())
-BOILERPLATE_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|copyright|disclaimer|disqus|footer|gdpr|header|menu|masthead|nav\w*|newsletter|notices?|pagination|popup|promo\w*|related|reply|replies|share\w*|sharing|side-?bar|signup|skip|social|sponsor\w*|subscribe|toolbar|warning|widget)(?:$|[\s_-])")
+#: Elements and words of class, id or role that hold no main text: a name that is such a word, or begins with one.
+BOILERPLATE_TAGS = frozenset("nav header footer aside form button menu dialog head".split())
+BOILERPLATE_WORDS = re.compile(r"(?i)(?:^|\s)(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|copyright|disclaimer|disqus|footer|gdpr|header|menu|masthead|nav\w*|newsletter|notices?|pagination|popup|promo\w*|related|reply|replies|share\w*|sharing|side-?bar|signup|skip|social|sponsor\w*|subscribe|toolbar|warning|widget)(?:$|[\s_-])")
+#: Elements whose names only describe the page's layout; the words don't count there.
+LAYOUT_TAGS = frozenset("html body main article".split())
 #: Votes of containers whose tag says what they are count so many times.
 TAG_WEIGHT = {"article": 4, "main": 3, "body": 1, "html": 1}
 #: Winning paths of so many hosts are broadcast; with more hosts, pages and paths are joined by shuffling.
 BROADCAST_HOSTS = 50_000
 
+BY_TAG = 1 << 40
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
 _NAMES = re.compile(r"""\s(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
@@ -39,7 +42,7 @@ _NAMES = re.compile(r"""\s(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'
 class _Open:
     tag: str
     path: str
-    dropped: bool
+    dropped: int  # how many containers are dropped by their names here, and BY_TAG for each that is by its tag or hidden
     number: int
 
 
@@ -52,8 +55,11 @@ class Page:
 
 
 def parse(source: str | None) -> Page:
-    """One pass over tags; unclosed and unexpected tags are taken as browsers mostly do."""
-    page, stack = Page(), [_Open("", "", False, 0)]
+    """One pass over tags; unclosed and unexpected tags are taken as browsers mostly do.
+
+    Where names would drop all that a page has, what the fewest of them drop is kept.
+    """
+    page, stack = Page(), [_Open("", "", 0, 0)]
     text: list[str] = []
     linked, in_link, at, number, source = 0, 0, 0, 0, source or ""
 
@@ -115,13 +121,15 @@ def parse(source: str | None) -> Page:
             continue
         names = {k.lower(): a or b or c or "" for k, a, b, c in _NAMES.findall(m[3])}
         marks = " ".join((names.get("class", ""), names.get("id", ""), names.get("role", "")))
-        dropped = stack[-1].dropped or tag in BOILERPLATE_TAGS or "hidden" in names or bool(BOILERPLATE_WORDS.search(marks))
+        dropped = BY_TAG if tag in BOILERPLATE_TAGS or "hidden" in names else int(tag not in LAYOUT_TAGS and bool(BOILERPLATE_WORDS.search(marks)))
         first = re.sub(r"\d+", "#", names.get("class", "").split()[0]) if names.get("class", "").strip() else ""
         path = f"{stack[-1].path}/{tag}" + f".{first}" * bool(first)
         number += 1
         page.paths[number] = path
-        stack.append(_Open(tag, path, dropped, number))
+        stack.append(_Open(tag, path, stack[-1].dropped + dropped, number))
     close_block()
+    least = min((dropped for _, _, dropped, _ in page.blocks), default=0)
+    page.blocks = [(words, inside, dropped > least % BY_TAG or dropped >= BY_TAG, linked) for words, inside, dropped, linked in page.blocks]
     return page
 
 

@@ -22,6 +22,23 @@ def test_odd_pages():
     assert html.main_text("<div>" * 3000 + "deep", None) == "deep"
 
 
+@pytest.mark.parametrize("name", ["single-post right-sidebar", "no-sidebar", "layout-with-sidebar", "has-header-image", "header-fixed", "post comments-open", "sidebar"])
+def test_names_that_describe_the_layout(name):
+    inside = "<p>The text of the page goes on.</p><div class='ad-box big'>Buy</div><div id=comments>Nice!</div><figure><img src=x><figcaption>A caption.</figcaption></figure>"
+    want = "The text of the page goes on.\nA caption."
+    for tag in ("html", "body", "main", "article"):
+        assert html.main_text(f"<{tag} class='{name}'>{inside}</{tag}>", None) == want, tag
+    if not name.startswith(("header", "sidebar")):
+        assert html.main_text(f"<body><div class='{name}'>{inside}</div></body>", None) == want
+
+
+def test_names_do_not_drop_a_whole_page():
+    page = "<html><body><div id='header-fixed'><div class='story'><p>All of the text is in here.</p></div><nav>Menu</nav></div></body></html>"
+    assert html.main_text(page, None) == "All of the text is in here."
+    assert "/html/body/div/div.story" in html.votes(html.parse(page))
+    assert html.main_text("<body><nav>Menu</nav><footer class='x'>Foot</footer></body>", None) == ""
+
+
 def test_hosts_agree(spark):
     body = "<html><body><div class='story7'><p>{}</p></div><div class='extra'><p>{}</p></div></body></html>"
     rows = [(i, f"http://A.example:80/{i}", body.format(f"The story number {i} is told at length here.", "Short words.")) for i in range(8)]
