@@ -17,9 +17,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import staged
 
-#: Fixed values of HTML: elements without content, with raw content, and those that don't end a block.
+#: Fixed values of HTML: elements without content, with skipped content, those of them that go on to the page's end
+#: if they aren't closed, what a head holds, and elements that don't end a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg select object".split())
+SWALLOWS = frozenset("script style title textarea".split())
+HEAD = frozenset("base link meta noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: An open element that a new one of these ends.
 ENDED_BY = {"p": frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 article section aside nav footer header form pre blockquote hr main figure li".split()), "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -54,6 +57,30 @@ class Page:
     paths: dict = field(default_factory=dict)
 
 
+def _ends(source: str, tag: str) -> dict[int, int]:
+    """Where each element of a tag ends, by the place after its start tag; those that aren't closed are left out."""
+    step = re.compile(rf"""<!--.*?(?:-->|$)|<(/?)({tag}|script|style|title|textarea)(?=[\s/>])((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.I)
+    at, opened, out = 0, [], {}
+    while m := step.search(source, at):
+        at = m.end()
+        if not m[2]:
+            continue
+        name, closed = m[2].lower(), m[3].endswith("/")
+        if name == tag and m[1]:
+            if opened:
+                out[opened.pop()] = at
+        elif name == tag and not (closed and tag == "svg"):
+            opened.append(at)
+        elif name != tag and not m[1] and not (closed and opened):
+            at = _raw_end(source, at, name)
+    return out
+
+
+def _raw_end(source: str, at: int, tag: str) -> int:
+    end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+    return end.end() if end else len(source)
+
+
 def parse(source: str | None) -> Page:
     """One pass over tags; unclosed and unexpected tags are taken as browsers mostly do.
 
@@ -62,6 +89,7 @@ def parse(source: str | None) -> Page:
     page, stack = Page(), [_Open("", "", 0, 0)]
     text: list[str] = []
     linked, in_link, at, number, source = 0, 0, 0, 0, source or ""
+    ends: dict[str, dict[int, int]] = {}
 
     def close_block():
         nonlocal linked
@@ -73,6 +101,8 @@ def parse(source: str | None) -> Page:
 
     def add(s: str):
         nonlocal linked
+        if stack[-1].tag == "head" and s.strip():
+            stack.pop()
         text.append(s)
         if in_link:
             linked += len(s)
@@ -100,9 +130,16 @@ def parse(source: str | None) -> Page:
                     pass
                 in_link = 0
             continue
+        if stack[-1].tag == "head" and tag not in HEAD:
+            stack.pop()
+        if tag in SWALLOWS:
+            at = _raw_end(source, at, tag)
+            continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-            at = end.end() if end else len(source)
+            if not (tag == "svg" and m[3].endswith("/")):
+                if tag not in ends:
+                    ends[tag] = _ends(source, tag)
+                at = ends[tag].get(at, at)
             continue
         if tag in INLINE:
             in_link += tag == "a"

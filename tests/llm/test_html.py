@@ -39,6 +39,29 @@ def test_names_do_not_drop_a_whole_page():
     assert html.main_text("<body><nav>Menu</nav><footer class='x'>Foot</footer></body>", None) == ""
 
 
+@pytest.mark.parametrize("opened", ["<body>", "<body class=x>", "", "words ", "<img src=x>", "<link href=y><meta name=z><body>"])
+def test_head_ends_without_its_end_tag(opened):
+    page = html.parse(f"<html><head><title>t</title>\n<style>p {{}}</style>{opened}<div class='story'><p>The text of the page.</p></div></html>")
+    assert [b[0] for b in page.blocks if not b[2]][-1] == "The text of the page." and not any("/head/" in p for p in page.paths.values())
+    if "<body>" in opened:
+        closed = html.parse("<html><head><title>t</title></head><body><div class='story'><p>The text of the page.</p></div></body></html>")
+        assert html.best(html.votes(page)) == html.best(html.votes(closed))
+
+
+@pytest.mark.parametrize("cut", ["<svg class='i'/>", "<svg/>", "<svg viewBox='0 0 1 1' />", "<svg>", "<select>", "<object data=x>", "<iframe src=x>", "<noscript>", "<template>"])
+def test_text_after_what_is_not_closed(cut):
+    name = cut.strip("</>").split()[0].strip("/")
+    for rest in ("", f"<{name}>no text</{name}>", f"<{name}><{name}>no</{name}> text</{name}>", f"<script>'</{name}>'</script>"):
+        assert html.main_text(f"<body><p>One.</p>{cut}<p>Two.</p>{rest}<p>Three.</p></body>", "/body") == "One.\nTwo.\nThree.", rest
+    assert html.main_text("<body><p>One.</p>" + f"<{name}>" * 20_000 + "<p>Two.</p></body>", "/body") == "One.\nTwo."
+
+
+def test_what_swallows_the_rest():
+    for tag in ("script", "style", "title", "textarea"):
+        assert html.main_text(f"<body><p>One.</p><{tag}>Two.", "/body") == html.main_text(f"<body><p>One.</p><{tag}><p>x</{tag} ></body>", "/body") == "One."
+    assert html.main_text("<body><p>One.</p><svg><title/><style>a{}</style><g>no</g></svg><p>Two.</p></body>", "/body") == "One.\nTwo."
+
+
 def test_hosts_agree(spark):
     body = "<html><body><div class='story7'><p>{}</p></div><div class='extra'><p>{}</p></div></body></html>"
     rows = [(i, f"http://A.example:80/{i}", body.format(f"The story number {i} is told at length here.", "Short words.")) for i in range(8)]
