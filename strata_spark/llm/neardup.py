@@ -266,13 +266,41 @@ def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFr
     return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "pivot long, id long").distinct()
 
 
+def _numbered(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame | None]:
+    """docs with _doc, a number of each document, and (_doc, of) with the doc_id of each; without those if _doc is doc_id.
+
+    Rows that share a doc_id are one document if their texts are equal. Where a doc_id has several texts, all
+    documents get new numbers, in the order of doc_id.
+    """
+    id_, digest = F.col("doc_id").cast("long"), F.coalesce(F.sha2(F.col(text), 256), F.lit(""))
+    named = docs.where("doc_id is not null").select(id_.alias("of"))
+    shared = named.groupBy("of").agg(F.count("*").alias("n")).where("n > 1").select("of")
+    with_text = docs.where("doc_id is not null").select(id_.alias("of"), digest.alias("digest"))
+    if shared.isEmpty() or with_text.join(shared, "of").groupBy("of").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x < y").isEmpty():
+        return docs.withColumn("_doc", id_), None
+    of = staged(with_text.distinct().orderBy("of", "digest").withColumn("_doc", F.monotonically_increasing_id()), "documents")
+    marked = docs.withColumns({"_of": id_, "_digest": digest})
+    marked = marked.join(of.withColumnsRenamed({"of": "_of", "digest": "_digest"}), ["_of", "_digest"], "left").drop("_of", "_digest")
+    return marked, of.select("_doc", "of")
+
+
 def link(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:
+    """What _link tells of each row of docs; rows that share a doc_id but not a text are documents of their own."""
+    marked, of = _numbered(docs.select("doc_id", text), text)
+    out = _link(marked.select(F.col("_doc").alias("doc_id"), text), text, block)
+    if of is None:
+        return out
+    out = out.join(of.select(F.col("_doc").alias("doc_id"), F.col("of").alias("a")), "doc_id", "left").join(of.select(F.col("_doc").alias("component_id"), F.col("of").alias("b")), "component_id", "left")
+    return out.select(F.col("a").alias("doc_id"), "n_shingles", F.col("b").alias("component_id"), "kept")
+
+
+def _link(docs: DataFrame, text: str, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs.
 
     Words lie between white space, A-Z lower-cased; a set has the distinct shingles of 5 words. component_id is
     the smallest doc_id that links of similarity 0.75 reach. Null, empty and white texts have no shingles and
-    are linked with nothing; rows with equal words are one class however many they are; rows that share a
-    doc_id count as one document; a null doc_id has a null component and is kept. An empty table gives none.
+    are linked with nothing; rows with equal words are one class however many they are; a doc_id has one
+    text; a null doc_id has a null component and is kept. An empty table gives none.
     """
     rows = staged(_sketched(docs, text), "sketches")
     sets = rows.where("n > 0 and doc_id is not null")
@@ -304,7 +332,11 @@ def link(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of docs with one document of each group: the smallest doc_id; rows without a doc_id stay."""
-    gone = link(docs, text).where("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    """The rows of docs with one document of each group: the smallest doc_id; rows without a doc_id stay.
+
+    A row is dropped for its own text: rows that share a doc_id but not a text are documents of their own.
+    """
+    marked, _ = _numbered(docs, text)
+    gone = _link(marked.select(F.col("_doc").alias("doc_id"), text), text).where("not kept").select(F.col("doc_id").alias("_doc")).distinct()
+    kept = marked.join(gone, "_doc", "left_anti")
+    return kept.where("_doc is not null").dropDuplicates(["_doc"]).unionByName(kept.where("_doc is null")).select(docs.columns)

@@ -70,6 +70,18 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert left.columns == odd_docs.columns and left.count() == odd_docs.count() - 1
 
 
+def test_rows_that_share_a_doc_id_but_not_a_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, b), (5, a), (5, b), (5, c), (5, c), (2, c + " end"), (None, b), (7, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = neardup.deduplicated(docs)
+    assert left.columns == docs.columns
+    assert {tuple(r) for r in left.collect()} == {(3, b), (5, a), (2, c + " end"), (None, b), (7, None), (7, "")}
+    assert left.count() == 6
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in neardup.link(docs).collect())
+    assert got == [(0, 0, True), (2, 2, True), (3, 3, True), (5, 2, False), (5, 2, False), (5, 3, False), (5, 5, True), (7, 7, True), (7, 7, True)]
+
+
 def test_registers_merge_and_estimate():
     r = np.random.default_rng(0)
     a, b = r.integers(0, 2**63, 3000).astype(np.uint64), r.integers(0, 2**63, 3000).astype(np.uint64)
