@@ -198,8 +198,8 @@ def features(docs: DataFrame, media: str = "media", spec: AudioSpec = AudioSpec(
     return add_columns(docs, media, "payload binary, log_mel binary, segments array<struct<start_s:double,end_s:double>>", make)
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """doc_id and digests of what is stored and computed."""
+def described(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id and digests of what is stored and computed, and more columns as they are."""
     spans = F.transform("segments", lambda s: F.concat_ws("-", s.start_s.cast("decimal(18,3)").cast("string"), s.end_s.cast("decimal(18,3)").cast("string")))
     return docs.select(
         "doc_id",
@@ -210,4 +210,5 @@ def described(docs: DataFrame) -> DataFrame:
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         F.concat_ws("|", F.sha2("log_mel", 256), F.concat_ws(",", spans)).alias("feature"),
+        *more,
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, html, licenses, lm, media, neardup, quality, secrets, token_files
+from .common import staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +40,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return media.described(media.features(media.store(docs).drop("text")))
+    stored = staged(media.store(docs).drop("text"), "media")
+    return staged(media.described(media.features(stored), "log_mel"), "features").drop("log_mel")
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

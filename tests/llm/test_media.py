@@ -65,3 +65,21 @@ def test_tensors_can_be_read(spark):
     table = pa.ipc.open_stream(media.tensors(mel, spec)).read_all()
     shape = table.column("log_mel").type.shape
     assert list(shape) == [spec.tensor_frames, spec.mels] and table.column("start_s")[0].as_py() == 0
+
+
+def test_media_and_tensors_are_stored_and_read_again(spark):
+    from pathlib import Path
+
+    from strata_spark.llm import common, queries
+
+    at, shared = "/root/testdata/sf0.001", Path(common.shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    got = queries.op5_media(spark, at)
+    new = {p.name.partition("-")[0]: str(p) for p in set(shared.iterdir()) - before}
+    assert new.keys() == {"media", "features"} and any(new["features"] in f for f in got.inputFiles())
+    docs = spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text")
+    want = media.described(media.features(media.store(docs)))
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    wav = spark.read.parquet(new["media"]).join(docs, "doc_id").first()
+    assert media.from_wav(wav.media) == media.padded(wav.text.encode())
+    assert pa.ipc.open_stream(spark.read.parquet(new["features"]).first().log_mel).read_all().num_rows > 0
