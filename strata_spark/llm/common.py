@@ -10,10 +10,6 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-#: Maps A-Z to a-z and leaves every other byte alone.
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; where that is unset (tests), a folder of this session's own."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -33,22 +29,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes a work path by Spark's own file system layer."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def lower_words(text: str | None) -> list[bytes]:
-    """A-Z lower-cased, then the runs of anything but space and \\x09-\\x0D, as UTF-8; null has none."""
-    return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
-
-
 class Memo(dict):
     """A bounded cache for map(memo.__getitem__, keys). When full, what was asked for since the last time it
     was full is the elder half, from which keys come back when asked for. Long keys aren't kept."""
@@ -77,7 +61,46 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def by_bytes(batch, column: str, most: int = 8 << 20):
+def split_runs(texts) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Runs of texts (an Arrow array; null is as empty) between spaces and \\x09-\\x0D, each distinct one numbered.
+
+    Gives where each text's runs begin and end, the numbers of all runs in their order, and the distinct runs.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.fill_null(texts, "")))
+    flat, ends = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    ends = ends - ends[0]
+    empty = pc.equal(pc.binary_length(flat), 0)
+    if pc.any(empty).as_py():
+        ends -= np.concatenate([[0], np.cumsum(empty.to_numpy(zero_copy_only=False))])[ends]
+        flat = flat.filter(pc.invert(empty))
+    numbered = flat.dictionary_encode()
+    n = len(numbered.dictionary)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), numbered.dictionary), " ")[0].as_py()  # faster than one by one
+    return ends, numbered.indices.to_numpy(), joined.split(" ") if n else []
+
+
+def hashed(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words."""
+    import xxhash
+
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+
+
+def laid_out(packed: list[bytes], kind: np.dtype, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the numbered things pack, in the order of codes: new ends, and the values."""
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // kind.itemsize
+    values, starts = np.frombuffer(b"".join(packed), kind), np.cumsum(sizes) - sizes
+    each = sizes[codes]
+    after = np.concatenate([[0], np.cumsum(each)])
+    place = np.repeat(starts[codes] - after[:-1], each)
+    place += np.arange(len(place))
+    return after[ends], values[place]
+
+
+def by_bytes(batch, column: str | int, most: int = 8 << 20):
     """Slices of an Arrow batch that hold about `most` bytes of a text column each, one row at least."""
     import pyarrow.compute as pc
 
@@ -90,22 +113,36 @@ def by_bytes(batch, column: str, most: int = 8 << 20):
         at = to
 
 
-def add_columns(df: DataFrame, text: str, ddl: str, make) -> DataFrame:
-    """df with further columns that make(list of texts) returns as Arrow arrays; df's columns of these names go.
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in whatever case."""
+    there = {c.lower() for c in df.columns}
+    while f"_{name}".lower() in there:
+        name = f"_{name}"
+    return f"_{name}"
+
+
+def add_columns(df: DataFrame, text: str, ddl: str, make, done=None, whole: bool = False) -> DataFrame:
+    """df with further columns that make(Arrow array of texts) returns as Arrow arrays; df's columns of these names go, in whatever case.
 
-    Map side only. Batches are cut so that each call gets about 8 MB of text, or one longer text.
+    Map side only. Batches are cut so that each call gets about 8 MB of text, or one longer text; with whole,
+    make gets them with all columns. done is called at the end of each partition, so that a worker keeps nothing for the stages after it.
     """
     from pyspark.sql.types import StructType
 
     new = StructType.fromDDL(ddl)
-    kept = [f for f in df.schema.fields if f.name not in new.names]
+    gone = {c.lower() for c in new.names}
+    kept = [(i, f) for i, f in enumerate(df.schema.fields) if f.name.lower() not in gone]
+    at = df.columns.index(text) if text in df.columns else [c.lower() for c in df.columns].index(text.lower())
 
     def run(batches):
         import pyarrow as pa
 
-        for whole in batches:
-            for batch in by_bytes(whole, text):
-                arrays = make(batch.column(text).to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + arrays, [f.name for f in kept] + new.names)
+        try:
+            for every in batches:
+                for batch in by_bytes(every, at):
+                    yield pa.RecordBatch.from_arrays([batch.column(i) for i, _ in kept] + make(batch if whole else batch.column(at)), [f.name for _, f in kept] + new.names)
+        finally:
+            if done:
+                done()
 
-    return df.mapInArrow(run, StructType(kept + new.fields))
+    return df.mapInArrow(run, StructType([f for _, f in kept] + new.fields))

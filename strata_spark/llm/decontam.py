@@ -13,7 +13,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns
+from .common import add_columns, staged
 
 #: Letters and digits of ASCII and all bytes of other characters make words; A-Z is lower-cased.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -32,11 +32,11 @@ def windows(item: list[bytes], size: int = WINDOW) -> set[tuple[bytes, ...]]:
 
 
 def _passes(benchmark: DataFrame, size: int, most: int) -> list[DataFrame]:
-    """The benchmark in parts of about `most` windows."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
+    """The benchmark's distinct items in parts of about `most` windows; items with equal texts are dealt apart."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct()
     n = items.agg(F.sum(F.greatest(F.lit(1), F.size(F.split("text", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")) - (size - 1)))).first()[0] or 0
     parts = -(-n // most)
-    return [items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k) for k in range(parts)]
+    return [items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(parts)) == k) for k in range(parts)]
 
 
 def _frequencies(docs: DataFrame, text: str, vocabulary) -> DataFrame:
@@ -93,16 +93,22 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int =
     contaminated: n_hit > 0 and 20 * n_hit >= n_words. Documents aren't shuffled: the benchmark, a stated query
     set, is broadcast in parts of bounded size and searched for in all rows. Null and empty texts have no words
     and are clean; items without words match nothing; items without an id count for n_hit only; repeated rows
-    get equal results; an empty benchmark leaves all documents clean. Columns of these names are replaced.
+    get equal results; an empty benchmark leaves all documents clean. Columns of these names and of the names
+    _hits_0, _hits_1, ... are replaced. If the benchmark takes several passes, the documents are written to the
+    shared folder between them, so one part at a time is in memory.
     """
     context = docs.sparkSession.sparkContext
     passes = _passes(benchmark, size, windows_per_pass)
-    out = add_columns(docs, text, "n_words long", lambda texts: [_long([len(words(x)) for x in texts])]) if not passes else docs
+    out = add_columns(docs, text, "n_words long", lambda texts: [_long([len(words(x)) for x in texts.to_pylist()])]) if not passes else docs
     for k, part in enumerate(passes):
         items = [tuple(r) for r in part.collect()]  # of bounded size
         vocabulary = context.broadcast({w for _, t in items for w in words(t)})
         counts = {bytes(r.word): r.n for r in _frequencies(docs, text, vocabulary).collect()}
-        out = _with_hits(out, text, k, context.broadcast(_index(items, counts, size)))
+        out = _with_hits(out, text, k, index := context.broadcast(_index(items, counts, size)))
+        vocabulary.destroy()
+        if k + 1 < len(passes):
+            out = staged(out, "searched")
+            index.destroy()
     hits = [f"_hits_{k}" for k in range(len(passes))]
     spans = F.array_sort(F.concat(*[F.col(f"{h}.spans") for h in hits])) if hits else F.array().cast("array<struct<a:int,b:int>>")
     start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
@@ -125,7 +131,7 @@ def _with_hits(docs: DataFrame, text: str, k: int, index) -> DataFrame:
         import pyarrow as pa
 
         known, sizes, hits = index.value, [], []
-        for x in texts:
+        for x in texts.to_pylist():
             found = words(x)
             spans, items = _search(known, found)
             sizes.append(len(found))

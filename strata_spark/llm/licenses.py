@@ -13,9 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, mix64
+from .common import Memo, add_columns, mix64
 from .decontam import words
-from .neardup import _hashes
 
 #: Names and the words of their notices.
 TEMPLATES = {
@@ -38,9 +37,16 @@ _MULTIPLY, _ADD = (_SEEDS[:BANDS] >> np.uint64(32)).astype(np.uint32) | np.uint3
 _TABLE_BITS = 20
 
 
+@lru_cache(maxsize=1)
+def _hashes() -> Memo:
+    import xxhash
+
+    return Memo(lambda w: xxhash.xxh3_64_intdigest(w), 200_000)
+
+
 def in_order(found: list[bytes]) -> np.ndarray:
     """64-bit hashes of runs of five words in their order; fewer words have none."""
-    h = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
+    h = np.fromiter(map(_hashes().__getitem__, found), np.uint64, len(found))
     n = len(h) - SHINGLE + 1
     s = np.full(max(0, n), SHINGLE, np.uint64)
     for k in range(SHINGLE if n > 0 else 0):
@@ -130,7 +136,7 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLA
         import pyarrow as pa
 
         index, out = _index(key), []
-        for t in texts:
+        for t in texts.to_pylist():
             s = in_order(words(t))
             spans = [(a, index.names[k], b) for k in index.candidates(s) for a, b in index.verify(s, k)] if len(s) else []
             out.append([{"name": n, "start": a, "end": b} for a, n, b in sorted(spans)])

@@ -13,13 +13,12 @@ sums for the keys of each. So a frequent pair costs one entry per chunk, and no
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Memo, by_bytes, drop_path, mix64, work_path
+from .common import by_bytes, hashed, mix64, split_runs, work_path
 
 #: Text of a chunk; a longer document is a chunk of its own.
 CHUNK_BYTES = 8 << 20
@@ -30,20 +29,13 @@ ROUNDS = 30
 _END, _BEGIN = np.uint64(1), np.uint64(2)
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> Memo:
-    import xxhash
+def tokens(texts) -> list[np.ndarray]:
+    """For each text of an Arrow array: hashes of the words between white space, A-Z lower-cased, and one end."""
+    import pyarrow.compute as pc
 
-    return Memo(lambda w: xxhash.xxh3_64_intdigest(w))
-
-
-def tokens(text: str | None) -> np.ndarray:
-    """Hashes of the words between white space, A-Z lower-cased, and one end."""
-    words = text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
-    out[-1] = _END
-    return out
+    ends, codes, found = split_runs(pc.ascii_lower(texts))
+    h = hashed(found)[codes]
+    return [np.append(h[a:b], _END) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -56,12 +48,13 @@ def pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _pack(a: np.ndarray) -> bytes:
-    """Unsigned integers by planes of bytes, so that the mostly empty high bytes compress."""
-    return zlib.compress(a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    """Unsigned integers by planes of bytes, so that the mostly empty high bytes compress; 8 planes where 4 don't do."""
+    planes = 4 if int(a.max(initial=0)) < 1 << 32 else 8
+    return bytes([planes]) + zlib.compress(a.astype(f"<u{planes}").view(np.uint8).reshape(-1, planes).T.tobytes(), 1)
 
 
 def _unpack(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(b), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(b[1:]), np.uint8).reshape(b[0], -1).T).view(f"<u{b[0]}").ravel().astype(np.int64)
 
 
 def _chunks(docs: DataFrame, text: str) -> DataFrame:
@@ -69,6 +62,7 @@ def _chunks(docs: DataFrame, text: str) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         part, k, waiting, size = TaskContext.get().partitionId(), 0, [], 0
@@ -91,12 +85,13 @@ def _chunks(docs: DataFrame, text: str) -> DataFrame:
 
         for whole in batches:
             for batch in by_bytes(whole, "text", CHUNK_BYTES // 4):
-                for doc_id, mark, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "text")), strict=True):
-                    if waiting and size + len(t or "") > CHUNK_BYTES:
+                bytes_ = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+                for doc_id, mark, seq, n in zip(batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(), tokens(batch.column("text")), bytes_, strict=True):
+                    if waiting and size + n > CHUNK_BYTES:
                         yield close()
                         size = 0
-                    waiting.append((doc_id, mark, tokens(t)))
-                    size += len(t or "") + 16
+                    waiting.append((doc_id, mark, seq))
+                    size += n + 16
         if waiting:
             yield close()
 

@@ -163,7 +163,7 @@ def store(docs: DataFrame, text: str = "text", spec: AudioSpec = AudioSpec()) ->
     def make(texts):
         import pyarrow as pa
 
-        data = [(x or "").encode("utf-8", "surrogatepass") for x in texts]
+        data = [(x or "").encode("utf-8", "surrogatepass") for x in texts.to_pylist()]
         return [pa.array([len(d) for d in data], pa.int64()), pa.array([to_wav(padded(d), spec.rate) for d in data], pa.binary())]
 
     return add_columns(docs, text, "n_bytes long, media binary", make)
@@ -178,6 +178,7 @@ def features(docs: DataFrame, media: str = "media", spec: AudioSpec = AudioSpec(
     def make(files):
         import pyarrow as pa
 
+        files = files.to_pylist()
         out: list = [(None, None, None)] * len(files)
         there = [i for i, f in enumerate(files) if f is not None]
         payloads = [from_wav(files[i]) for i in there]

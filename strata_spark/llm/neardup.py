@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_words, mix64, staged
+from .common import by_bytes, hashed, mix64, split_runs, staged
 from .graph import components
 
 SHINGLE = 5
@@ -37,26 +37,8 @@ _SEEDS = mix64(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E
 _MULTIPLY, _ADD = _SEEDS[:REGISTERS] | np.uint64(1), _SEEDS[REGISTERS:]
 
 
-class _WordHash(dict):
-    """64-bit hashes of words, bounded."""
-
-    def __missing__(self, word):
-        import xxhash
-
-        if len(self) >= 400_000:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_hashes = _WordHash()
-
-
-def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of runs of `size` words; fewer words make one shingle, none make none."""
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+def shingles(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of runs of `size` words, given their hashes; fewer words make one shingle, none make none."""
     n = max(1, len(h) - size + 1) if len(h) else 0
     s = np.full(n, min(len(h), size), np.uint64)
     for k in range(min(size, len(h))):
@@ -64,6 +46,18 @@ def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
     return np.unique(s)
 
 
+def _word_sets(texts):
+    """For each text of an Arrow array: its words, A-Z lower-cased and joined by a space, as bytes, and its shingles."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    ends, codes, found = split_runs(pc.ascii_lower(texts))
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.string()).take(pa.array(codes))), " ")
+    h = hashed(found)[codes]
+    for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        yield joined[k].as_buffer(), shingles(h[a:b])
+
+
 def sketch(shingle_hashes: np.ndarray) -> np.ndarray:
     """The registers (uint16) of a set."""
     least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
@@ -101,12 +95,10 @@ def _sketched(docs: DataFrame, text: str) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        for batch in batches:
+        for batch in (b for whole in batches for b in by_bytes(whole, 1)):
             content, n, registers = [], [], []
-            for t in batch.column(1).to_pylist():
-                words = lower_words(t)
-                s = shingles(words)
-                content.append(xxhash.xxh3_128_digest(b" ".join(words)))
+            for words, s in _word_sets(batch.column(1)):
+                content.append(xxhash.xxh3_128_digest(words))
                 n.append(len(s))
                 registers.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary()), pa.array(n, pa.int64()), pa.array(registers, pa.binary())], ["doc_id", "content", "n", "sketch"])
@@ -115,7 +107,7 @@ def _sketched(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, id) of the buckets with two members or more."""
+    """(key, id, pivot) of the buckets with two members or more; the pivot is the least one."""
 
     def run(batches):
         import pyarrow as pa
@@ -127,21 +119,21 @@ def _buckets(classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), keys.shape[1]))], ["key", "id"])
 
     rows = classes.select("id", "sketch").mapInArrow(run, "key long, id long")
-    full = rows.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key")
-    return rows.join(full, "key")
+    full = rows.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("most")).where("pivot < most").select("key", "pivot")
+    return rows.join(staged(full, "bucket-keys"), "key")  # written, so that a join with a very full bucket can be split
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """pairs (pivot, id) with similar, an estimate that sizes bound."""
+    """pairs (pivot, id) with similar, an estimate, 0 where the sizes rule a link out."""
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, REGISTERS) for c in ("sketch", "sketch_p"))
                 n, m = (batch.column(c).to_numpy().astype(float) for c in ("n", "n_p"))
-                yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("id"), pa.array(np.where(100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m), estimate(a, b, n, m), np.minimum(estimate(a, b, n, m), 0.5)))], ["pivot", "id", "similar"])
+                yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("id"), pa.array(np.where(100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m), estimate(a, b, n, m), 0.0))], ["pivot", "id", "similar"])
 
     of_pivot = classes.select(F.col("id").alias("pivot"), F.col("n").alias("n_p"), F.col("sketch").alias("sketch_p"))
     return pairs.join(classes.drop("items"), "id").join(of_pivot, "pivot").select("pivot", "id", "n", "n_p", "sketch", "sketch_p").mapInArrow(run, "pivot long, id long, similar double")
@@ -158,9 +150,9 @@ def _sets(docs: DataFrame, text: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            sets = [shingles(lower_words(t)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "items"])
+        for batch in (b for whole in batches for b in by_bytes(whole, 1)):
+            sets = [s.tobytes() for _, s in _word_sets(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "items"])
 
     return docs.select("id", text).mapInArrow(run, "id long, items binary")
 
@@ -175,7 +167,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         at, heads = None, []
-        for batch in batches:
+        for batch in (b for whole in batches for b in by_bytes(whole, "items")):
             pivots, ids = [], []
             for pivot, salt, member, items in zip(*(batch.column(c).to_pylist() for c in ("pivot", "salt", "id", "items")), strict=True):
                 if (pivot, salt) != at:
@@ -235,7 +227,8 @@ def _links_of_block(key: int, rows: list) -> list[tuple[int, int]]:
 def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """Links (pivot, id) between different groups in the buckets of live (key, id, label).
 
-    Members are cut into blocks by group; blocks of one and the same group don't meet.
+    Members are cut into blocks by group; blocks of one and the same group don't meet. A block has `size`
+    members, or fewer if their sets are large: one with very many shingles counts as several.
     """
 
     def run(batches):
@@ -246,7 +239,7 @@ def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFr
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["pivot", "id"])
 
         at, rows = None, []
-        for batch in batches:
+        for batch in (b for whole in batches for b in by_bytes(whole, "items")):
             columns = (batch.column(c).to_pylist() for c in ("key", "x", "y", "side", "id", "label", "n", "sketch", "items"))
             for key, x, y, *row in zip(*columns, strict=True):
                 if (key, x, y) != at:
@@ -255,8 +248,9 @@ def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFr
                 rows.append(row)
         yield close()
 
-    by_group = Window.partitionBy("key").orderBy("label", "id")
-    blocks = staged(live.withColumn("block", F.floor((F.row_number().over(by_group) - 1) / size).cast("int")), "blocks")
+    before = Window.partitionBy("key").orderBy("label", "id").rowsBetween(Window.unboundedPreceding, -1)
+    weighed = live.join(classes.select("id", (1 + F.floor(F.col("n") / 1024)).alias("weight")), "id")
+    blocks = staged(weighed.withColumn("block", F.floor(F.coalesce(F.sum("weight").over(before), F.lit(0)) / size).cast("int")).drop("weight"), "blocks")
     groups = blocks.groupBy("key", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     other = groups.select("key", F.col("block").alias("y"), F.col("lo").alias("lo_y"), F.col("hi").alias("hi_y"))
     meet = groups.withColumnRenamed("block", "x").join(other, "key").where("x <= y and (lo < hi or lo_y < hi_y or lo <> lo_y)").select("key", "x", "y")
@@ -266,8 +260,8 @@ def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFr
     return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "pivot long, id long").distinct()
 
 
-def _numbered(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame | None]:
-    """docs with _doc, a number of each document, and (_doc, of) with the doc_id of each; without those if _doc is doc_id.
+def _numbered(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame | None, bool]:
+    """docs with _doc, a number of each document; (_doc, of) with the doc_id of each, or None if _doc is doc_id; whether a doc_id is repeated.
 
     Rows that share a doc_id are one document if their texts are equal. Where a doc_id has several texts, all
     documents get new numbers, in the order of doc_id.
@@ -275,18 +269,21 @@ def _numbered(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame | None]:
     id_, digest = F.col("doc_id").cast("long"), F.coalesce(F.sha2(F.col(text), 256), F.lit(""))
     named = docs.where("doc_id is not null").select(id_.alias("of"))
     shared = named.groupBy("of").agg(F.count("*").alias("n")).where("n > 1").select("of")
+    if shared.isEmpty():
+        return docs.withColumn("_doc", id_), None, False
+    shared = staged(shared, "shared-ids")
     with_text = docs.where("doc_id is not null").select(id_.alias("of"), digest.alias("digest"))
-    if shared.isEmpty() or with_text.join(shared, "of").groupBy("of").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x < y").isEmpty():
-        return docs.withColumn("_doc", id_), None
+    if with_text.join(shared, "of").groupBy("of").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x < y").isEmpty():
+        return docs.withColumn("_doc", id_), None, True
     of = staged(with_text.distinct().orderBy("of", "digest").withColumn("_doc", F.monotonically_increasing_id()), "documents")
     marked = docs.withColumns({"_of": id_, "_digest": digest})
     marked = marked.join(of.withColumnsRenamed({"of": "_of", "digest": "_digest"}), ["_of", "_digest"], "left").drop("_of", "_digest")
-    return marked, of.select("_doc", "of")
+    return marked, of.select("_doc", "of"), True
 
 
 def link(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:
     """What _link tells of each row of docs; rows that share a doc_id but not a text are documents of their own."""
-    marked, of = _numbered(docs.select("doc_id", text), text)
+    marked, of, _ = _numbered(docs.select("doc_id", text), text)
     out = _link(marked.select(F.col("_doc").alias("doc_id"), text), text, block)
     if of is None:
         return out
@@ -304,20 +301,19 @@ def _link(docs: DataFrame, text: str, block: int = BLOCK) -> DataFrame:
     """
     rows = staged(_sketched(docs, text), "sketches")
     sets = rows.where("n > 0 and doc_id is not null")
-    of_content = sets.groupBy("content").agg(F.min("doc_id").alias("id"))
+    of_content = staged(sets.groupBy("content").agg(F.min("doc_id").alias("id")), "contents")  # written, so that a join with very many copies can be split
     classes = staged(sets.join(of_content, "content").where("doc_id = id").select("id", "n", "sketch").distinct(), "classes")
     live = staged(_buckets(classes), "buckets")
     ids = live.select("id").distinct()
     items = _sets(docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id"), "text")
     classes = staged(classes.join(items.withColumn("n", (F.octet_length("items") / 8).cast("long")), ["id", "n"]).distinct(), "classes")
     sets = classes.select("id", "items")
-    pivots = live.groupBy("key").agg(F.min("id").alias("pivot"))
-    pairs = live.join(pivots, "key").where("id <> pivot").select("pivot", "id").distinct()
+    pairs = live.where("id <> pivot").select("pivot", "id").distinct()
     similar = _estimated(pairs, classes).where(F.col("similar") >= MAYBE).select("pivot", "id").distinct()
     links = staged(_linked(similar, sets), "links")
     labels = components(links.select(F.col("pivot").alias("a"), F.col("id").alias("b")))
     grouped = live.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    mixed = grouped.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
+    mixed = staged(grouped.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key"), "mixed-keys")
     more = staged(_linked_in_buckets(grouped.join(mixed, "key"), classes, block), "links")
     if not more.isEmpty():
         # Groups of the first step are nodes now.
@@ -334,9 +330,14 @@ def _link(docs: DataFrame, text: str, block: int = BLOCK) -> DataFrame:
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs with one document of each group: the smallest doc_id; rows without a doc_id stay.
 
-    A row is dropped for its own text: rows that share a doc_id but not a text are documents of their own.
+    A row is dropped for its own text: rows that share a doc_id but not a text are documents of their own. Of
+    rows that share both, the one whose columns have the least hash stays, whatever the order of rows.
     """
-    marked, _ = _numbered(docs, text)
+    marked, _, repeated = _numbered(docs, text)
     gone = _link(marked.select(F.col("_doc").alias("doc_id"), text), text).where("not kept").select(F.col("doc_id").alias("_doc")).distinct()
     kept = marked.join(gone, "_doc", "left_anti")
-    return kept.where("_doc is not null").dropDuplicates(["_doc"]).unionByName(kept.where("_doc is null")).select(docs.columns)
+    if not repeated:
+        return kept.select(docs.columns)
+    row, order = F.struct(*docs.columns), F.xxhash64(*[F.col(c) for c, kind in docs.dtypes if "map<" not in kind])
+    one = kept.where("_doc is not null").groupBy("_doc").agg(F.min_by(row, order).alias("row")).select("row.*")
+    return one.unionByName(kept.where("_doc is null").select(docs.columns))

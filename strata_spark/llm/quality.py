@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", most: int = TR
 def _packed(texts):
     import pyarrow as pa
 
-    found = [line_features(t) for t in texts]
+    found = [line_features(t) for t in texts.to_pylist()]
     return [pa.array([f.tobytes() for f, _ in found], pa.binary()), pa.array([s.astype(np.int64).tobytes() for _, s in found], pa.binary())]
 
 
@@ -191,7 +191,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     def make(texts):
         import pyarrow as pa
 
-        s = model.scores([line_features(t) for t in texts]) if model else np.ones(len(texts))
+        s = model.scores([line_features(t) for t in texts.to_pylist()]) if model else np.ones(len(texts))
         return [pa.array(np.round(s, 6), pa.float64())]
 
     return add_columns(docs, text, "score double", make).withColumn("predicted", (F.col("score") >= GOOD).cast("int"))

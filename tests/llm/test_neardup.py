@@ -1,13 +1,14 @@
 import random
+import re
 
 import numpy as np
 
 from strata_spark.llm import graph, neardup
-from strata_spark.llm.common import lower_words
 
 
 def sets(text):
-    w = [x.decode() for x in lower_words(text)]
+    w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", w) if x]
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
