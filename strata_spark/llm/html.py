@@ -7,15 +7,15 @@ a page without it is extracted by its own best one.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import staged
+from .common import add_columns, by_bytes, staged, unused
 
 #: Fixed values of HTML: elements without content, with skipped content, those of them that go on to the page's end
 #: if they aren't closed, what a head holds, and elements that don't end a block.
@@ -28,7 +28,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 ENDED_BY = {"p": frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 article section aside nav footer header form pre blockquote hr main figure li".split()), "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 #: Elements and words of class, id or role that hold no main text: a name that is such a word, or begins with one.
 BOILERPLATE_TAGS = frozenset("nav header footer aside form button menu dialog head".split())
-BOILERPLATE_WORDS = re.compile(r"(?i)(?:^|\s)(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|copyright|disclaimer|disqus|footer|gdpr|header|menu|masthead|nav\w*|newsletter|notices?|pagination|popup|promo\w*|related|reply|replies|share\w*|sharing|side-?bar|signup|skip|social|sponsor\w*|subscribe|toolbar|warning|widget)(?:$|[\s_-])")
+BOILERPLATE_WORDS = re.compile(r"(?i)(?:^|\s)(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|header|menu|masthead|nav\w*|newsletter|notices?|pagination|popup|promo\w*|related|reply|replies|share\w*|sharing|side-?bar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])")
 #: Elements whose names only describe the page's layout; the words don't count there.
 LAYOUT_TAGS = frozenset("html body main article".split())
 #: Votes of containers whose tag says what they are count so many times.
@@ -37,41 +37,81 @@ TAG_WEIGHT = {"article": 4, "main": 3, "body": 1, "html": 1}
 BROADCAST_HOSTS = 50_000
 
 BY_TAG = 1 << 40
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
+#: Paths of more characters are shown by a hash.
+PATH_CHARS = 300
+
+_START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+_STOP = re.compile(r"[>\"']")
 _NAMES = re.compile(r"""\s(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
 
 @dataclass
 class _Open:
     tag: str
-    path: str
     dropped: int  # how many containers are dropped by their names here, and BY_TAG for each that is by its tag or hidden
     number: int
 
 
 @dataclass
 class Page:
-    """Blocks as (text, numbers of open containers, dropped, characters in links), and containers' paths by number."""
+    """Containers by number, the page being 0: their tags, paths and parents. Blocks as (text, number of the innermost
+    container, dropped, characters in links)."""
 
+    tags: list = field(default_factory=lambda: [""])
+    paths: list = field(default_factory=lambda: [""])
+    parents: list = field(default_factory=lambda: [0])
     blocks: list = field(default_factory=list)
-    paths: dict = field(default_factory=dict)
+
+
+class _Tags:
+    """The tags of a page, in one pass: each place is looked at a bounded number of times, whatever isn't closed."""
+
+    def __init__(self, source: str):
+        self.source, self.quotes = source, True
+
+    def next(self, at: int):
+        """(start, end, closing, tag, attributes) of the next tag or, with an empty tag, comment or declaration; None if there is none."""
+        source = self.source
+        m = _START.search(source, at)
+        if not m:
+            return None
+        if m[0] == "<!--":
+            end = source.find("-->", m.end())
+            return m.start(), len(source) if end < 0 else end + 3, False, "", ""
+        end = source.find(">", m.end()) if not m[2] else self._end(m.end())
+        if end < 0:
+            return None
+        return m.start(), end + 1, bool(m[1]), (m[2] or "").lower(), source[m.end() : end] if m[2] else ""
+
+    def _end(self, at: int) -> int:
+        """The end of a tag; quotes that open an attribute's value hide it. Once one isn't closed, quotes are plain."""
+        source, first = self.source, at
+        while self.quotes and (m := _STOP.search(source, at)):
+            at = m.end()
+            if m[0] == ">":
+                return m.start()
+            before = m.start() - 1
+            while before > first and source[before].isspace():
+                before -= 1
+            if source[before] == "=":
+                at = source.find(m[0], at) + 1
+                if not at:
+                    self.quotes = False
+        return source.find(">", first)
 
 
 def _ends(source: str, tag: str) -> dict[int, int]:
     """Where each element of a tag ends, by the place after its start tag; those that aren't closed are left out."""
-    step = re.compile(rf"""<!--.*?(?:-->|$)|<(/?)({tag}|script|style|title|textarea)(?=[\s/>])((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.I)
-    at, opened, out = 0, [], {}
-    while m := step.search(source, at):
-        at = m.end()
-        if not m[2]:
-            continue
-        name, closed = m[2].lower(), m[3].endswith("/")
-        if name == tag and m[1]:
+    tags, at, opened, out = _Tags(source), 0, [], {}
+    while found := tags.next(at):
+        _, at, closing, name, attributes = found
+        closed = attributes.endswith("/")
+        if name == tag and closing:
             if opened:
                 out[opened.pop()] = at
         elif name == tag and not (closed and tag == "svg"):
             opened.append(at)
-        elif name != tag and not m[1] and not (closed and opened):
+        elif name in SWALLOWS and not closing and not (closed and opened):
             at = _raw_end(source, at, name)
     return out
 
@@ -86,57 +126,63 @@ def parse(source: str | None) -> Page:
 
     Where names would drop all that a page has, what the fewest of them drop is kept.
     """
-    page, stack = Page(), [_Open("", "", 0, 0)]
+    page, stack = Page(), [_Open("", 0, 0)]
+    open_tags: dict[str, int] = {}
     text: list[str] = []
-    linked, in_link, at, number, source = 0, 0, 0, 0, source or ""
+    linked, in_link, at, source = 0, 0, 0, source or ""
     ends: dict[str, dict[int, int]] = {}
+    tags = _Tags(source)
 
     def close_block():
         nonlocal linked
         words = " ".join(entities.unescape("".join(text)).split())
         if words:
-            page.blocks.append((words, tuple(o.number for o in stack[1:] if o.number), stack[-1].dropped, linked))
+            page.blocks.append((words, stack[-1].number, stack[-1].dropped, linked))
         text.clear()
         linked = 0
 
+    def close_element():
+        tag = stack.pop().tag
+        open_tags[tag] -= 1
+        return tag
+
     def add(s: str):
         nonlocal linked
         if stack[-1].tag == "head" and s.strip():
-            stack.pop()
+            close_element()
         text.append(s)
         if in_link:
             linked += len(s)
 
     while at < len(source):
-        m = _TAG.search(source, at)
-        if not m:
-            rest = source[at:]
-            cut = re.search(r"<(?:/?[a-zA-Z]|!)[^>]*$", rest)  # a tag that the page's end cuts off
-            add(rest[: cut.start()] if cut else rest)
+        found = tags.next(at)
+        if not found:
+            cut = re.compile(r"<(?:/?[a-zA-Z]|!)").search(source, max(at, source.rfind(">") + 1))  # a tag that the page's end cuts off
+            add(source[at : cut.start()] if cut else source[at:])
             break
-        if m.start() > at:
-            add(source[at : m.start()])
-        at = m.end()
-        if not m[2]:
+        start, end, closing, tag, attributes = found
+        if start > at:
+            add(source[at:start])
+        at = end
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
+        if closing:
             if tag in INLINE:
                 in_link = max(0, in_link - (tag == "a"))
                 continue
             close_block()
-            if any(o.tag == tag for o in stack):
-                while stack.pop().tag != tag:
+            if open_tags.get(tag):
+                while close_element() != tag:
                     pass
                 in_link = 0
             continue
         if stack[-1].tag == "head" and tag not in HEAD:
-            stack.pop()
+            close_element()
         if tag in SWALLOWS:
             at = _raw_end(source, at, tag)
             continue
         if tag in RAW:
-            if not (tag == "svg" and m[3].endswith("/")):
+            if not (tag == "svg" and attributes.endswith("/")):
                 if tag not in ends:
                     ends[tag] = _ends(source, tag)
                 at = ends[tag].get(at, at)
@@ -150,20 +196,23 @@ def parse(source: str | None) -> Page:
         in_link = 0
         for depth in range(len(stack) - 1, 0, -1):
             if tag in ENDED_BY.get(stack[depth].tag, ()):
-                del stack[depth:]
+                while len(stack) > depth:
+                    close_element()
                 break
             if stack[depth].tag not in ENDED_BY:
                 break
         if tag in VOID:
             continue
-        names = {k.lower(): a or b or c or "" for k, a, b, c in _NAMES.findall(m[3])}
+        names = {k.lower(): a or b or c or "" for k, a, b, c in _NAMES.findall(attributes)}
         marks = " ".join((names.get("class", ""), names.get("id", ""), names.get("role", "")))
         dropped = BY_TAG if tag in BOILERPLATE_TAGS or "hidden" in names else int(tag not in LAYOUT_TAGS and bool(BOILERPLATE_WORDS.search(marks)))
         first = re.sub(r"\d+", "#", names.get("class", "").split()[0]) if names.get("class", "").strip() else ""
-        path = f"{stack[-1].path}/{tag}" + f".{first}" * bool(first)
-        number += 1
-        page.paths[number] = path
-        stack.append(_Open(tag, path, stack[-1].dropped + dropped, number))
+        path = f"{page.paths[stack[-1].number]}/{tag}" + f".{first}" * bool(first)
+        page.tags.append(tag)
+        page.parents.append(stack[-1].number)
+        page.paths.append(path if len(path) <= PATH_CHARS else "#" + hashlib.md5(path.encode("utf-8", "surrogatepass")).hexdigest())
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+        stack.append(_Open(tag, stack[-1].dropped + dropped, len(page.tags) - 1))
     close_block()
     least = min((dropped for _, _, dropped, _ in page.blocks), default=0)
     page.blocks = [(words, inside, dropped > least % BY_TAG or dropped >= BY_TAG, linked) for words, inside, dropped, linked in page.blocks]
@@ -172,13 +221,14 @@ def parse(source: str | None) -> Page:
 
 def votes(page: Page) -> dict[str, int]:
     """Characters of running text less twice those of boilerplate and links, by path; only positive ones."""
-    out: dict[str, int] = {}
+    worth, out = [0] * len(page.tags), {}
     for words, inside, dropped, linked in page.blocks:
-        worth = -2 * len(words) if dropped else len(words) - 3 * min(linked, len(words))
-        for path in {page.paths[k] for k in inside}:
-            tag = path.rpartition("/")[2].partition(".")[0]
-            if tag not in ENDED_BY and not re.fullmatch(r"h[1-6]|blockquote|pre|ul|ol|dl", tag):
-                out[path] = out.get(path, 0) + worth * TAG_WEIGHT.get(tag, 2)
+        worth[inside] += -2 * len(words) if dropped else len(words) - 3 * min(linked, len(words))
+    for k in range(len(page.tags) - 1, 0, -1):  # containers come after those that hold them
+        worth[page.parents[k]] += worth[k]
+        tag = page.tags[k]
+        if tag not in ENDED_BY and not re.fullmatch(r"h[1-6]|blockquote|pre|ul|ol|dl", tag):
+            out[page.paths[k]] = out.get(page.paths[k], 0) + worth[k] * TAG_WEIGHT.get(tag, 2)
     return {p: v for p, v in out.items() if v > 0}
 
 
@@ -190,15 +240,21 @@ def best(by_path: dict[str, int]) -> str | None:
 def main_text(source: str | None, path: str | None) -> str:
     """The blocks of the containers of a path, or of the page's own best path if it has none there; or of the page, if it has no containers."""
     page = parse(source)
-    kept = {k for k, p in page.paths.items() if p == path}
-    found = [w for w, inside, dropped, _ in page.blocks if not dropped and kept.intersection(inside)]
+    found = _within(page, path)
     if not found:
         own = best(votes(page))
-        kept = {k for k, p in page.paths.items() if p == own}
-        found = [w for w, inside, dropped, _ in page.blocks if not dropped and (own is None or kept.intersection(inside))]
+        found = [w for w, _, dropped, _ in page.blocks if not dropped] if own is None else _within(page, own)
     return "\n".join(found)
 
 
+def _within(page: Page, path: str | None) -> list[str]:
+    """The blocks that aren't dropped, of the containers of a path."""
+    inside = [False] * len(page.tags)
+    for k in range(1, len(page.tags)):
+        inside[k] = inside[page.parents[k]] or page.paths[k] == path
+    return [w for w, k, dropped, _ in page.blocks if inside[k] and not dropped]
+
+
 def host(url: Column) -> Column:
     """Lower-case host of a URL, without its port; empty for null and other strings."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
@@ -207,14 +263,14 @@ def host(url: Column) -> Column:
 def extract(pages: DataFrame, html: str = "html", url: str = "url", broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """Adds text (the main text, blocks joined by a line feed, or empty) and n_chars to pages.
 
-    Null html has empty text; a null or odd url belongs to the host ""; ties go to the longer path and then by
-    order; repeated rows vote each; an empty table gives an empty table. Columns of these names are replaced.
+    Null html has empty text; a null or odd url belongs to the host ""; ties go to the longer path and then to the
+    first in order; repeated rows vote each; other columns stay, whatever their names; an empty table gives an empty table. Columns of these names are replaced.
     Votes are partial sums per host and path, so a host with very many pages is no group in one task.
     """
     def vote(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (b for whole in batches for b in by_bytes(whole, "html")):
             total: dict = {}
             for h, source in zip(batch.column("h").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 for path, v in votes(parse(source)).items():
@@ -222,18 +278,16 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", broadcast_ho
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), pa.array(total.values(), pa.int64())], ["h", "path", "votes"])
 
     sums = pages.select(host(F.col(url)).alias("h"), F.col(html).alias("html")).mapInArrow(vote, "h string, path string, votes long").groupBy("h", "path").agg(F.sum("votes").alias("votes"))
-    winners = sums.groupBy("h").agg(F.max(F.struct("votes", F.length("path").alias("size"), "path")).alias("w")).select(F.col("h").alias("_host"), F.col("w.path").alias("_path"))
-    winners = staged(winners, "paths")
+    first = F.min(F.struct((-F.col("votes")).alias("votes"), (-F.length("path")).alias("size"), "path"))
+    at, to = unused(pages, "host"), unused(pages, "path")
+    winners = staged(sums.groupBy("h").agg(first.alias("w")).select(F.col("h").alias(at), F.col("w.path").alias(to)), "paths")
     small = winners.count() <= broadcast_hosts
-    pages = pages.drop("text", "n_chars")
-    joined = pages.withColumn("_host", host(F.col(url))).join(F.broadcast(winners) if small else winners, "_host", "left").drop("_host")
-    kept = [f for f in joined.schema.fields if f.name != "_path"]
+    joined = pages.withColumn(at, host(F.col(url))).join(F.broadcast(winners) if small else winners, at, "left")
 
-    def run(batches):
+    def make(batch):
         import pyarrow as pa
 
-        for batch in batches:
-            texts = [main_text(s, p) for s, p in zip(batch.column(html).to_pylist(), batch.column("_path").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], [f.name for f in kept] + ["text", "n_chars"])
+        texts = [main_text(s, p) for s, p in zip(batch.column(html).to_pylist(), batch.column(to).to_pylist(), strict=True)]
+        return [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
 
-    return joined.mapInArrow(run, StructType([*kept, StructField("text", StringType()), StructField("n_chars", LongType())]))
+    return add_columns(joined, html, "text string, n_chars long", make, whole=True).drop(at, to)

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from strata_spark.llm import html
@@ -22,6 +24,20 @@ def test_odd_pages():
     assert html.main_text("<div>" * 3000 + "deep", None) == "deep"
 
 
+def test_tags_that_are_odd():
+    assert html.main_text("<article><p title=it's>One.<p title=\"a > b\">Two.</p><p data-x='1\">Three.</p></article>", None) == "One.\nTwo.\nThree."
+    inside = "<p>Text.</p><div class='warning'>Mind the step.</div><figure><img src=x><figcaption>A caption.</figcaption></figure><div class='disclaimer'>No advice.</div>"
+    assert html.main_text(f"<body><nav>menu</nav><article>{inside}</article></body>", None) == "Text.\nMind the step.\nA caption.\nNo advice."
+
+
+@pytest.mark.parametrize("page", ["<a " * 100_000, "<a x=\"" * 100_000 + "<p>t", "<p>t" + "<b x='" * 50_001, "<div>" * 100_000 + "deep", "<div>x" * 100_000, "</b></x><i>" * 100_000, "<div class=a1><p>" * 50_000 + "</p></div></span></q>" * 50_000, "<svg>" * 30_000, "<!-- x" * 100_000, "<li><td>" * 50_000, "<p class='" + " " * 300_000])
+def test_long_odd_pages_take_linear_time(page):
+    began = time.process_time()
+    html.main_text(page, "/html/body")
+    html.votes(html.parse(page))
+    assert time.process_time() - began < 20
+
+
 @pytest.mark.parametrize("name", ["single-post right-sidebar", "no-sidebar", "layout-with-sidebar", "has-header-image", "header-fixed", "post comments-open", "sidebar"])
 def test_names_that_describe_the_layout(name):
     inside = "<p>The text of the page goes on.</p><div class='ad-box big'>Buy</div><div id=comments>Nice!</div><figure><img src=x><figcaption>A caption.</figcaption></figure>"
@@ -42,7 +58,7 @@ def test_names_do_not_drop_a_whole_page():
 @pytest.mark.parametrize("opened", ["<body>", "<body class=x>", "", "words ", "<img src=x>", "<link href=y><meta name=z><body>"])
 def test_head_ends_without_its_end_tag(opened):
     page = html.parse(f"<html><head><title>t</title>\n<style>p {{}}</style>{opened}<div class='story'><p>The text of the page.</p></div></html>")
-    assert [b[0] for b in page.blocks if not b[2]][-1] == "The text of the page." and not any("/head/" in p for p in page.paths.values())
+    assert [b[0] for b in page.blocks if not b[2]][-1] == "The text of the page." and not any("/head/" in p for p in page.paths)
     if "<body>" in opened:
         closed = html.parse("<html><head><title>t</title></head><body><div class='story'><p>The text of the page.</p></div></body></html>")
         assert html.best(html.votes(page)) == html.best(html.votes(closed))
