@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, unused
 
 #: Kinds in order, their patterns and the least length of what each keeps.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -26,7 +26,7 @@ PLACEHOLDER = r"(?i)example|changeme|placeholder|your[_-]|xxxx|dummy|sample"
 MIN_OWNERS = 3
 
 
-def _matches(rows: DataFrame, text: str, kind: str, pattern: str, group: int) -> DataFrame:
+def _matches(rows: DataFrame, text: str, row: str, owner: str, repo: str, kind: str, pattern: str, group: int) -> DataFrame:
     """_row, kind, start, end (code points), value_start, value: from the text between matches, which split() gives."""
     pattern_, group_ = F.lit(pattern), F.lit(group)
     zipped = F.arrays_zip(
@@ -35,7 +35,7 @@ def _matches(rows: DataFrame, text: str, kind: str, pattern: str, group: int) ->
         F.regexp_extract_all(F.col(text), pattern_, group_).alias("value"),
     )
     up_to = Window.partitionBy("_row").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = rows.select("_row", "_owner", "_repo", F.posexplode(zipped).alias("at", "m"))
+    out = rows.select(F.col(row).alias("_row"), F.col(owner).alias("_owner"), F.col(repo).alias("_repo"), F.posexplode(zipped).alias("at", "m"))
     out = out.withColumn("end", F.sum(F.length("m.gap") + F.coalesce(F.length("m.whole"), F.lit(0))).over(up_to).cast("int"))
     out = out.where(F.col("m.whole").isNotNull()).select(
         "_row", "_owner", "_repo", F.lit(kind).alias("kind"), (F.col("end") - F.length("m.whole")).alias("start"), "end",
@@ -45,10 +45,11 @@ def _matches(rows: DataFrame, text: str, kind: str, pattern: str, group: int) ->
 
 
 def scan(docs: DataFrame, text: str = "text", repo: str = "source", owner: Column | None = None, min_owners: int = MIN_OWNERS) -> DataFrame:
-    """Adds secrets to docs: array of (start, kind_no, kind, end, value_start, value_hash, owners, repos, label), by start and kind.
+    """Adds secrets to docs: array of (start, kind_no, kind, end, value_start, value_hash, owners, repos, label, placeholder), by start and kind.
 
     owner defaults to the repository's name up to the first slash. label is `example` where the value's hash
-    has min_owners owners or more, or the value says so itself, else `live`. Null and empty texts have no
+    has min_owners owners or more, else `live`; placeholder says whether the value has a word that documentation
+    uses in place of credentials. Null and empty texts have no
     secrets; a null repository counts as one of its own; repeated rows count once for their owner; an empty
     table gives an empty table; a column of this name is replaced. Only documents with a candidate are staged
     and shuffled; a hash that many documents have is counted by partial sums.
@@ -56,20 +57,22 @@ def scan(docs: DataFrame, text: str = "text", repo: str = "source", owner: Colum
     owner = F.substring_index(F.col(repo), "/", 1) if owner is None else owner
     docs = docs.drop("secrets")
     has = F.coalesce(F.col(text).rlike(ANY), F.lit(False))
-    kind = "array<struct<start:int,kind_no:int,kind:string,end:int,value_start:int,value_hash:string,owners:bigint,repos:bigint,label:string>>"
+    kind = "array<struct<start:int,kind_no:int,kind:string,end:int,value_start:int,value_hash:string,owners:bigint,repos:bigint,label:string,placeholder:boolean>>"
+    row, of_repo, of_owner = (unused(docs, c) for c in ("row", "repo", "owner"))
     rows = staged(
-        docs.where(has).withColumns({"_row": F.monotonically_increasing_id(), "_repo": F.coalesce(F.col(repo).cast("string"), F.lit("")), "_owner": F.coalesce(owner.cast("string"), F.lit(""))}),
+        docs.where(has).withColumns({row: F.monotonically_increasing_id(), of_repo: F.coalesce(F.col(repo).cast("string"), F.lit("")), of_owner: F.coalesce(owner.cast("string"), F.lit(""))}),
         "secret-rows",
     )
-    found = _matches(rows, text, "assign", ASSIGN, 2).unionAll(_matches(rows, text, "access", ACCESS, 0)).unionAll(_matches(rows, text, "hex", HEX, 0))
+    at = rows, text, row, of_owner, of_repo
+    found = _matches(*at, "assign", ASSIGN, 2).unionAll(_matches(*at, "access", ACCESS, 0)).unionAll(_matches(*at, "hex", HEX, 0))
     kind_no = F.when(F.col("kind") == "assign", 0).when(F.col("kind") == "access", 1).otherwise(2)
     found = staged(found.withColumns({"value_hash": F.sha2("value", 256), "placeholder": F.col("value").rlike(PLACEHOLDER), "kind_no": kind_no}).drop("value"), "secret-candidates")
     spread = found.groupBy("value_hash", "_owner", "_repo").agg(F.lit(1).alias("one")).groupBy("value_hash").agg(F.countDistinct("_owner").alias("owners"), F.countDistinct("_repo").alias("repos"))
-    label = F.when((F.col("owners") >= min_owners) | F.col("placeholder"), "example").otherwise("live")
-    fields = ["start", "kind_no", "kind", "end", "value_start", "value_hash", "owners", "repos", "label"]
-    by_row = found.join(spread, "value_hash").withColumn("label", label).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(*fields))).cast(kind).alias("secrets"))
+    label = F.when(F.col("owners") >= min_owners, "example").otherwise("live")
+    fields = ["start", "kind_no", "kind", "end", "value_start", "value_hash", "owners", "repos", "label", "placeholder"]
+    by_row = found.join(spread, "value_hash").withColumn("label", label).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(*fields))).cast(kind).alias("secrets")).withColumnRenamed("_row", row)
     empty = F.array().cast(kind)
-    with_any = rows.join(by_row, "_row", "left").withColumn("secrets", F.coalesce("secrets", empty)).drop("_row", "_repo", "_owner")
+    with_any = rows.join(by_row, row, "left").withColumn("secrets", F.coalesce("secrets", empty)).drop(row, of_repo, of_owner)
     return docs.where(~has).withColumn("secrets", empty).unionByName(with_any)
 
 
@@ -87,6 +90,7 @@ def described(scanned: DataFrame) -> DataFrame:
         shown(F.array_sort(F.array_distinct(F.concat(base, values)))).alias("spans"),
         n(lambda s: s.label == "live").alias("n_live"),
         n(lambda s: s.label == "example").alias("n_example"),
+        n(lambda s: s.placeholder).alias("n_placeholder"),
     )
 
 

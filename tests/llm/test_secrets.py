@@ -43,6 +43,15 @@ def test_owners_and_masks(spark):
     assert {r.text for r in secrets.masked(scanned).collect()} == {"token=[EXAMPLE SECRET] end", "é token=[SECRET], [SECRET]"}
 
 
+def test_owners_differ_from_repositories(spark):
+    rows = [(i, f"token={HEX}", f"one/r{i}") for i in range(5)] + [(7, "token=example_of_a_token", "two/x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [s for r in secrets.scan(docs).collect() for s in r.secrets]
+    assert {(s.owners, s.repos, s.label, s.placeholder) for s in found} == {(1, 5, "live", False), (1, 1, "live", True)}
+    by_repo = [s for r in secrets.scan(docs, owner=docs["source"]).collect() for s in r.secrets]
+    assert {(s.owners, s.repos, s.label, s.placeholder) for s in by_repo} == {(5, 5, "example", False), (1, 1, "live", True)}
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     got = secrets.scan(odd_docs)
     assert got.count() == odd_docs.count() and secrets.masked(got).exceptAll(odd_docs).count() == 0
