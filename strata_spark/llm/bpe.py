@@ -11,18 +11,82 @@ from __future__ import annotations
 
 import json
 import struct
-import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from .common import Memo
+from .common import add_columns, laid_out, split_runs
 
 #: Fixed values of the tokenizer's file format: its word pattern and the number of symbols before the merges.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SYMBOLS = 512
+#: Runs and words that a worker remembers each; bits of the number of pairs whose test it remembers.
+MOST, FIT_BITS = 300_000, 20
+#: Words that are worked on side by side; those of more bytes than LONG are worked on one by one.
+STEP, LONG = 16_384, 64
+
+
+@lru_cache(maxsize=1)
+def _patterns():
+    """Tests for texts of letters that are as normalisation leaves them, and one for one in lower case; the words of a text."""
+    import regex
+
+    return regex.compile(r"[!-~\xa1-\u012f\u0131-\u017e]+").fullmatch, regex.compile(WORD).findall
+
+
+def pattern_words(runs: list[str]) -> tuple[list[str], list, list[str]]:
+    """Runs of settled letters without special tokens, each one's words (a string where it is one word), and the other runs.
+
+    Tables of letters, numbers, cases and compositions differ with the version of Unicode: other runs are left
+    to the library's own.
+    """
+    settled, find = _patterns()
+    joined, others = " ".join(runs), []
+    if not settled(joined.replace(" ", "")) or "<|" in joined:
+        others = [r for r in runs if "<|" in r or not settled(r)]
+        runs = [r for r in runs if "<|" not in r and settled(r)]
+        joined = " ".join(runs)
+    lows = joined.lower().split(" ") if runs else []
+    return runs, [low if low.isalpha() else (low[:-1], low[-1]) if low[-1] in ",." and low[:-1].isalpha() else find(low) for low in lows], others
+
+
+def distinct_words(split: list) -> set[str]:
+    return {x for x in split if type(x) is str} | {w for x in split if type(x) is not str for w in x}
+
+
+def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class _Table:
+    """A fixed map of integers to integers that is asked for many keys at once; -1 for others."""
+
+    def __init__(self, items: dict[int, int]):
+        keys, values = np.fromiter(items.keys(), np.int64, len(items)), np.fromiter(items.values(), np.int64, len(items))
+        self.bits = (4 * len(keys) + 1).bit_length()
+        self.keys, self.values = np.full((1 << self.bits) + len(keys), -1), np.full((1 << self.bits) + len(keys), -1, np.int32)
+        slots = _slots(keys, self.bits)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slots] < 0)
+            placed = free[np.unique(slots[free], return_index=True)[1]]
+            self.keys[slots[placed]], self.values[slots[placed]] = keys[placed], values[placed]
+            rest = np.ones(len(keys), bool)
+            rest[placed] = False
+            keys, values, slots = keys[rest], values[rest], slots[rest] + 1
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        slots = _slots(keys, self.bits)
+        there = self.keys[slots]
+        out = np.where(there == keys, self.values[slots], -1).astype(np.int64)
+        todo = np.flatnonzero((there != keys) & (there >= 0))
+        while len(todo):
+            slots[todo] += 1
+            there = self.keys[slots[todo]]
+            found = there == keys[todo]
+            out[todo[found]] = self.values[slots[todo[found]]]
+            todo = todo[~found & (there >= 0)]
+        return out
 
 
 class WordBpe:
@@ -30,38 +94,41 @@ class WordBpe:
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
 
+        library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
-        self.tokens = dict(zip(vocab.values(), vocab, strict=True))
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens |= {i: t for t, i in special.items()}
         of_char = _bytes_of_chars()
         texts = {vocab[c]: chr(b) for c, b in of_char.items()} | {vocab[c + "</w>"]: chr(256 + b) for c, b in of_char.items()}
-        self.split, self.merged = {}, {}
+        self.split, self.merged = np.zeros((SYMBOLS + len(merges), 2), np.int64), {}
         for a, b in merges:
             left, right, whole = vocab[a], vocab[b], vocab[a + b]
-            self.split[whole], self.merged[left, right] = (left, right), whole
+            self.split[whole], self.merged[left << 16 | right] = (left, right), whole
             texts[whole] = texts[left] + texts[right]
         if sorted(texts) != list(range(SYMBOLS + len(merges))):
             raise ValueError(f"{path}: ids must be the symbols and then the merges in order of rank")
-        self.sizes = [len(texts[i]) for i in range(len(texts))]
-        self.by_text = {t: i for i, t in texts.items()}
+        self.sizes = np.array([len(texts[i]) for i in range(len(texts))])
         self._automaton(texts)
-        self.words = regex.compile(WORD)
-        self.space = regex.compile(r"[\t-\r\x20\x85\xa0  -     　]+")
-        self.odd = regex.compile(r"[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer doesn't
-        self.settled = regex.compile(r"[!-~¡-įı-ž]+").fullmatch
+        self.merge_of = _Table(self.merged)
+        self.tested, self.fit = np.full(1 << FIT_BITS, -1), np.zeros(1 << FIT_BITS, bool)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
+        self.bytes_of = str.maketrans({c: chr(b) for c, b in of_char.items()})
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
-        self.special_ids = special
-        self.of_word, self.of_chunk = Memo(self._word, 400_000), Memo(self._chunk, 600_000)
-        self.fits = {}
+        self.special_ids = {t: struct.pack("<I", i) for t, i in special.items()}
+        self.clear()
+
+    def clear(self) -> None:
+        """Forgets what it knows of the texts so far."""
+        self.known, self.words = {}, {}
 
     def _automaton(self, texts: dict[int, str]) -> None:
-        """States are the tokens' prefixes; ends[state] are the tokens that end there, the longest first."""
-        children, self.ends, self.fail = [{}], [()], [0]
+        """States are the tokens' prefixes; longest[state] is the longest token that ends there, shorter[token] the next one."""
+        children, own, fail = [{}], [-1], [0]
+        state_of = np.zeros(len(texts), np.int64)
         for token, text in texts.items():
             at = 0
             for c in map(ord, text):
@@ -69,108 +136,202 @@ class WordBpe:
                 if to is None:
                     to = children[at][c] = len(children)
                     children.append({})
-                    self.ends.append(())
+                    own.append(-1)
                 at = to
-            self.ends[at] = (token,)
-        self.fail = [0] * len(children)
+            own[at], state_of[token] = token, at
+        fail, longest = [0] * len(children), own[:]
         todo = list(children[0].values())
         for at in todo:
             for c, to in children[at].items():
-                back = self.fail[at]
+                back = fail[at]
                 while back and c not in children[back]:
-                    back = self.fail[back]
-                self.fail[to] = children[back].get(c, 0)
-                self.ends[to] += self.ends[self.fail[to]]
+                    back = fail[back]
+                fail[to] = children[back].get(c, 0)
                 todo.append(to)
+            if own[at] < 0:
+                longest[at] = longest[fail[at]]
         self.steps = {at << 9 | c: to for at, x in enumerate(children) for c, to in x.items()}
-
-    def _step(self, state: int, symbol: int) -> int:
-        """The state of the longest suffix that begins a token; kept in steps, of which a state has 512 at most."""
-        at = state
-        while (to := self.steps.get(at << 9 | symbol)) is None:
-            at = self.fail[at]
-        if len(self.steps) < 4 * len(self.ends):
-            self.steps[state << 9 | symbol] = to
+        self.step_of, self.fail, self.longest = _Table(self.steps), np.array(fail), np.array(longest)
+        self.shorter = self.longest[self.fail[state_of]]
+
+    def _step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The states of the longest suffixes that begin a token."""
+        to = self.step_of[state << 9 | symbol]
+        todo = np.flatnonzero(to < 0)
+        state = state[todo]
+        while len(todo):
+            state = self.fail[state]
+            to[todo] = found = self.step_of[state << 9 | symbol[todo]]
+            todo, state = todo[found < 0], state[found < 0]
         return to
 
-    def _fits(self, left: int, right: int) -> bool:
-        """Whether no merge across the boundary comes before those that form the two tokens.
+    def fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether no merge across the boundary of each pair comes before those that form the two tokens.
 
         Walks from the two tokens towards their symbols next to the boundary, undoing the latest merge first;
         a merge of the two pieces at the boundary that has a lower rank would have happened.
         """
-        limit = len(self.sizes)
-        while True:
-            if self.merged.get((left, right), limit) < limit:
-                return False
-            if left > right:
-                if left < SYMBOLS:
-                    return True
-                limit, left = left, self.split[left][1]
-            else:
-                if right < SYMBOLS:
-                    return True
-                limit, right = right + 1, self.split[right][0]
-
-    def encode_word(self, word: bytes) -> list[int]:
-        """The ids of one word of the pattern, given in UTF-8."""
-        sizes, fits, steps, ends = self.sizes, self.fits, self.steps, self.ends
-        last, state, end = [0], 0, 0
-        symbols = [*word]
+        out, todo, limit = np.ones(len(left), bool), np.arange(len(left)), np.full(len(left), len(self.sizes))
+        while len(todo):
+            whole = self.merge_of[left << 16 | right]
+            merges = (whole >= 0) & (whole < limit)
+            out[todo[merges]] = False
+            on = ~merges & (np.maximum(left, right) >= SYMBOLS)
+            todo, left, right = todo[on], left[on], right[on]
+            first = left > right
+            limit = np.where(first, left, right + 1)
+            left, right = np.where(first, self.split[left, 1], left), np.where(first, right, self.split[right, 0])
+        return out
+
+    def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The same by a table of pairs tested before, where a new pair takes the place of an older one."""
+        pair = left << 16 | right
+        slot = _slots(pair, FIT_BITS)
+        out, new = self.fit[slot], np.flatnonzero(self.tested[slot] != pair)
+        if len(new):
+            pairs, where = np.unique(pair[new], return_inverse=True)
+            fit = self.fits(pairs >> 16, pairs & 0xFFFF)
+            out[new] = fit[where]
+            slot, first = np.unique(_slots(pairs, FIT_BITS), return_index=True)
+            self.tested[slot], self.fit[slot] = pairs[first], fit[first]
+        return out
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each word of the pattern, given in UTF-8, begin and end, and all ids.
+
+        Words are worked on side by side, a prefix of each in every step; the longest come first, so those
+        that a step is for stand together.
+        """
+        sizes = np.array([len(w) for w in words])
+        n, most = len(words), int(sizes.max(initial=0))
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        symbols = np.zeros((most, n), np.int64)
+        starts = np.cumsum(sizes) - sizes
+        row = np.repeat(np.arange(n), sizes)
+        symbols[np.arange(len(row)) - np.repeat(starts, sizes), row] = np.frombuffer(b"".join([words[k] for k in order]), np.uint8)
+        symbols[sizes - 1, np.arange(n)] |= 256
+        last, state = np.zeros((most + 1, n), np.int64), np.zeros(n, np.int64)
+        alive = np.searchsorted(-sizes, -np.arange(1, most + 1), "right")  # words with a prefix of this length
+        for end, k in enumerate(alive.tolist(), 1):
+            state = self._step(state[:k], symbols[end - 1, :k])
+            token = self.longest[state]
+            todo = np.flatnonzero(self.sizes[token] < end)
+            while len(todo):
+                tried = token[todo]
+                todo = todo[~self._fits(last[end - self.sizes[tried], todo], tried)]
+                token[todo] = self.shorter[token[todo]]
+                todo = todo[self.sizes[token[todo]] < end]
+            last[end, :k] = token
+        back, rows, end, count = [], np.arange(n), sizes.copy(), np.zeros(n, np.int64)
+        while len(rows):
+            token = last[end[rows], rows]
+            back.append((rows, token))
+            count[rows] += 1
+            end[rows] -= self.sizes[token]
+            rows = rows[end[rows] > 0]
+        ends = np.zeros(n + 1, np.int64)
+        ends[1 + order] = count
+        ends = np.cumsum(ends)
+        ids = np.zeros(ends[-1], "<u4")
+        for k, (rows, token) in enumerate(back, 1):
+            ids[ends[1 + order[rows]] - k] = token
+        return ends, ids
+
+    def encode_long_word(self, word: bytes) -> np.ndarray:
+        """The ids of one long word, a prefix after the other."""
+        sizes, fits, steps, fail, longest, shorter = self.lists
+        last, state, symbols = [0], 0, [*word]
         symbols[-1] |= 256
-        for c in symbols:
-            end += 1
-            to = steps.get(state << 9 | c)
-            state = self._step(state, c) if to is None else to
-            for token in ends[state]:
-                start = end - sizes[token]
-                if not start:
-                    break
-                pair = last[start] << 16 | token
-                fit = fits.get(pair)
-                if fit is None:
-                    if len(fits) >= 1 << 20:
-                        fits.clear()
-                    fit = fits[pair] = self._fits(last[start], token)
-                if fit:
-                    break
+        for end, c in enumerate(symbols, 1):
+            while (to := steps.get(state << 9 | c)) is None:
+                state = fail[state]
+            state, token = to, longest[to]
+            while sizes[token] < end and not fits(last[end - sizes[token]], token):
+                token = shorter[token]
             last.append(token)
-        ids = []
+        ids, end = [], len(word)
         while end:
             ids.append(last[end])
             end -= sizes[last[end]]
-        return ids[::-1]
-
-    def _word(self, word: str) -> bytes:
-        ids = self.encode_word(word.encode("utf-8", "surrogatepass"))
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _chunk(self, chunk: str) -> bytes:
-        """A run without white space; the pattern never joins across white space, nor does normalisation."""
-        if "<|" not in chunk:
-            return self._plain(chunk)
-        parts = self.special.split(chunk)
-        return b"".join([struct.pack("<I", self.special_ids[p]) if p in self.special_ids else self._plain(p) for p in parts])
-
-    def _plain(self, part: str) -> bytes:
-        # Most letters are as normalisation leaves them, and one for one in lower case.
-        part = part.lower() if part.isascii() or self.settled(part) else "".join([c.lower() for c in unicodedata.normalize("NFC", part)])
-        if part.isascii() and part:
-            if part.isalpha():
-                return self.of_word[part]
-            if part[-1] in ",." and part[:-1].isalpha():
-                return self.of_word[part[:-1]] + self.of_word[part[-1]]
-        return b"".join(map(self.of_word.__getitem__, self.words.findall(part)))
+        return np.array(ids[::-1], "<u4")
+
+    @cached_property
+    def lists(self):
+        one = lru_cache(maxsize=100_000)(lambda left, right: bool(self.fits(np.array([left]), np.array([right]))[0]))
+        return self.sizes.tolist(), one, self.steps, self.fail.tolist(), self.longest.tolist(), self.shorter.tolist()
+
+    def _encode(self, words: list[str]) -> None:
+        """Puts the packed ids of words of the pattern into self.words."""
+        data = [w.encode("utf-8", "surrogatepass") for w in words]
+        long = [k for k, w in enumerate(data) if len(w) > LONG]
+        for k in long:
+            self.words[words[k]] = self.encode_long_word(data[k]).tobytes()
+        if long:
+            words, data = ([x[k] for k, w in enumerate(data) if len(w) <= LONG] for x in (words, data))
+        for at in range(0, len(words), STEP):
+            ends, ids = self.encode_words(data[at : at + STEP])
+            packed, cut = ids.tobytes(), (ends * 4).tolist()
+            self.words.update((w, packed[a:b]) for w, a, b in zip(words[at : at + STEP], cut[:-1], cut[1:], strict=True))
+
+    def _split(self, run: str) -> list[str]:
+        """The words of a run by the library's normalisation and pattern; special tokens are words here."""
+        parts = self.special.split(run) if "<|" in run else [run]
+        words = []
+        for p in parts:
+            if p in self.special_ids:
+                words.append(p)
+            elif p:
+                pieces = self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(p))
+                words += [w.translate(self.bytes_of).encode("latin-1").decode("utf-8", "surrogatepass") for w, _ in pieces]
+        return words
+
+    def _learn(self, runs: list[str]) -> None:
+        runs, split, others = pattern_words(runs)
+        runs, split = runs + others, split + [*map(self._split, others)]
+        self.words = self.special_ids | (self.words if len(self.words) <= MOST else {})  # no word of the pattern is a special one
+        self._encode([*distinct_words(split).difference(self.words)])
+        word = self.words.__getitem__
+        self.known.update((r, word(x) if type(x) is str else b"".join(map(word, x))) for r, x in zip(runs, split, strict=True))
+
+    def encode_all(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids begin and end, and all ids; texts is an Arrow array, null is as empty.
+
+        The pattern never joins what white space parts, nor does normalisation, so texts are taken as runs
+        between ASCII white space, and each distinct run is encoded once.
+        """
+        ends, codes, runs = split_runs(texts)
+        if missing := [r for r in runs if r not in self.known]:
+            self._learn(missing)
+        out = laid_out([self.known[r] for r in runs], np.dtype("<u4"), codes, ends)
+        if len(self.known) > MOST:
+            self.known = {r: self.known[r] for r in runs if len(r) <= 64} if len(runs) < MOST // 2 else {}
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers; null is as empty."""
-        text = text or ""
-        chunks = self.space.split(text) if self.odd.search(text) else text.split()
-        return b"".join(map(self.of_chunk.__getitem__, chunks))
+        """One text's ids as little-endian unsigned 32-bit integers."""
+        import pyarrow as pa
 
-    def decode(self, ids: bytes | None) -> str:
-        """The tokens' own strings, joined by a space, as a tokenizer without a decoder does."""
-        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+        return self.encode_all(pa.array([text or ""], pa.string()))[1].tobytes()
+
+
+@lru_cache(maxsize=2)
+def _vocabulary(path: str):
+    """The tokens' own strings by id, as an Arrow array."""
+    import pyarrow as pa
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.string())
+
+
+def decode_all(ends: np.ndarray, ids: np.ndarray, path: str):
+    """Texts as an Arrow array: the tokens' own strings, joined by a space, as a tokenizer without a decoder does."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _vocabulary(path).take(pa.array(ids))), " ")
 
 
 def _bytes_of_chars() -> dict[str, int]:
@@ -185,41 +346,38 @@ def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encoded(text: Column, path: str) -> Column:
-    """Binary: the packed ids of a text column; null texts have no ids."""
+def _packed(ends: np.ndarray, ids: np.ndarray):
+    """An Arrow array of binaries that hold 4 bytes an id."""
+    import pyarrow as pa
 
-    @F.arrow_udf("binary")
-    def encode(texts):
-        import pyarrow as pa
-
-        t = tokenizer(path)
-        return pa.array([t.encode(x.as_py()) for x in texts], pa.binary())
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
 
-    return encode(text)
 
+def encode(docs: DataFrame, path: str, text: str = "text", and_decode: bool = False) -> DataFrame:
+    """Adds token_ids (binary, little-endian unsigned 32-bit) and n_tokens (long) to docs; no shuffle.
 
-def decoded(ids: Column, path: str) -> Column:
-    """String: the text of packed ids."""
+    With and_decode, decoded (string) is added too, from the same pass. Null and empty texts have no tokens
+    and are kept, so are repeated rows and all other columns; columns of these names are replaced. An empty
+    table gives an empty table. Texts of any length are encoded whole.
+    """
 
-    @F.arrow_udf("string")
-    def decode(packed):
+    def make(texts):
         import pyarrow as pa
 
-        t = tokenizer(path)
-        return pa.array([t.decode(x.as_py()) for x in packed], pa.string())
+        ends, ids = tokenizer(path).encode_all(texts)
+        return [_packed(ends, ids), pa.array(np.diff(ends), pa.int64())] + ([decode_all(ends, ids, path)] if and_decode else [])
 
-    return decode(ids)
+    return add_columns(docs, text, "token_ids binary, n_tokens long" + ", decoded string" * and_decode, make, lambda: tokenizer(path).clear())
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Adds token_ids (binary, little-endian unsigned 32-bit) and n_tokens (long) to docs; no shuffle.
+def decode(docs: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
+    """Adds decoded (string), the text of the packed ids, null as empty; replaces a column of this name."""
 
-    Null and empty texts have no tokens and are kept, so are repeated rows and all other columns; columns of
-    these two names are replaced. An empty table gives an empty table. Texts of any length are encoded whole.
-    """
-    return docs.withColumn("token_ids", encoded(docs[text], path)).withColumn("n_tokens", F.octet_length("token_ids").cast("long") / F.lit(4)).withColumn("n_tokens", F.col("n_tokens").cast("long"))
+    def make(packed):
+        import pyarrow.compute as pc
 
+        packed = pc.fill_null(packed, b"")
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(packed).to_numpy(), dtype=np.int64)]) // 4
+        return [decode_all(ends, np.frombuffer(b"".join(packed.to_pylist()), "<u4"), path)]
 
-def decode(docs: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
-    """Adds decoded (string), the text of the packed ids, null as empty; replaces a column of this name."""
-    return docs.withColumn("decoded", decoded(docs[ids], path))
+    return add_columns(docs, ids, "decoded string", make)

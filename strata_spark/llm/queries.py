@@ -21,7 +21,7 @@ def word_bpe() -> str:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = word_bpe()
-    docs = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    docs = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, and_decode=True)
     return docs.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
