@@ -9,14 +9,13 @@ from __future__ import annotations
 import zlib
 from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import WORD
-from .common import by_bytes, work_path
+from .bpe import distinct_words, pattern_words
+from .common import by_bytes, laid_out, split_runs, work_path
 
 #: Documents are separated by this id.
 END = 2
@@ -28,15 +27,14 @@ STRIPE_BYTES, INDEX_STRIDE, BLOOM_FPP = 16 << 20, 5000, 0.01
 class _Library:
     """The tokenizers library, asked once for each run without white space, which its pattern never joins with another.
 
-    Runs of plain Latin letters and marks are split into the pattern's words first, and many new words are
-    asked for in one text; the token that ends a word says where the next one begins.
+    Runs of settled letters are split into the pattern's words first, and many new words are asked for in one
+    text; the token that ends a word says where the next one begins.
     """
 
     #: Runs and words that are remembered.
-    MOST = 600_000
+    MOST = 400_000
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
@@ -46,25 +44,17 @@ class _Library:
         self.ends = np.zeros(self.model.get_vocab_size(), bool)
         for token, i in self.model.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
-        self.space = regex.compile(r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-        self.odd = regex.compile(r"[\x1c-\x1f]")
-        self.plain = regex.compile(r"[!-~¡-įı-ž]+").fullmatch  # letters that are as normalisation leaves them, one for one in lower case
-        self.split = regex.compile(WORD).findall
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
-    def _split(self, run: str) -> list[str]:
-        low = run.lower()
-        if low.isalpha():
-            return [low]
-        return [low[:-1], low[-1]] if low[-1] in ",." and low[:-1].isalpha() else self.split(low)
-
-    def _learn(self, runs: set[str]) -> None:
-        split = {c: self._split(c) for c in runs if self.plain(c) and "<|" not in c}
-        new = set(chain.from_iterable(split.values())) - self.words.keys()
+    def _learn(self, runs: list[str]) -> None:
+        runs, split, others = pattern_words(runs)
+        if len(self.words) > self.MOST:
+            self.words.clear()
+        new = distinct_words(split).difference(self.words)
         merge = self.model.model.tokenize  # what comes before it leaves lower-case ASCII letters as they are
         simple = [w for w in new if w.isascii() and w.isalpha()]
         self.words.update((w, self._pack([t.id for t in merge(w)])) for w in simple)
@@ -76,25 +66,21 @@ class _Library:
             cut = [0, *((np.flatnonzero(self.ends[ids]) + 1) * size).tolist()]
             data = ids.tobytes()
             self.words.update((w, data[a:b]) for w, a, b in zip(part, cut[:-1], cut[1:], strict=True))
-        words = self.words.__getitem__
-        self.known.update((c, b"".join(map(words, parts))) for c, parts in split.items())
-        rest = [c for c in runs if c not in split]
-        if rest:
-            self.known.update((c, self._pack(e.ids)) for c, e in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False), strict=True))
-        if len(self.words) > self.MOST:
-            self.words.clear()
-
-    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths, and all ids in one array; END follows each text."""
-        runs = [self.space.split(t) if self.odd.search(t) else t.split() for t in ((x or "") for x in texts)]
-        distinct = set(chain.from_iterable(runs))
-        if missing := distinct - self.known.keys():
+        word = self.words.__getitem__
+        self.known.update((r, word(x) if type(x) is str else b"".join(map(word, x))) for r, x in zip(runs, split, strict=True))
+        if others:
+            self.known.update((c, self._pack(e.ids)) for c, e in zip(others, self.model.encode_batch_fast(others, add_special_tokens=False), strict=True))
+
+    def encode_all(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths, and all ids in one array; END follows each text. texts is an Arrow array, null is as empty."""
+        ends, codes, runs = split_runs(texts)
+        if missing := [r for r in runs if r not in self.known]:
             self._learn(missing)
-        end, known = self._pack([END]), self.known.__getitem__
-        packed = [b"".join(map(known, doc)) + end for doc in runs]
+        codes = np.insert(codes, ends[1:], len(runs))
+        out, ids = laid_out([*map(self.known.__getitem__, runs), self._pack([END])], np.dtype(self.kind), codes, ends + np.arange(len(ends)))
         if len(self.known) > self.MOST:
-            self.known = {c: self.known[c] for c in distinct if len(c) <= 64} if len(distinct) < self.MOST // 2 else {}
-        return np.array([len(p) for p in packed]) // self.kind().itemsize, np.frombuffer(b"".join(packed), self.kind)
+            self.known = {c: self.known[c] for c in runs if len(c) <= 64} if len(runs) < self.MOST // 2 else {}
+        return np.diff(out), ids
 
 
 @lru_cache(maxsize=2)
@@ -119,7 +105,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, text: str = "text") -> Non
         part, start, library = TaskContext.get().partitionId(), 0, _library(tokenizer)
         for whole in batches:
             for batch in by_bytes(whole, "text"):
-                sizes, ids = library.encode_all(batch.column("text").to_pylist())
+                sizes, ids = library.encode_all(batch.column("text"))
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(np.full(len(sizes), part), pa.int32()), pa.array(start + ends[:-1], pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))],
