@@ -70,4 +70,58 @@ QUERIES = {
     f.__name__: f
     for f in (op1_bpe, op2_decontamination, op3_language_model, op4_secrets, op5_media, op6_near_duplicates, op7_quality, op8_token_files, op9_licenses, op10_html)
 }
-ORACLE: dict[str, str] = {}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_DECONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, {_WORDS} w FROM documents),
+item AS (SELECT DISTINCT item_id::VARCHAR item_id, {_WORDS} w FROM benchmark),
+item_window AS (SELECT DISTINCT item_id, least(len(w), 13) n, array_to_string(w[i:i + 12], ' ') s FROM item, range(1, greatest(1, len(w) - 12) + 1) x(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM item_window),
+place AS (SELECT r, w, unnest(range(1, len(w) + 1)) i FROM d),
+hit AS (SELECT r, i, p.n, item_id FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') s FROM place, sizes WHERE i + n - 1 <= len(w)) p JOIN item_window USING (n, s)),
+covered AS (SELECT r, count(DISTINCT i + k) n_hit FROM hit, range(13) x(k) WHERE k < n GROUP BY r),
+items AS (SELECT r, list_sort(list_distinct(list(item_id))) ids FROM hit GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)"""
+
+
+def _secret_matches(no: int, kind: str, pattern: str, group: int) -> str:
+    pattern = pattern.replace("'", "''")
+    parts = f"SELECT r, unnest(string_split_regex(text, '{pattern}')) gap, unnest(regexp_extract_all(text, '{pattern}', 0)) whole, unnest(regexp_extract_all(text, '{pattern}', {group})) AS value, generate_subscripts(string_split_regex(text, '{pattern}'), 1) k FROM d"
+    ends = f"SELECT *, sum(length(gap) + coalesce(length(whole), 0)) OVER (PARTITION BY r ORDER BY k) AS stop FROM ({parts})"
+    return f"SELECT r, {no} AS no, '{kind}' AS kind, (stop - length(whole))::BIGINT AS start, (stop - length(value))::BIGINT AS value_start, stop::BIGINT AS stop, value FROM ({ends}) WHERE whole IS NOT NULL AND length(value) >= {secrets.LEAST}"
+
+
+def _any_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+_NAMES = _any_case("password|passwd|secret|token|api_?key")
+_ASSIGN = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_SECRETS = f"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS repo FROM documents),
+m AS ({" UNION ALL ".join((_secret_matches(0, "assign", _ASSIGN, 2), _secret_matches(1, "access", secrets.ACCESS, 0), _secret_matches(2, "hex", secrets.HEX, 0)))}),
+owners AS (SELECT value, count(DISTINCT split_part(repo, '/', 1)) n FROM m JOIN d USING (r) GROUP BY value),
+found AS (SELECT m.*, CASE WHEN n >= {secrets.MIN_OWNERS} THEN 'example' ELSE 'live' END AS label, regexp_matches(value, '{secrets.PLACEHOLDER}') AS placeholder FROM m JOIN owners USING (value)),
+counts AS (SELECT r, {", ".join(f"count(*) FILTER (kind = '{k}') n_{k}" for k in secrets.BASE)}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, no) AS base,
+count(*) FILTER (label = 'live') n_live, count(*) FILTER (label = 'example') n_example, count(*) FILTER (placeholder) n_placeholder FROM found GROUP BY r),
+span AS (SELECT r, start, no, kind, stop FROM found UNION SELECT r, value_start, CASE WHEN label = 'live' THEN 3 ELSE 4 END, label, stop FROM found),
+spans AS (SELECT r, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, no, kind, stop) AS spans FROM span GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in secrets.BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+{", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in ("live", "example", "placeholder"))} FROM d LEFT JOIN counts USING (r) LEFT JOIN spans USING (r)"""
+
+_NEAR = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () r, doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') s FROM d, range(1, greatest(1, len(w) - 4) + 1) x(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) n FROM s GROUP BY r),
+common AS (SELECT a.r a, b.r b, count(*) c FROM s a JOIN s b USING (s) WHERE a.r <> b.r GROUP BY a.r, b.r),
+link AS (SELECT a, b FROM common JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= {neardup.PERCENT} * (x.n + y.n - c)),
+reach AS (SELECT r a, r b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT reach.a r, min(doc_id) component_id FROM reach JOIN d ON d.r = b GROUP BY reach.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM d JOIN least USING (r) LEFT JOIN n USING (r)"""
+
+#: The others aren't SQL: merges of a tokenizer, models fitted in floating point, file formats, MinHash, parsing of HTML.
+ORACLE: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op4_secrets": _SECRETS, "op6_near_duplicates": _NEAR}
