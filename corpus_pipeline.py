@@ -45,8 +45,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, token_ids and the digest of what they decode to."""
-    path = word_bpe()
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"), path)
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), word_bpe(), and_decode=True)
     return out.select("doc_id", "lang", "source", "n_tokens", "token_ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
