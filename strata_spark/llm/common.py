@@ -113,6 +113,17 @@ def by_bytes(batch, column: str | int, most: int = 8 << 20):
         at = to
 
 
+def slices(batches, column: str | int, most: int = 8 << 20):
+    """The slices by_bytes() cuts of all batches; at their end, unused memory goes back, for the stages after it."""
+    import pyarrow as pa
+
+    try:
+        for whole in batches:
+            yield from by_bytes(whole, column, most)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, in whatever case."""
     there = {c.lower() for c in df.columns}
@@ -138,9 +149,8 @@ def add_columns(df: DataFrame, text: str, ddl: str, make, done=None, whole: bool
         import pyarrow as pa
 
         try:
-            for every in batches:
-                for batch in by_bytes(every, at):
-                    yield pa.RecordBatch.from_arrays([batch.column(i) for i, _ in kept] + make(batch if whole else batch.column(at)), [f.name for _, f in kept] + new.names)
+            for batch in slices(batches, at):
+                yield pa.RecordBatch.from_arrays([batch.column(i) for i, _ in kept] + make(batch if whole else batch.column(at)), [f.name for _, f in kept] + new.names)
         finally:
             if done:
                 done()

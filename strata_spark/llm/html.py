@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, by_bytes, staged, unused
+from .common import add_columns, slices, staged, unused
 
 #: Fixed values of HTML: elements without content, with skipped content, those of them that go on to the page's end
 #: if they aren't closed, what a head holds, and elements that don't end a block.
@@ -270,7 +270,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", broadcast_ho
     def vote(batches):
         import pyarrow as pa
 
-        for batch in (b for whole in batches for b in by_bytes(whole, "html")):
+        for batch in slices(batches, "html"):
             total: dict = {}
             for h, source in zip(batch.column("h").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 for path, v in votes(parse(source)).items():

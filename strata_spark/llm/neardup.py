@@ -15,10 +15,10 @@ With 36 bands of 4 registers a link of similarity 0.75 shares no bucket with pro
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, hashed, mix64, split_runs, staged
+from .common import hashed, mix64, slices, split_runs, staged
 from .graph import components
 
 SHINGLE = 5
@@ -95,7 +95,7 @@ def _sketched(docs: DataFrame, text: str) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        for batch in (b for whole in batches for b in by_bytes(whole, 1)):
+        for batch in slices(batches, 1):
             content, n, registers = [], [], []
             for words, s in _word_sets(batch.column(1)):
                 content.append(xxhash.xxh3_128_digest(words))
@@ -150,7 +150,7 @@ def _sets(docs: DataFrame, text: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in (b for whole in batches for b in by_bytes(whole, 1)):
+        for batch in slices(batches, 1):
             sets = [s.tobytes() for _, s in _word_sets(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "items"])
 
@@ -167,7 +167,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         at, heads = None, []
-        for batch in (b for whole in batches for b in by_bytes(whole, "items")):
+        for batch in slices(batches, "items"):
             pivots, ids = [], []
             for pivot, salt, member, items in zip(*(batch.column(c).to_pylist() for c in ("pivot", "salt", "id", "items")), strict=True):
                 if (pivot, salt) != at:
@@ -227,8 +227,9 @@ def _links_of_block(key: int, rows: list) -> list[tuple[int, int]]:
 def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """Links (pivot, id) between different groups in the buckets of live (key, id, label).
 
-    Members are cut into blocks by group; blocks of one and the same group don't meet. A block has `size`
-    members, or fewer if their sets are large: one with very many shingles counts as several.
+    A bucket is cut into blocks of about `size` members, one with very many shingles counting as several. Large
+    groups have blocks of their own, dealt by id, smaller ones share blocks, dealt by label, so no task sees a
+    whole bucket; blocks of one and the same group don't meet.
     """
 
     def run(batches):
@@ -239,7 +240,7 @@ def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFr
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["pivot", "id"])
 
         at, rows = None, []
-        for batch in (b for whole in batches for b in by_bytes(whole, "items")):
+        for batch in slices(batches, "items"):
             columns = (batch.column(c).to_pylist() for c in ("key", "x", "y", "side", "id", "label", "n", "sketch", "items"))
             for key, x, y, *row in zip(*columns, strict=True):
                 if (key, x, y) != at:
@@ -248,9 +249,12 @@ def _linked_in_buckets(live: DataFrame, classes: DataFrame, size: int) -> DataFr
                 rows.append(row)
         yield close()
 
-    before = Window.partitionBy("key").orderBy("label", "id").rowsBetween(Window.unboundedPreceding, -1)
-    weighed = live.join(classes.select("id", (1 + F.floor(F.col("n") / 1024)).alias("weight")), "id")
-    blocks = staged(weighed.withColumn("block", F.floor(F.coalesce(F.sum("weight").over(before), F.lit(0)) / size).cast("int")).drop("weight"), "blocks")
+    weighed = staged(live.join(classes.select("id", (1 + F.floor(F.col("n") / 1024)).alias("weight")), "id"), "weights")
+    of_group = staged(weighed.groupBy("key", "label").agg(F.sum("weight").alias("own")), "weights")
+    of_small = staged(of_group.where(F.col("own") <= size).groupBy("key").agg(F.sum("own").alias("shared")), "weights")
+    dealt = lambda c, weight: F.pmod(F.xxhash64(c), F.ceil(F.col(weight) / size))
+    block = F.when(F.col("own") > size, F.xxhash64("label", dealt("id", "own"))).otherwise(dealt("label", "shared"))
+    blocks = staged(weighed.join(of_group, ["key", "label"]).join(of_small, "key", "left").select("key", "id", "label", block.alias("block")), "blocks")
     groups = blocks.groupBy("key", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     other = groups.select("key", F.col("block").alias("y"), F.col("lo").alias("lo_y"), F.col("hi").alias("hi_y"))
     meet = groups.withColumnRenamed("block", "x").join(other, "key").where("x <= y and (lo < hi or lo_y < hi_y or lo <> lo_y)").select("key", "x", "y")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import distinct_words, pattern_words
-from .common import by_bytes, laid_out, split_runs, work_path
+from .common import laid_out, slices, split_runs, work_path
 
 #: Documents are separated by this id.
 END = 2
@@ -103,15 +103,14 @@ def write(docs: DataFrame, tokenizer: str, path: str, text: str = "text") -> Non
         from pyspark import TaskContext
 
         part, start, library = TaskContext.get().partitionId(), 0, _library(tokenizer)
-        for whole in batches:
-            for batch in by_bytes(whole, "text"):
-                sizes, ids = library.encode_all(batch.column("text"))
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(np.full(len(sizes), part), pa.int32()), pa.array(start + ends[:-1], pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))],
-                    ["doc_id", "part", "part_start", "n_tokens", "ids"],
-                )
-                start += int(ends[-1])
+        for batch in slices(batches, "text"):
+            sizes, ids = library.encode_all(batch.column("text"))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.full(len(sizes), part), pa.int32()), pa.array(start + ends[:-1], pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))],
+                ["doc_id", "part", "part_start", "n_tokens", "ids"],
+            )
+            start += int(ends[-1])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     (
