@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import draw_hash, hash01
+from .geo import GEO
+
+#: Parts of the range of hashes that are counted for each stratum.
+BUCKETS = 4096
 
 
 def projection_ratios(projections: DataFrame, base_year: int, years: tuple[int, int] | None = None) -> DataFrame:
@@ -41,28 +45,32 @@ def stratum_targets(households: DataFrame, ratios: DataFrame, frac: float, on_in
     return out.select("dept", "year", "n", "ratio", "rate", k.alias("k"), "status")
 
 
-def _ranked(households: DataFrame, targets: DataFrame, seed: int, prefilter: bool, verify: bool) -> DataFrame:
-    strata = targets.where("k > 0").select("dept", "year", "n", "rate", "k")
-    draw, p = draw_hash(seed, F.col("year"), F.col("household_id")), F.col("rate")
-    near = hash01(F.col("draw")) < p + 6 * F.sqrt(p / F.col("n")) + 10 / F.col("n")
-    if prefilter and verify:
-        counts = households.join(strata, "dept").withColumn("draw", draw).where(near).groupBy("dept", "year").agg(F.count("*").alias("near"))
-        strata = strata.join(counts, ["dept", "year"], "left").withColumn("short", F.coalesce("near", F.lit(0)) < F.col("k")).drop("near")
-    else:
-        strata = strata.withColumn("short", F.lit(not prefilter))
-    drawn = households.join(strata, "dept").withColumn("draw", draw).where(F.col("short") | near)
-    rank = F.row_number().over(Window.partitionBy("dept", "year").orderBy("draw", "household_id"))
-    return drawn.withColumn("rank", rank).where("rank <= k").drop("rank", "draw", "short", "n", "rate", "k")
+def _hinted(strata: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(strata) if small else strata
 
 
-def draw_exact(households: DataFrame, targets: DataFrame, seed: int, prefilter: bool = True, verify: bool = True) -> DataFrame:
+def draw_exact(households: DataFrame, targets: DataFrame, seed: int, small: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """households with year: k of each department and year, the first in the order of their hashes.
 
-    Only households whose hash is below the rate and a margin of six deviations are ranked, so a large
-    department isn't sorted whole. With verify these are counted first, in the same plan, and a stratum with
-    fewer than k of them (many rows of one household_id share a hash) is ranked whole; without, it comes short.
+    Hashes are counted by stratum and bucket, in partial sums; the sums tell in which bucket the k-th household
+    lies. Buckets before it are taken whole and only that one's households are ranked, so no stratum is sorted.
+    Exact for any rows: many of one household_id share a bucket. small says that the strata are few (their
+    number is bounded); they are broadcast then, and households aren't shuffled by department.
     """
-    return _ranked(households, targets, seed, prefilter, verify)
+    strata = targets.where("k > 0").select("dept", "year", "k")
+    digest = draw_hash(seed, F.col("year"), F.col("household_id"))
+    bucket = F.floor(hash01(F.col("draw")) * buckets).cast("int")
+    counts = households.select("dept", "household_id").join(_hinted(strata, small), "dept").withColumn("draw", digest).groupBy("dept", "year", "k", bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    up_to = F.sum("n").over(Window.partitionBy("dept", "year", "k").orderBy("bucket"))
+    of_stratum = counts.withColumn("upto", up_to).groupBy("dept", "year", "k").agg(
+        F.coalesce(F.min(F.when(F.col("upto") >= F.col("k"), F.col("bucket"))), F.lit(buckets)).alias("last"),
+        F.coalesce(F.sum(F.when(F.col("upto") < F.col("k"), F.col("n"))), F.lit(0)).alias("taken"),
+    )
+    cuts = of_stratum.select("dept", "year", "last", (F.col("k") - F.col("taken")).alias("rest"))
+    drawn = households.join(_hinted(cuts, small), "dept").withColumn("draw", digest).withColumn("bucket", bucket).where("bucket <= last")
+    apart = F.when(F.col("bucket") < F.col("last"), F.col("household_id"))  # taken anyway: spread, not sorted together
+    rank = F.row_number().over(Window.partitionBy("dept", "year", apart).orderBy("draw", "household_id"))
+    return drawn.withColumn("rank", rank).where("bucket < last or rank <= rest").drop("rank", "draw", "bucket", "last", "rest")
 
 
 def short_strata(drawn: DataFrame, targets: DataFrame) -> DataFrame:
@@ -71,10 +79,10 @@ def short_strata(drawn: DataFrame, targets: DataFrame) -> DataFrame:
     return targets.where("k > 0").join(got, ["dept", "year"], "left").where("coalesce(drawn, 0) <> k")
 
 
-def draw_bernoulli(households: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+def draw_bernoulli(households: DataFrame, targets: DataFrame, seed: int, small: bool = False) -> DataFrame:
     """households with year: each one by its own hash, so sizes vary around k. Works on streams of households too."""
     usable = targets.where("status in ('ok', 'capped')").select("dept", "year", "rate")
-    out = households.join(usable, "dept").where(hash01(draw_hash(seed, F.col("year"), F.col("household_id"))) < F.col("rate"))
+    out = households.join(_hinted(usable, small), "dept").where(hash01(draw_hash(seed, F.col("year"), F.col("household_id"))) < F.col("rate"))
     return out.drop("rate")
 
 
@@ -91,20 +99,20 @@ def sampled_by_year(children: DataFrame, drawn: DataFrame, key: str) -> DataFram
 def flatten(drawn: DataFrame, dwellings: DataFrame, persons: DataFrame, tracts: DataFrame) -> DataFrame:
     """One row per person of a drawn household, with household, dwelling and geography.
 
-    Geography depends on the tract alone and is taken from one side, so a null agglomerate loses no rows.
-    Households without persons go.
+    Geography depends on the tract alone and is taken from the drawn households, so a null agglomerate loses no
+    rows; where they have none, tracts are joined. Households without persons go.
     """
-    geo = [c for c in ("tract_id", "prov", "agglomerate", "dept") if c in drawn.columns]
-    base = drawn.drop(*geo)
-    return base.join(dwellings, "dwelling_id").join(tracts.select("tract_id", "dept", "prov", "agglomerate"), "tract_id").join(persons, "household_id")
-
-
-def row_counts(**tables: DataFrame) -> DataFrame:
-    """(name, rows) of several tables, in one job."""
-    out = None
-    for name, df in tables.items():
-        one = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
+    placed = {"tract_id", *GEO} <= set(drawn.columns)
+    base = drawn if placed else drawn.drop("tract_id", *GEO)
+    out = base.join(dwellings.drop("tract_id") if placed else dwellings, "dwelling_id")
+    return (out if placed else out.join(tracts.select("tract_id", *GEO), "tract_id")).join(persons, "household_id")
+
+
+def level_counts(drawn: DataFrame, dwellings: DataFrame, persons: DataFrame) -> DataFrame:
+    """(name, n_rows) of drawn households, of those with a dwelling and of the flat sample, from one pass over the draw."""
+    homes = dwellings.groupBy("dwelling_id").agg(F.count("*").alias("homes"))
+    members = persons.groupBy("household_id").agg(F.count("*").alias("members"))
+    rows = drawn.select("household_id", "dwelling_id").join(homes, "dwelling_id", "left").join(members, "household_id", "left").fillna(0, ["homes", "members"])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    one = rows.agg(F.count("*").alias("drawn"), total("homes").alias("with_dwelling"), total(F.col("homes") * F.col("members")).alias("flat"))
+    return one.unpivot([], ["drawn", "with_dwelling", "flat"], "name", "n_rows")

@@ -1,3 +1,3 @@
-from .run import TABULATED, draw, sample_job, tabulate_job
+from .run import TABULATED, draw, run_job, sample_job, tabulate_job
 
-__all__ = ["TABULATED", "draw", "sample_job", "tabulate_job"]
+__all__ = ["TABULATED", "draw", "run_job", "sample_job", "tabulate_job"]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import geo, sampling, tabulate
+from ..operators import geo, sampling, tabulate, validate
+from ..sources import files
 from ..spec import SampleSpec
 
+#: Strata (departments times years) up to which they are broadcast; a country has some hundreds of departments.
+BROADCAST_STRATA = 100_000
 TABULATED = ("tenure", "activity", "sex", "age_bin", "literacy")
 
 
@@ -16,16 +19,33 @@ def draw(dwellings: DataFrame, households: DataFrame, tracts: DataFrame, project
     placed = geo.attach_geo(geo.with_tract(households, dwellings, "dwelling_id"), tracts)
     ratios = sampling.projection_ratios(projections, spec.base_year, spec.years)
     targets = sampling.stratum_targets(placed, ratios, spec.frac, spec.on_invalid)
-    drawn = sampling.draw_bernoulli(placed, targets, spec.seed) if spec.method == "bernoulli" else sampling.draw_exact(placed, targets, spec.seed)
+    small = tracts.select("dept").distinct().count() * len(range(*spec.years)) <= BROADCAST_STRATA  # of the list of tracts
+    drawn = (sampling.draw_bernoulli if spec.method == "bernoulli" else sampling.draw_exact)(placed, targets, spec.seed, small)
     return drawn, targets
 
 
 def sample_job(dwellings: DataFrame, households: DataFrame, persons: DataFrame, tracts: DataFrame, projections: DataFrame, spec: SampleSpec) -> tuple[DataFrame, DataFrame]:
-    """The flat sample of all years, and the stratum report."""
+    """The flat sample of all years, and the stratum report. Columns that are missing give a warning."""
+    for level, df, known in (("dwelling", dwellings, ()), ("household", households, ("tract_id", "dept")), ("person", persons, ("tract_id",))):
+        validate.missing_columns(df, [c for c in validate.REQUIRED[level] if c not in known])  # known: attached on the way
     drawn, targets = draw(dwellings, households, tracts, projections, spec)
     return sampling.flatten(drawn, dwellings, persons, tracts), targets
 
 
+def run_job(spark: SparkSession, census: str, projections: str, tract_reference: str, out: str, spec: SampleSpec, fmt: str = "parquet", departments: str | None = None, provinces: str | None = None) -> None:
+    """Reads the census folder and the reference files, draws, and writes sample, CSV names and manifest below out.
+
+    departments and provinces are code lists; where they are given, codes of the spec that they lack stop the run.
+    """
+    for codes, path, name in ((spec.departments, departments, "DPTO"), (spec.provinces, provinces, "PROV")):
+        if codes and path:
+            wanted = spark.createDataFrame([(c,) for c in codes], "code int")
+            validate.known_codes(wanted, files.read_codes(spark, path, name), "code")
+    sample, report = sample_job(*files.read_tables(spark, census), files.read_tract_reference(spark, tract_reference), files.read_projections(spark, projections), spec)
+    files.write_sample(sample, f"{out}/sample", fmt) if fmt != "csv" else files.write_named_csv(sample, out, spec)
+    files.write_manifest(report, spec, f"{out}/manifest")
+
+
 def tabulate_job(dwellings: DataFrame, households: DataFrame, persons: DataFrame, bridge: DataFrame) -> DataFrame:
     """One-way tables of adults per circuit, in long form."""
     rows = tabulate.in_circuits(tabulate.adults(persons), geo.with_tract(households, dwellings, "dwelling_id"), bridge)

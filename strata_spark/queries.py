@@ -88,8 +88,7 @@ def _flat(t):
 
 
 def _row_counts(t):
-    drawn = t.drawn(ONE_YEAR)
-    return sampling.row_counts(drawn=drawn, with_dwelling=drawn.join(t.dwelling.select("dwelling_id"), "dwelling_id"), flat=_flat(t))
+    return sampling.level_counts(t.drawn(ONE_YEAR), t.dwelling, t.person)
 
 
 def _orphans(t):
@@ -142,7 +141,7 @@ _QUERIES = {
     "crosstab_with_projection": lambda t: tabulate.with_projection(tabulate.one_way(t.adults_in_circuits, "sex"), t.projection.select("dept", F.col("1995").alias("pop1995"), F.col("1998").alias("pop1998"))),
     "code_labels": _labels,
     "unknown_codes": lambda t: validate.unknown_codes(t.read("lineitem").selectExpr("cast(l_linenumber * 6 as int) dept"), t.tract, "dept"),
-    "missing_columns": lambda t: t.tract.agg(F.count("*").alias("n_tracts")).withColumn("missing", F.lit(",".join(c for c in validate.REQUIRED["dwelling"] if c not in t.household.columns))),
+    "missing_columns": lambda t: validate.missing_report({"dwelling": t.dwelling, "household": t.placed, "person": geo.with_tract(t.person, t.placed, "household_id")}),
     "orphan_report": _orphans,
     "tracts_in_several_circuits": lambda t: validate.repeated_keys(t.bridge, "tract_id"),
 }
@@ -224,6 +223,14 @@ _SQL = {
     "crosstab_with_projection": f", t AS ({_one_way('sex')}) SELECT t.*, p1995 AS pop1995, p1998 AS pop1998 FROM t LEFT JOIN projection USING (dept)",
     "code_labels": "SELECT t.*, n_name AS dept_name, r_name AS prov_name FROM (SELECT dept, prov, count(*) AS n_tracts FROM tract GROUP BY dept, prov) t LEFT JOIN nation ON n_nationkey = dept LEFT JOIN region ON r_regionkey = prov",
     "unknown_codes": "SELECT DISTINCT (l_linenumber * 6)::INT AS dept FROM lineitem WHERE (l_linenumber * 6)::INT NOT IN (SELECT dept FROM tract)",
+    "missing_columns": " UNION ALL ".join(
+        f"SELECT '{level}' AS level, (SELECT count(*) FROM {rows}) AS n_rows, coalesce((SELECT string_agg(c, ',' ORDER BY k) FROM (VALUES {', '.join(f'({k}, {chr(39)}{c}{chr(39)})' for k, c in enumerate(needed))}) need(k, c) WHERE c NOT IN (SELECT column_name FROM (DESCRIBE {shape}))), '') AS missing"
+        for level, needed, rows, shape in (
+            ("dwelling", ("dwelling_id", "tract_id"), "dwelling", "SELECT c_custkey dwelling_id, c_nationkey tract_id FROM customer"),
+            ("household", ("household_id", "dwelling_id", "tract_id", "dept"), "placed", "SELECT o_orderkey household_id, o_custkey dwelling_id, c_nationkey tract_id, c_nationkey dept FROM orders, customer"),
+            ("person", ("person_id", "household_id", "tract_id"), "(SELECT 1 FROM person JOIN placed USING (household_id)) x", "SELECT l_orderkey household_id, l_linenumber person_no, c_nationkey tract_id FROM lineitem, customer"),
+        )
+    ),
     "orphan_report": "SELECT 'household' AS relation, count(*) AS n_orphans FROM household WHERE dwelling_id NOT IN (SELECT dwelling_id FROM dwelling) UNION ALL SELECT 'person', count(*) FROM person WHERE household_id NOT IN (SELECT household_id FROM household) UNION ALL SELECT 'dwelling', count(*) FROM dwelling WHERE tract_id NOT IN (SELECT tract_id FROM tract)",
     "tracts_in_several_circuits": "SELECT tract_id, count(*) AS n FROM bridge GROUP BY tract_id HAVING count(*) > 1",
 }

@@ -1,3 +1,3 @@
-from .files import read_columns, read_projections, read_tables, read_tract_reference, run_manifest, write_sample, write_tables
+from .files import read_circuits, read_codes, read_columns, read_projections, read_tables, read_tract_codes, read_tract_reference, run_manifest, write_manifest, write_named_csv, write_sample, write_tables
 
-__all__ = ["read_columns", "read_projections", "read_tables", "read_tract_reference", "run_manifest", "write_sample", "write_tables"]
+__all__ = ["read_circuits", "read_codes", "read_columns", "read_projections", "read_tables", "read_tract_codes", "read_tract_reference", "run_manifest", "write_manifest", "write_named_csv", "write_sample", "write_tables"]

@@ -7,15 +7,22 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import zero_filled
 from ..spec import CENSUS, Hierarchy, SampleSpec
 
 
-def read_columns(spark: SparkSession, path: str, types: dict[str, str], sep: str = ",") -> DataFrame:
-    """Named columns of a file with a header (or of Parquet), cast; other columns aren't parsed. Blank codes are null.
+def read_columns(spark: SparkSession, path: str, types: dict[str, str], sep: str = ",", fmt: str | None = None) -> DataFrame:
+    """Named columns of a CSV file with a header, or of Parquet, cast; other columns aren't parsed. Blank codes are null.
 
-    The header is read as strings first, as a schema given to the CSV reader would bind by place, not by name.
+    fmt is csv or parquet, by default as the path ends. The header of a CSV file is read as strings first, as a
+    schema given to its reader would bind by place, not by name. Columns of Parquet that have their type already
+    stay as they are, so filters reach its scan.
     """
-    df = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else spark.read.option("header", True).option("sep", sep).option("encoding", "utf-8").csv(path)
+    if (fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")) == "parquet":
+        df = spark.read.parquet(path)
+        there = dict(df.dtypes)
+        return df.select(*[F.col(f"`{c}`").alias(c) if there.get(c) == df.select(F.lit(None).cast(t).alias("x")).dtypes[0][1] else F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()])
+    df = spark.read.option("header", True).option("sep", sep).option("encoding", "utf-8").csv(path)
     return df.select(*[F.nullif(F.trim(F.col(f"`{c}`").cast("string")), F.lit("")).cast(t).alias(c) for c, t in types.items()])
 
 
@@ -33,11 +40,28 @@ def read_tract_reference(spark: SparkSession, path: str, tract: str = "RADIO_REF
     return read_columns(spark, path, types).toDF("tract_id", "dept", "prov", "agglomerate")
 
 
-def read_projections(spark: SparkSession, path: str, dept: str = "DPTO") -> DataFrame:
-    """(dept, one column per year) with the years as doubles; the department's name isn't read."""
+def read_tract_codes(spark: SparkSession, path: str, tract: str = "RADIO_REF_ID", dept: str = "DPTO", prov: str = "PROV_REF_ID", code: str = "radio") -> DataFrame:
+    """(tract_id, dept, prov, code) of the tract reference, for circuits: the province by its reference number, the code as text."""
+    return read_columns(spark, path, {tract: "long", dept: "int", prov: "int", code: "string"}).toDF("tract_id", "dept", "prov", "code")
+
+
+def read_circuits(spark: SparkSession, path: str, code: str = "COD_2010", circuit: str = "circuito", width: int = 9) -> DataFrame:
+    """(code, circuit) as text; zeros that a spreadsheet has cut off come back."""
+    rows = read_columns(spark, path, {code: "string", circuit: "string"}).toDF("code", "circuit")
+    return rows.withColumn("code", zero_filled(F.col("code"), width))
+
+
+def read_codes(spark: SparkSession, path: str, code: str, label: str | None = None) -> DataFrame:
+    """(code, label) of a code list such as DPTO, NOMDPTO or PROV, NOMPROV; the label's column is NOM and the code's by default."""
+    return read_columns(spark, path, {code: "int", label or f"NOM{code}": "string"}).toDF("code", "label")
+
+
+def read_projections(spark: SparkSession, path: str, dept: str = "DPTO", name: str | None = "NOMDPTO") -> DataFrame:
+    """(dept, dept_name, one column per year) with the years as doubles; dept_name is left out where the file has none."""
     header = spark.read.option("header", True).csv(path).columns
+    names = {name: "string"} if name in header else {}
     years = [c for c in header if c.isdigit()]
-    return read_columns(spark, path, {dept: "int"} | dict.fromkeys(years, "double")).withColumnRenamed(dept, "dept")
+    return read_columns(spark, path, {dept: "int"} | names | dict.fromkeys(years, "double")).withColumnsRenamed({dept: "dept", name or "": "dept_name"})
 
 
 def write_sample(sample: DataFrame, folder: str, fmt: str = "parquet", single_file: bool = False) -> None:
@@ -47,6 +71,17 @@ def write_sample(sample: DataFrame, folder: str, fmt: str = "parquet", single_fi
     (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(folder)
 
 
+def write_named_csv(sample: DataFrame, folder: str, spec: SampleSpec) -> None:
+    """A folder table_f{frac}_{year}_{name}.csv for each year of the spec, with as many part files as tasks."""
+    for year in range(*spec.years):
+        sample.where(F.col("year") == year).write.mode("overwrite").option("header", True).csv(f"{folder}/table_f{spec.frac}_{year}_{spec.name}.csv")
+
+
+def write_manifest(report: DataFrame, spec: SampleSpec, folder: str) -> None:
+    """The manifest as JSON lines."""
+    run_manifest(report, spec).write.mode("overwrite").json(folder)
+
+
 def write_tables(long_table: DataFrame, folder: str, fmt: str = "csv") -> None:
     """A tabulation in long form, one folder per variable."""
     writer = long_table.write.mode("overwrite").partitionBy("variable")

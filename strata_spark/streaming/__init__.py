@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.sampling import draw_bernoulli
 
 
+def sample_stream(households: DataFrame, targets: DataFrame, seed: int, folder: str, checkpoint: str) -> StreamingQuery:
+    """Draws from a stream of households and appends to Parquet, one folder per year; takes what is there and ends.
+
+    A household that a rerun delivers again is written once, by the checkpoint.
+    """
+    writer = draw_stream(households, targets, seed).writeStream.format("parquet").partitionBy("year").option("path", folder)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def draw_stream(households: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     """A streaming DataFrame of households (with dept) joined with static targets and drawn by hash."""
     return draw_bernoulli(households, targets, seed)

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from strata_spark import sources
 from strata_spark.functions import age_bin, draw_hash, hash01, zero_filled
 from strata_spark.operators import geo, sampling, tabulate, validate
-from strata_spark.plans import draw, sample_job
+from strata_spark.plans import draw, run_job, sample_job
 from strata_spark.spec import SampleSpec
-from strata_spark.streaming import draw_stream
+from strata_spark.streaming import draw_stream, sample_stream
 
 
 @pytest.fixture
@@ -43,10 +43,10 @@ def test_draw(spark):
     households = spark.range(3000).selectExpr("id household_id", "cast(id % 3 as int) dept")
     ratios = spark.createDataFrame([(d, y, r) for d, r in ((0, 1.0), (1, 0.5), (2, 2.0)) for y in (2015, 2016)], "dept int, year int, ratio double")
     targets = sampling.stratum_targets(households, ratios, 0.1)
-    drawn = sampling.draw_exact(households, targets, 3, verify=True)
+    drawn = sampling.draw_exact(households, targets, 3)
     keys = {tuple(r) for r in drawn.select("year", "household_id").collect()}
     assert {(r.dept, r.year): r["count"] for r in drawn.groupBy("dept", "year").count().collect()} == {(d, y): k for d, k in ((0, 100), (1, 50), (2, 200)) for y in (2015, 2016)}
-    assert len(keys) == 700 and keys == {tuple(r) for r in sampling.draw_exact(households.repartition(7), targets, 3, prefilter=False).select("year", "household_id").collect()}
+    assert len(keys) == 700 and keys == {tuple(r) for r in sampling.draw_exact(households.repartition(7), targets, 3, small=True, buckets=5).select("year", "household_id").collect()}
     assert sampling.short_strata(drawn, targets).isEmpty() and not sampling.short_strata(drawn.where("household_id > 50"), targets).isEmpty()
     some = households.where("dept < 2")
     assert {tuple(r) for r in sampling.draw_exact(some, targets.where("dept < 2"), 3).select("year", "household_id").collect()} == {tuple(r) for r in drawn.where("dept < 2").select("year", "household_id").collect()}
@@ -61,13 +61,11 @@ def test_draw_is_whole_where_a_household_id_holds_a_third_of_a_department(spark)
     ratios = spark.createDataFrame([(d, y, 1.0) for d in (0, 1) for y in range(2010, 2016)], "dept int, year int, ratio double")
     targets = sampling.stratum_targets(rows, ratios, 0.3)
     drawn = sampling.draw_exact(rows, targets, 3)
-    assert not sampling.short_strata(sampling.draw_exact(rows, targets, 3, verify=False), targets).isEmpty()
     assert sampling.short_strata(drawn, targets).isEmpty() and set(drawn.columns) == {*rows.columns, "year"}
     order = Window.partitionBy("dept", "year").orderBy(draw_hash(3, F.col("year"), F.col("household_id")), "household_id")
     want = rows.join(targets.select("dept", "year", "k"), "dept").withColumn("rn", F.row_number().over(order)).where("rn <= k").groupBy("dept", "year", "household_id").count()
     assert {tuple(r) for r in drawn.groupBy("dept", "year", "household_id").count().collect()} == {tuple(r) for r in want.collect()}
-    alone = sampling.draw_exact(rows, targets.withColumn("n", F.lit(10**12)), 3)
-    assert sampling.short_strata(alone, targets).isEmpty()
+    assert sampling.draw_exact(rows, targets.withColumn("k", F.lit(10**12)), 3).count() == 6 * rows.count()
 
 
 def test_flat_sample_keeps_null_agglomerates(tiny):
@@ -131,7 +129,7 @@ def test_files(spark, tmp_path, tiny):
     assert d.first().asDict() == {"dwelling_id": 10, "tract_id": 7, "URP": 1, "TIPVV": 2, "V01": None}
     assert h.first().household_id == 1 and h.first().TOTPERS == 3 and p.first().P03 == 40
     (tmp_path / "proj.csv").write_text("DPTO,NOMDPTO,2010,2015\n11,Año,10,20\n")
-    assert sources.read_projections(spark, str(tmp_path / "proj.csv")).first().asDict() == {"dept": 11, "2010": 10.0, "2015": 20.0}
+    assert sources.read_projections(spark, str(tmp_path / "proj.csv")).first().asDict() == {"dept": 11, "dept_name": "Año", "2010": 10.0, "2015": 20.0}
     (tmp_path / "ref.csv").write_text("PROV,DPTO,AGLOMERADO,RADIO_REF_ID\n1,11,,7\n")
     assert tuple(sources.read_tract_reference(spark, str(tmp_path / "ref.csv")).first()) == (7, 11, 1, None)
     spec = SampleSpec(frac=1.0, years=(2015, 2017), base_year=2010, departments=(11,))
@@ -142,6 +140,50 @@ def test_files(spark, tmp_path, tiny):
         again = spark.read.option("header", True).csv(str(tmp_path / fmt)) if fmt == "csv" else spark.read.parquet(str(tmp_path / fmt))
         assert again.count() == flat.count() > 0
     assert sources.run_manifest(report, spec).first().spec_departments == "(11,)"
+    sources.write_manifest(report, spec, str(tmp_path / "manifest"))
+    assert spark.read.json(str(tmp_path / "manifest")).count() == report.count()
+    sources.write_named_csv(flat, str(tmp_path / "named"), spec)
+    assert sorted(p.name for p in (tmp_path / "named").iterdir()) == ["table_f1.0_2015_sample.csv", "table_f1.0_2016_sample.csv"]
+    long_table = spark.createDataFrame([(1, "sex", "F", 3), (1, "age", "old", 2)], "prov int, variable string, value string, n long")
+    for fmt in ("csv", "parquet"):
+        sources.write_tables(long_table, str(tmp_path / f"tables-{fmt}"), fmt)
+        assert sorted(p.name for p in (tmp_path / f"tables-{fmt}").glob("v*")) == ["variable=age", "variable=sex"]
+
+
+def test_reference_files(spark, tmp_path):
+    (tmp_path / "dptos.csv").write_text("DPTO,NOMDPTO\n2001,Comuna 01\n")
+    codes = sources.read_codes(spark, str(tmp_path / "dptos.csv"), "DPTO")
+    assert tuple(codes.first()) == (2001, "Comuna 01")
+    with pytest.raises(ValueError, match="99"):
+        validate.known_codes(spark.createDataFrame([(2001,), (99,)], "code int"), codes, "code")
+    (tmp_path / "circuits.csv").write_text("x,circuito,COD_2010\n1,0007,20010101\n2,A,\n")
+    (tmp_path / "ref.csv").write_text("PROV,DPTO,AGLOMERADO,RADIO_REF_ID,radio,PROV_REF_ID\n2,2001,,7,20010101,1\n")
+    circuits, tracts = sources.read_circuits(spark, str(tmp_path / "circuits.csv")), sources.read_tract_codes(spark, str(tmp_path / "ref.csv"))
+    assert {tuple(r) for r in circuits.collect()} == {("020010101", "0007"), (None, "A")}
+    assert [tuple(r) for r in geo.circuit_bridge(circuits, tracts).collect()] == [(7, 1, 2001, "0007")]
+    spark.range(9).selectExpr("id", "cast(id as string) s").write.parquet(str(tmp_path / "p.parquet"))
+    scan = sources.read_columns(spark, str(tmp_path / "p.parquet"), {"id": "long"}).where("id = 3")
+    assert scan.count() == 1 and "EqualTo(id,3)" in scan._jdf.queryExecution().toString()
+
+
+def test_a_whole_run(spark, tmp_path):
+    census = tmp_path / "census"
+    census.mkdir()
+    (census / "VIVIENDA.csv").write_text("VIVIENDA_REF_ID;RADIO_REF_ID;URP;TIPVV;V01\n" + "".join(f"{i};7;1;1;1\n" for i in range(20)))
+    (census / "HOGAR.csv").write_text(";".join(["HOGAR_REF_ID", "VIVIENDA_REF_ID", *[f"H{k:02}" for k in range(5, 17)], "PROP", "TOTPERS"]) + "\n" + "".join(f"{i};{i}" + ";3" * 14 + "\n" for i in range(20)))
+    (census / "PERSONA.csv").write_text("PERSONA_REF_ID;HOGAR_REF_ID;P01;P02;P03;P05;P06;P07;P12;P08;P09;P10;CONDACT\n" + "".join(f"{i};{i % 20};1;2;40;1;1;1;1;1;1;1;1\n" for i in range(60)))
+    (tmp_path / "proj.csv").write_text("DPTO,NOMDPTO,2010,2015\n11,Año,10,20\n")
+    (tmp_path / "ref.csv").write_text("PROV,DPTO,AGLOMERADO,RADIO_REF_ID\n1,11,,7\n")
+    (tmp_path / "dptos.csv").write_text("DPTO,NOMDPTO\n11,Año\n")
+    files = str(census), str(tmp_path / "proj.csv"), str(tmp_path / "ref.csv")
+    run_job(spark, *files, str(tmp_path / "out"), SampleSpec(frac=0.1, years=(2015, 2016), departments=(11,), name="t"), departments=str(tmp_path / "dptos.csv"))
+    run_job(spark, *files, str(tmp_path / "out"), SampleSpec(frac=0.1, years=(2015, 2016), name="t"), "csv")
+    rows = spark.read.parquet(str(tmp_path / "out" / "sample"))
+    assert rows.count() == 12 and rows.select("household_id").distinct().count() == 4
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "table_f0.1_2015_t.csv")).count() == 12
+    assert spark.read.json(str(tmp_path / "out" / "manifest")).first().k == 4
+    with pytest.raises(ValueError, match="unknown codes"):
+        run_job(spark, *files, str(tmp_path / "out"), SampleSpec(departments=(12,)), departments=str(tmp_path / "dptos.csv"))
 
 
 def test_stream(spark, tmp_path, tiny):
@@ -151,4 +193,5 @@ def test_stream(spark, tmp_path, tiny):
     stream = spark.readStream.schema(households.schema).parquet(str(tmp_path / "in"))
     q = draw_stream(stream, targets, 1).writeStream.format("memory").queryName("drawn").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(60)
-    assert spark.table("drawn").count() == sampling.draw_bernoulli(households, targets, 1).count() > 50
+    sample_stream(stream, targets, 1, str(tmp_path / "out"), str(tmp_path / "c2")).awaitTermination(60)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == spark.table("drawn").count() == sampling.draw_bernoulli(households, targets, 1).count() > 50
