@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import add_columns
 
 ALIGN = 64
+#: Frames of one signal that are worked on at once; a multiple of every AudioSpec.up in use.
+FRAMES_AT_ONCE = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -107,24 +109,47 @@ def frame_counts(sizes: np.ndarray, spec: AudioSpec) -> np.ndarray:
 def log_mel(payloads: list[bytes], spec: AudioSpec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Frames of each signal, and of all frames the log-mel rows and energies, both in dB to two places.
 
-    Signals are laid out one after the other with silence between, so that one call of each step serves all.
+    Signals are laid out one after the other with silence between, so that one call of each step serves all; a
+    long one alone is worked on in blocks of frames, with the samples around each block that the filter needs.
     """
     sizes = np.array([len(p) for p in payloads]) * spec.up // spec.down
     counts = frame_counts(sizes, spec)
+    if len(payloads) == 1 and counts[0] > FRAMES_AT_ONCE:
+        parts = [_features(*_block(payloads[0], f, min(int(counts[0]), f + FRAMES_AT_ONCE), spec), spec) for f in range(0, int(counts[0]), FRAMES_AT_ONCE)]
+        return counts, *(np.concatenate(x) for x in zip(*parts, strict=True))
     slots = -(-((counts - 1) * spec.hop + spec.frame + 2 * spec.half_taps) // spec.up) * spec.down * spec.up
     starts = np.concatenate([[0], np.cumsum(slots)])
     signal = np.zeros(int(starts[-1]))
     for p, at in zip(payloads, starts, strict=False):
-        x = (np.frombuffer(p, np.uint8).astype(np.float64) - 128) / 128
-        signal[at : at + len(x)] = x
+        signal[at : at + len(p)] = _samples(p)
     y = resample(signal, spec)
     first = np.repeat(starts[:-1] * spec.up // spec.down, counts)
     nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    frames = np.lib.stride_tricks.sliding_window_view(y, spec.frame)[first + nth * spec.hop]
+    return counts, *_features(y, first + nth * spec.hop, spec)
+
+
+def _samples(payload: bytes) -> np.ndarray:
+    return (np.frombuffer(payload, np.uint8).astype(np.float64) - 128) / 128
+
+
+def _block(payload: bytes, first: int, last: int, spec: AudioSpec) -> tuple[np.ndarray, np.ndarray]:
+    """The resampled signal of frames first to last, and where in it they begin; first is a multiple of spec.up."""
+    wide = spec.down * spec.half_taps * max(spec.up, spec.down)
+    at = first * spec.hop * spec.down // spec.up - wide
+    to = -(-((last - 1) * spec.hop + spec.frame) * spec.down // spec.up) + wide
+    x = _samples(payload[max(0, at) : to])
+    x = np.concatenate([np.zeros(max(0, -at)), x, np.zeros(max(0, to - len(payload)))])
+    y = resample(x, spec)[wide * spec.up // spec.down :]
+    return y, np.arange(last - first) * spec.hop
+
+
+def _features(y: np.ndarray, starts: np.ndarray, spec: AudioSpec) -> tuple[np.ndarray, np.ndarray]:
+    """Log-mel rows and energies of the frames that begin there."""
+    frames = np.lib.stride_tricks.sliding_window_view(y, spec.frame)[starts]
     frames = (frames - frames.mean(axis=1, keepdims=True)) * np.hanning(spec.frame)
     power = np.abs(np.fft.rfft(frames, axis=1)) ** 2 / spec.frame
     db = lambda e: np.round(10 * np.log10(e + 1e-10), 2)
-    return counts, db(power @ mel_filters(spec)).astype(np.float32), db(power.mean(axis=1))
+    return db(power @ mel_filters(spec)).astype(np.float32), db(power.mean(axis=1))
 
 
 def segments(energy: np.ndarray, spec: AudioSpec) -> list[tuple[float, float]]:

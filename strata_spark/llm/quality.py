@@ -12,13 +12,15 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import add_columns
 
 #: Labelled documents that a model is fitted on at most, those with the least hash of doc_id.
 TRAINING_DOCUMENTS = 3000
+#: Lines of these documents that it is fitted on at most; the documents that would exceed them are left out.
+TRAINING_LINES = 400_000
 #: A document is good from this score on.
 GOOD = 0.7
 BINS = 8
@@ -162,12 +164,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", most: int = TRAINING_DOCUMENTS) -> Model | None:
-    """A model of `most` labelled rows that aren't held out, by the least hash of doc_id; None without labels of both kinds."""
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", most: int = TRAINING_DOCUMENTS, most_lines: int = TRAINING_LINES) -> Model | None:
+    """A model of `most` labelled rows that aren't held out, by the least hash of doc_id; None without labels of both kinds.
+
+    In the same order, rows are taken as long as they have no more than most_lines lines together.
+    """
     rows = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id"))).select("doc_id", "quality")
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
     lines = add_columns(docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id"), text, "features binary, sizes binary", _packed).select("doc_id", "quality", "features", "sizes")
-    got = lines.orderBy("doc_id", "quality", "features").toPandas()  # of `most` documents
+    hashed = lines.withColumns({"lines": F.octet_length("sizes") / 8, "hash": F.xxhash64("doc_id")})
+    up_to = F.sum("lines").over(Window.orderBy("hash", "doc_id", "quality", "lines"))  # of `most` documents
+    got = hashed.withColumn("up_to", up_to).where(F.col("up_to") <= most_lines).select("doc_id", "quality", "features", "sizes").orderBy("doc_id", "quality", "features").toPandas()  # of so many lines
     if got.quality.nunique() < 2:
         return None
     found = [(np.frombuffer(f, np.int16).reshape(-1, 3 * MEASURES), np.frombuffer(s, np.int64)) for f, s in zip(got.features, got.sizes, strict=True)]

@@ -83,3 +83,12 @@ def test_media_and_tensors_are_stored_and_read_again(spark):
     wav = spark.read.parquet(new["media"]).join(docs, "doc_id").first()
     assert media.from_wav(wav.media) == media.padded(wav.text.encode())
     assert pa.ipc.open_stream(spark.read.parquet(new["features"]).first().log_mel).read_all().num_rows > 0
+
+
+@pytest.mark.parametrize("spec", [media.AudioSpec(), media.AudioSpec(up=2, down=3)])
+def test_long_signals_are_worked_on_in_blocks(spec, monkeypatch):
+    payload = np.random.default_rng(3).integers(0, 256, 64 * 900, np.uint8).tobytes()
+    whole = media.log_mel([payload], spec)
+    monkeypatch.setattr(media, "FRAMES_AT_ONCE", 10)
+    for a, b in zip(whole, media.log_mel([payload], spec), strict=True):
+        assert np.array_equal(a, b)
