@@ -9,7 +9,7 @@ from ..functions import draw_hash, hash01
 from .geo import GEO
 
 #: Parts of the range of hashes that are counted for each stratum.
-BUCKETS = 4096
+BUCKETS = 512
 
 
 def projection_ratios(projections: DataFrame, base_year: int, years: tuple[int, int] | None = None) -> DataFrame:
@@ -35,20 +35,50 @@ def stratum_targets(households: DataFrame, ratios: DataFrame, frac: float, on_in
     a ratio are absent. With `raise` reading such a stratum stops the job.
     """
     n = households.where("dept is not null").groupBy("dept").agg(F.count("*").alias("n"))
-    out = n.join(ratios, "dept").withColumn("rate", F.lit(frac) * F.col("ratio"))
+    return _targets(n.join(ratios, "dept"), frac, on_invalid).select("dept", "year", "n", "ratio", "rate", "k", "status")
+
+
+def _targets(sizes: DataFrame, frac: float, on_invalid: str) -> DataFrame:
+    """Adds rate, status and k to rows with n and ratio."""
+    out = sizes.withColumn("rate", F.lit(frac) * F.col("ratio"))
     bad_ratio = F.col("ratio").isNull() | F.isnan("ratio") | (F.col("ratio") <= 0)
     bad_rate = (F.col("rate") > 1) | (F.col("rate") < 0)
     out = out.withColumn("status", F.when(bad_ratio, "skipped_invalid_ratio").when(bad_rate, "capped" if on_invalid == "cap" else "skipped_rate_out_of_range").otherwise("ok"))
     k = F.when(F.col("status") == "ok", F.bround(F.lit(frac) * F.col("ratio") * F.col("n"), 0)).when(F.col("status") == "capped", F.col("n")).otherwise(0).cast("long")
     if on_invalid == "raise":
         k = F.when(F.col("status") == "ok", k).otherwise(F.raise_error(F.concat(F.lit("department "), F.col("dept").cast("string"), F.lit(": "), F.col("status"))).cast("long"))
-    return out.select("dept", "year", "n", "ratio", "rate", k.alias("k"), "status")
+    return out.withColumn("k", k)
 
 
 def _hinted(strata: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(strata) if small else strata
 
 
+def _bucketed(rows: DataFrame, seed: int, buckets: int) -> DataFrame:
+    """Adds a household's hash for its year and the part of the hashes' range that it lies in."""
+    return rows.withColumn("draw", draw_hash(seed, F.col("year"), F.col("household_id"))).withColumn("bucket", F.floor(hash01(F.col("draw")) * buckets).cast("int"))
+
+
+def _counted(households: DataFrame, strata: DataFrame, seed: int, small: bool, buckets: int) -> DataFrame:
+    """Households of each stratum and bucket (in_bucket), with the columns of strata (dept, year, ...)."""
+    rows = households.select("dept", "household_id").join(_hinted(strata, small), "dept")
+    return _bucketed(rows, seed, buckets).groupBy(*strata.columns, "bucket").agg(F.count("*").alias("in_bucket"))
+
+
+def _drawn(households: DataFrame, counts: DataFrame, seed: int, small: bool, buckets: int) -> DataFrame:
+    """The first k households of each stratum, given counts (dept, year, k, bucket, in_bucket)."""
+    up_to = F.sum("in_bucket").over(Window.partitionBy("dept", "year").orderBy("bucket"))
+    of_stratum = counts.where("k > 0").withColumn("upto", up_to).groupBy("dept", "year", "k").agg(
+        F.coalesce(F.min(F.when(F.col("upto") >= F.col("k"), F.col("bucket"))), F.lit(buckets)).alias("last"),
+        F.coalesce(F.sum(F.when(F.col("upto") < F.col("k"), F.col("in_bucket"))), F.lit(0)).alias("taken"),
+    )
+    cuts = of_stratum.select("dept", "year", "last", (F.col("k") - F.col("taken")).alias("rest"))
+    rows = _bucketed(households.join(_hinted(cuts, small), "dept"), seed, buckets).where("bucket <= last")
+    apart = F.when(F.col("bucket") < F.col("last"), F.col("household_id"))  # taken anyway: spread, not sorted together
+    rank = F.row_number().over(Window.partitionBy("dept", "year", apart).orderBy("draw", "household_id"))
+    return rows.withColumn("rank", rank).where("bucket < last or rank <= rest").drop("rank", "draw", "bucket", "last", "rest")
+
+
 def draw_exact(households: DataFrame, targets: DataFrame, seed: int, small: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """households with year: k of each department and year, the first in the order of their hashes.
 
@@ -57,20 +87,15 @@ def draw_exact(households: DataFrame, targets: DataFrame, seed: int, small: bool
     Exact for any rows: many of one household_id share a bucket. small says that the strata are few (their
     number is bounded); they are broadcast then, and households aren't shuffled by department.
     """
-    strata = targets.where("k > 0").select("dept", "year", "k")
-    digest = draw_hash(seed, F.col("year"), F.col("household_id"))
-    bucket = F.floor(hash01(F.col("draw")) * buckets).cast("int")
-    counts = households.select("dept", "household_id").join(_hinted(strata, small), "dept").withColumn("draw", digest).groupBy("dept", "year", "k", bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    up_to = F.sum("n").over(Window.partitionBy("dept", "year", "k").orderBy("bucket"))
-    of_stratum = counts.withColumn("upto", up_to).groupBy("dept", "year", "k").agg(
-        F.coalesce(F.min(F.when(F.col("upto") >= F.col("k"), F.col("bucket"))), F.lit(buckets)).alias("last"),
-        F.coalesce(F.sum(F.when(F.col("upto") < F.col("k"), F.col("n"))), F.lit(0)).alias("taken"),
-    )
-    cuts = of_stratum.select("dept", "year", "last", (F.col("k") - F.col("taken")).alias("rest"))
-    drawn = households.join(_hinted(cuts, small), "dept").withColumn("draw", digest).withColumn("bucket", bucket).where("bucket <= last")
-    apart = F.when(F.col("bucket") < F.col("last"), F.col("household_id"))  # taken anyway: spread, not sorted together
-    rank = F.row_number().over(Window.partitionBy("dept", "year", apart).orderBy("draw", "household_id"))
-    return drawn.withColumn("rank", rank).where("bucket < last or rank <= rest").drop("rank", "draw", "bucket", "last", "rest")
+    counts = _counted(households, targets.where("k > 0").select("dept", "year", "k"), seed, small, buckets)
+    return _drawn(households, counts, seed, small, buckets)
+
+
+def draw_exact_share(households: DataFrame, ratios: DataFrame, frac: float, seed: int, on_invalid: str = "skip", small: bool = False, buckets: int = BUCKETS) -> DataFrame:
+    """The same with the targets that stratum_targets() gives, which are taken from the counted buckets: one pass less."""
+    counts = _counted(households, ratios.select("dept", "year", "ratio"), seed, small, buckets)
+    sizes = counts.withColumn("n", F.sum("in_bucket").over(Window.partitionBy("dept", "year")))
+    return _drawn(households, _targets(sizes, frac, on_invalid), seed, small, buckets)
 
 
 def short_strata(drawn: DataFrame, targets: DataFrame) -> DataFrame:

@@ -20,8 +20,9 @@ def draw(dwellings: DataFrame, households: DataFrame, tracts: DataFrame, project
     ratios = sampling.projection_ratios(projections, spec.base_year, spec.years)
     targets = sampling.stratum_targets(placed, ratios, spec.frac, spec.on_invalid)
     small = tracts.select("dept").distinct().count() * len(range(*spec.years)) <= BROADCAST_STRATA  # of the list of tracts
-    drawn = (sampling.draw_bernoulli if spec.method == "bernoulli" else sampling.draw_exact)(placed, targets, spec.seed, small)
-    return drawn, targets
+    if spec.method == "bernoulli":
+        return sampling.draw_bernoulli(placed, targets, spec.seed, small), targets
+    return sampling.draw_exact_share(placed, ratios, spec.frac, spec.seed, spec.on_invalid, small), targets
 
 
 def sample_job(dwellings: DataFrame, households: DataFrame, persons: DataFrame, tracts: DataFrame, projections: DataFrame, spec: SampleSpec) -> tuple[DataFrame, DataFrame]:

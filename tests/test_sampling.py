@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -48,6 +50,9 @@ def test_draw(spark):
     assert {(r.dept, r.year): r["count"] for r in drawn.groupBy("dept", "year").count().collect()} == {(d, y): k for d, k in ((0, 100), (1, 50), (2, 200)) for y in (2015, 2016)}
     assert len(keys) == 700 and keys == {tuple(r) for r in sampling.draw_exact(households.repartition(7), targets, 3, small=True, buckets=5).select("year", "household_id").collect()}
     assert sampling.short_strata(drawn, targets).isEmpty() and not sampling.short_strata(drawn.where("household_id > 50"), targets).isEmpty()
+    assert keys == {tuple(r) for r in sampling.draw_exact_share(households.repartition(3), ratios, 0.1, 3, buckets=7).select("year", "household_id").collect()}
+    plan = sampling.draw_exact_share(households, ratios, 0.1, 3, small=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and not re.search(r"hashpartitioning\(dept#\d+, \d+\)", plan)  # by department alone
     some = households.where("dept < 2")
     assert {tuple(r) for r in sampling.draw_exact(some, targets.where("dept < 2"), 3).select("year", "household_id").collect()} == {tuple(r) for r in drawn.where("dept < 2").select("year", "household_id").collect()}
     n = sampling.draw_bernoulli(households, targets, 3).count()
