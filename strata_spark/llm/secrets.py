@@ -30,15 +30,15 @@ def _matches(rows: DataFrame, text: str, row: str, owner: str, repo: str, kind:
     """_row, kind, start, end (code points), value_start, value: from the text between matches, which split() gives."""
     pattern_, group_ = F.lit(pattern), F.lit(group)
     zipped = F.arrays_zip(
-        F.split(F.col(text), pattern, -1).alias("gap"),
-        F.regexp_extract_all(F.col(text), pattern_, F.lit(0)).alias("whole"),
+        F.transform(F.split(F.col(text), pattern, -1), F.length).alias("gap"),  # only lengths are shuffled, not texts
+        F.transform(F.regexp_extract_all(F.col(text), pattern_, F.lit(0)), F.length).alias("whole"),
         F.regexp_extract_all(F.col(text), pattern_, group_).alias("value"),
     )
     up_to = Window.partitionBy("_row").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = rows.select(F.col(row).alias("_row"), F.col(owner).alias("_owner"), F.col(repo).alias("_repo"), F.posexplode(zipped).alias("at", "m"))
-    out = out.withColumn("end", F.sum(F.length("m.gap") + F.coalesce(F.length("m.whole"), F.lit(0))).over(up_to).cast("int"))
+    out = out.withColumn("end", F.sum(F.col("m.gap") + F.coalesce(F.col("m.whole"), F.lit(0))).over(up_to).cast("int"))
     out = out.where(F.col("m.whole").isNotNull()).select(
-        "_row", "_owner", "_repo", F.lit(kind).alias("kind"), (F.col("end") - F.length("m.whole")).alias("start"), "end",
+        "_row", "_owner", "_repo", F.lit(kind).alias("kind"), (F.col("end") - F.col("m.whole")).alias("start"), "end",
         (F.col("end") - F.length("m.value")).alias("value_start"), F.col("m.value").alias("value"),
     )
     return out.where(F.length("value") >= LEAST) if kind == "assign" else out
@@ -68,6 +68,7 @@ def scan(docs: DataFrame, text: str = "text", repo: str = "source", owner: Colum
     kind_no = F.when(F.col("kind") == "assign", 0).when(F.col("kind") == "access", 1).otherwise(2)
     found = staged(found.withColumns({"value_hash": F.sha2("value", 256), "placeholder": F.col("value").rlike(PLACEHOLDER), "kind_no": kind_no}).drop("value"), "secret-candidates")
     spread = found.groupBy("value_hash", "_owner", "_repo").agg(F.lit(1).alias("one")).groupBy("value_hash").agg(F.countDistinct("_owner").alias("owners"), F.countDistinct("_repo").alias("repos"))
+    spread = staged(spread, "secret-owners")  # written, so that the join with a hash that very many documents have can be split
     label = F.when(F.col("owners") >= min_owners, "example").otherwise("live")
     fields = ["start", "kind_no", "kind", "end", "value_start", "value_hash", "owners", "repos", "label", "placeholder"]
     by_row = found.join(spread, "value_hash").withColumn("label", label).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(*fields))).cast(kind).alias("secrets")).withColumnRenamed("_row", row)
