@@ -16,25 +16,46 @@ from pyspark.sql import functions as F
 from .common import Memo, add_columns, mix64
 from .decontam import words
 
-#: Names and the words of their notices.
+#: Names and the words of their notices, public texts of the licences' own authors.
 TEMPLATES = {
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "MIT": "Released under the MIT License.",
-    "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "Apache-2.0-terms": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "BSD-3-Clause-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "GPL-2.0-terms": "either version 2 of the License, or (at your option) any later version.",
+    "GPL-3.0-terms": "either version 3 of the License, or (at your option) any later version.",
+    "GPL-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "LGPL-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "MIT": "Released under the MIT License.",
+    "MIT-licensed": "Licensed under the MIT License.",
+    "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "MIT-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
 }
 SHINGLE, BLOCK, BANDS = 5, 4, 128
 CONTAINED = 0.75
 
 _SEEDS = mix64(np.arange(11, 11 + 2 * BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MULTIPLY, _ADD = (_SEEDS[:BANDS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (_SEEDS[BANDS:] >> np.uint64(32)).astype(np.uint32)
-_TABLE_BITS = 20
+_TABLE_BITS = 22
+#: Templates are held whole in each worker, so a table of them may have this many characters.
+TEMPLATE_CHARS = 20_000_000
 
 
 @lru_cache(maxsize=1)
@@ -69,19 +90,24 @@ class Index:
     """Templates by the values of their pieces' bands."""
 
     def __init__(self, templates: dict[str, str]):
-        self.names, self.sets, by_band = list(templates), [], {}
+        self.names, self.sets, keys, owners = list(templates), [], [], []
         for t, text in enumerate(templates.values()):
             s = in_order(words(text))
             if not len(s):
                 raise ValueError(f"{self.names[t]}: a template needs {SHINGLE} words")
             self.sets.append(np.unique(s))
-            for row in block_minima(s):
-                for band, value in enumerate(row.tolist()):
-                    by_band.setdefault((band, value), set()).add(t)
-        self.by_band = by_band
-        keys = np.array(list(by_band), np.uint64)
+            keys.append(np.unique(self._keys(block_minima(s), np.arange(BANDS))))
+            owners.append(np.full(len(keys[-1]), t))
+        keys, owners = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(owners or [np.zeros(0, int)])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], owners[order]
         self.there = np.zeros(1 << _TABLE_BITS, bool)
-        self.there[self._cell(keys[:, 1].astype(np.uint32), keys[:, 0].astype(np.uint32))] = True
+        self.there[self._cell(self.keys.astype(np.uint32), (self.keys >> np.uint64(32)).astype(np.uint32))] = True
+
+    @staticmethod
+    def _keys(value, band):
+        """A band and its value in one number."""
+        return band.astype(np.uint64) << np.uint64(32) | value
 
     @staticmethod
     def _cell(value, band):
@@ -94,8 +120,11 @@ class Index:
         for at in range(0, len(s), 8192):  # blocks overlap by one
             least = block_minima(s[at : at + 8192 + BLOCK])
             window = np.minimum(least[:-1], least[1:]) if len(least) > 1 else least
-            for w, band in zip(*np.nonzero(self.there[self._cell(window, bands)]), strict=True):
-                out |= self.by_band.get((int(band), int(window[w, band])), set())
+            w, band = np.nonzero(self.there[self._cell(window, bands)])
+            asked = np.unique(self._keys(window[w, band], band))
+            first, end = np.searchsorted(self.keys, asked), np.searchsorted(self.keys, asked, "right")
+            for a, b in zip(first[end > first].tolist(), end[end > first].tolist(), strict=True):
+                out.update(self.owners[a:b].tolist())
         return out
 
     def verify(self, s: np.ndarray, t: int) -> list[tuple[int, int]]:
@@ -123,6 +152,17 @@ def _index(templates: tuple) -> Index:
     return Index(dict(templates))
 
 
+def templates_of(table: DataFrame, name: str = "name", text: str = "text") -> dict[str, str]:
+    """Templates from a table with one row each, in order of name; its size is checked. Without a name or text a row is left out."""
+    rows = table.select(F.col(name).cast("string").alias("name"), F.col(text).alias("text")).where("name is not null and text is not null").distinct()
+    total = rows.agg(F.count("*").alias("n"), F.count_distinct("name").alias("names"), F.sum(F.length("text")).alias("size")).first()
+    if total.n > total.names:
+        raise ValueError("two templates of one name")
+    if (total.size or 0) > TEMPLATE_CHARS:
+        raise ValueError(f"templates of {total.size} characters: {TEMPLATE_CHARS} at most")
+    return {r.name: r.text for r in rows.orderBy("name").collect()}
+
+
 def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """Adds licenses, array of (name, start, end) in words, by start and name, to docs; no shuffle.
 

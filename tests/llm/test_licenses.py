@@ -45,6 +45,25 @@ def test_against_brute_force(spark):
     assert sum(g.n_licenses > 0 for g in got.values()) > 30
 
 
+def test_templates_from_a_table(spark):
+    rows = [("b", "one two three four five six"), ("a", "six five four three two one"), ("a", "six five four three two one"), (None, "x"), ("c", None)]
+    table = spark.createDataFrame(rows, "name string, text string")
+    got = licenses.templates_of(table)
+    assert list(got.items()) == [("a", rows[1][1]), ("b", rows[0][1])]
+    docs = spark.createDataFrame([(1, "x one two three four five six"), (2, "six five four")], "doc_id long, text string")
+    assert {r.doc_id: r.names for r in licenses.described(licenses.scan(docs, templates=got)).collect()} == {1: "b", 2: ""}
+    assert [r.names for r in licenses.described(licenses.scan(docs, templates=licenses.templates_of(table.limit(0)))).collect()] == ["", ""]
+    with pytest.raises(ValueError, match="one name"):
+        licenses.templates_of(spark.createDataFrame([("a", "x"), ("a", "y")], "name string, text string"))
+
+
+def test_common_templates_are_told_apart(spark):
+    rows = [(i, f"before {t} after") for i, t in enumerate(licenses.TEMPLATES.values())]
+    got = {r.doc_id: r.names.split(",") for r in licenses.described(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert all(name in got[i] for i, name in enumerate(licenses.TEMPLATES))
+    assert all(sorted(got[i]) == brute(t) for i, t in rows)
+
+
 def test_spans():
     index = licenses.Index(licenses.TEMPLATES)
     s = licenses.in_order(words("x y z. Released under the MIT License. a b c " * 2))
