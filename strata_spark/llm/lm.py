@@ -205,16 +205,16 @@ class Mixture:
     def __init__(self, weights: np.ndarray, tokens: int, distinct: int, documents: int):
         self.weights, self.tokens, self.distinct, self.documents = weights, tokens, distinct, documents
 
-    def parts(self, context, word, pair, less: int = 0):
-        """The buckets and the three estimates; less: what the token itself adds to the counts."""
+    def parts(self, context, word, pair, less: int | np.ndarray = 0):
+        """The buckets and the three estimates; less: what the token itself adds to the counts, one number or one for each."""
         context, word, pair = context - less, word - less, pair - less
         seen = np.maximum(context, 1)
         bucket = np.where(context > 0, np.minimum(BUCKETS - 1, 1 + np.log2(seen).astype(np.int64)), 0)
         even = np.full(len(word), 1.0 / (self.distinct + 1))
-        return bucket, np.stack([np.where(context > 0, pair / seen, 0.0), word / max(1, self.tokens - less), even], axis=1)
+        return bucket, np.stack([np.where(context > 0, pair / seen, 0.0), word / np.maximum(1, self.tokens - less), even], axis=1)
 
-    def logs(self, context, word, pair) -> np.ndarray:
-        bucket, p = self.parts(context, word, pair)
+    def logs(self, context, word, pair, less: int | np.ndarray = 0) -> np.ndarray:
+        bucket, p = self.parts(context, word, pair, less)
         return np.log10((self.weights[bucket] * p).sum(axis=1))
 
 
@@ -246,7 +246,11 @@ def learn(cells: np.ndarray, n: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def score(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of docs.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and deleted_score for each row of docs.
+
+    score takes the counts as they are, so the text of a training row, which is in them, looks known. deleted_score
+    leaves each token of a training row out of the counts that predict it, as learning does; such scores compare
+    with those of held-out rows, where both are equal, and are high where the text occurs elsewhere too.
 
     Words lie between white space, A-Z lower-cased; each text has an end token; null is as empty. Held-out
     rows are scored but not learnt from; a null doc_id counts as the text "". Repeated rows are counted and
@@ -285,12 +289,15 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
         chunk, context, word, pair = counted(left, right)
         at = np.cumsum(chunk.sizes) - chunk.sizes
         base = np.log10((word + 1) / (model.tokens + model.distinct + 1))
-        columns = [np.add.reduceat(x, at) for x in ((word > 0).astype(np.int64), base, model.logs(context, word, pair))]
-        arrays = [pa.array(chunk.ids, pa.int64()), pa.array(chunk.marks), pa.array(chunk.sizes, pa.int64()), pa.array(columns[0]), pa.array(np.full(len(at), model.tokens), pa.int64()), pa.array(columns[1]), pa.array(columns[2])]
-        return pa.table(dict(zip(("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"), arrays, strict=True)))
+        plain = model.logs(context, word, pair)
+        deleted = plain.copy()
+        deleted[chunk.trained] = model.logs(context[chunk.trained], word[chunk.trained], pair[chunk.trained], less=1)
+        columns = [np.add.reduceat(x, at) for x in ((word > 0).astype(np.int64), base, plain, deleted)]
+        arrays = [pa.array(chunk.ids, pa.int64()), pa.array(chunk.marks), pa.array(chunk.sizes, pa.int64()), pa.array(columns[0]), pa.array(np.full(len(at), model.tokens), pa.int64()), pa.array(columns[1]), pa.array(columns[2]), pa.array(columns[3])]
+        return pa.table(dict(zip(("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "deleted_score"), arrays, strict=True)))
 
     gathered = both.applyInArrow(events, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS * CELLS * CELLS rows at most
     if len(gathered):
         gathered = gathered.sort_values("cell")
         model.weights = learn(gathered.cell.to_numpy(), gathered.n.to_numpy(float))
-    return both.applyInArrow(scores, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return both.applyInArrow(scores, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, deleted_score double")

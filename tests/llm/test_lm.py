@@ -51,6 +51,40 @@ def test_base_against_brute_force_and_model(spark, monkeypatch):
         assert r.score == pytest.approx(total, abs=1e-6)
 
 
+def test_deleted_scores_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 600)
+    docs = fixture(80)
+    got = lm.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    c = Counter(w for i, t in docs if trained(i) for w in words(t))
+    n, v, pairs, context = sum(c.values()), len(c), Counter(), Counter()
+    for i, t in docs:
+        if trained(i):
+            for a, b in zip(["<begin>", *words(t)], words(t), strict=False):
+                pairs[a, b] += 1
+                context[a] += 1
+    weights = learnt(docs, c, n, v, pairs, context)
+    for r in got:
+        less, total, text = int(trained(r.doc_id)), 0, dict(docs)[r.doc_id]
+        for a, b in zip(["<begin>", *words(text)], words(text), strict=False):
+            m = context[a] - less
+            k = 1 + int(math.log2(m)) if m else 0
+            total += math.log10(weights[k][0] * ((pairs[a, b] - less) / m if m else 0) + weights[k][1] * (c[b] - less) / (n - less) + weights[k][2] / (v + 1))
+        assert r.deleted_score == pytest.approx(total, abs=1e-6)
+        assert not r.held_out or r.deleted_score == r.score
+
+
+def test_texts_that_occur_twice_have_higher_deleted_scores(spark):
+    r = random.Random(8)
+    docs = [(i, " ".join(f"w{r.randrange(300)}" for _ in range(60))) for i in range(200)]
+    docs += [(200 + i, docs[i][1]) for i in range(20)]
+    got = lm.score(spark.createDataFrame(docs, "doc_id long, text string"))
+    once, twice = [x.deleted_score for x in got.where("doc_id between 20 and 199").collect()], []
+    for x in got.where("doc_id < 20 or doc_id >= 200").collect():
+        if trained(x.doc_id) and trained((x.doc_id + 200) % 400 if x.doc_id < 20 else x.doc_id - 200):
+            twice.append(x.deleted_score)
+    assert len(twice) >= 20 and min(twice) > max(once)
+
+
 def learnt(docs, c, n, v, pairs, context):
     model = lm.Mixture(None, n, v, 0)
     events = [(context[a], c[b], pairs[a, b]) for i, t in docs if trained(i) for a, b in zip(["<begin>", *words(t)], words(t), strict=False)]
