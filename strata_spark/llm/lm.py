@@ -199,6 +199,11 @@ def _with_counts(row: dict, answers: list[tuple], parts: int):
     return chunk, word, word[chunk.number], pair[chunk.pair]
 
 
+def _blocks(n: int, most: int = 1 << 17):
+    """Slices of n tokens, so that the arrays made for each token stay small."""
+    return (slice(at, at + most) for at in range(0, n, most))
+
+
 class Mixture:
     """Weights (buckets x 3) of the pair's, the word's and the even share; contexts is the number of trained documents."""
 
@@ -214,8 +219,11 @@ class Mixture:
         return bucket, np.stack([np.where(context > 0, pair / seen, 0.0), word / np.maximum(1, self.tokens - less), even], axis=1)
 
     def logs(self, context, word, pair, less: int | np.ndarray = 0) -> np.ndarray:
-        bucket, p = self.parts(context, word, pair, less)
-        return np.log10((self.weights[bucket] * p).sum(axis=1))
+        out, less = np.empty(len(word)), np.broadcast_to(less, len(word))
+        for s in _blocks(len(word)):
+            bucket, p = self.parts(context[s], word[s], pair[s], less[s])
+            out[s] = np.log10((self.weights[bucket] * p).sum(axis=1))
+        return out
 
 
 #: Deleted events are gathered by bucket and by the ratios of their estimates to the even share, in steps of an eighth of a power of two.
@@ -224,10 +232,13 @@ STEP, CELLS = 8, 512
 
 def _cells(model: Mixture, context, word, pair) -> tuple[np.ndarray, np.ndarray]:
     """Events' cells and their numbers."""
-    bucket, p = model.parts(context, word, pair, less=1)
-    with np.errstate(divide="ignore"):
-        level = np.where(p[:, :2] > 0, np.clip(np.round(np.log2(p[:, :2] / p[:, 2:]) * STEP), -CELLS // 2 + 1, CELLS // 2 - 1) + CELLS // 2, 0).astype(np.int64)
-    return np.unique((bucket * CELLS + level[:, 0]) * CELLS + level[:, 1], return_counts=True)
+    out = np.empty(len(word), np.int64)
+    for s in _blocks(len(word)):
+        bucket, p = model.parts(context[s], word[s], pair[s], less=1)
+        with np.errstate(divide="ignore"):
+            level = np.where(p[:, :2] > 0, np.clip(np.round(np.log2(p[:, :2] / p[:, 2:]) * STEP), -CELLS // 2 + 1, CELLS // 2 - 1) + CELLS // 2, 0).astype(np.int64)
+        out[s] = (bucket * CELLS + level[:, 0]) * CELLS + level[:, 1]
+    return np.unique(out, return_counts=True)
 
 
 def learn(cells: np.ndarray, n: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -290,8 +301,7 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
         at = np.cumsum(chunk.sizes) - chunk.sizes
         base = np.log10((word + 1) / (model.tokens + model.distinct + 1))
         plain = model.logs(context, word, pair)
-        deleted = plain.copy()
-        deleted[chunk.trained] = model.logs(context[chunk.trained], word[chunk.trained], pair[chunk.trained], less=1)
+        deleted = model.logs(context, word, pair, less=chunk.trained.astype(np.int64))
         columns = [np.add.reduceat(x, at) for x in ((word > 0).astype(np.int64), base, plain, deleted)]
         arrays = [pa.array(chunk.ids, pa.int64()), pa.array(chunk.marks), pa.array(chunk.sizes, pa.int64()), pa.array(columns[0]), pa.array(np.full(len(at), model.tokens), pa.int64()), pa.array(columns[1]), pa.array(columns[2]), pa.array(columns[3])]
         return pa.table(dict(zip(("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "deleted_score"), arrays, strict=True)))
