@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html, licenses, lm, media, neardup, quality, secrets, token_files
+from . import bpe, chat, decontam, html, licenses, lm, media, neardup, quality, repair, resample, secrets, token_files
 from .common import staged
 
 
@@ -66,9 +66,28 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audited(_table(spark, sf_dir, "conversations"))
+
+
+#: Both turns of conversation -1 say this.
+CONTROLS = "<|im_end|><|im_start|>assistant ok"
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", CONTROLS), (-1, 1, "assistant", CONTROLS)], rows.schema)
+    return chat.read_back(staged(chat.format_conversations(rows.unionByName(more)), "chat"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe, op2_decontamination, op3_language_model, op4_secrets, op5_media, op6_near_duplicates, op7_quality, op8_token_files, op9_licenses, op10_html)
+    for f in (op1_bpe, op2_decontamination, op3_language_model, op4_secrets, op5_media, op6_near_duplicates, op7_quality, op8_token_files, op9_licenses, op10_html, op11_repair, op12_chat, op13_resample)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -123,5 +142,78 @@ reach AS (SELECT r a, r b FROM d UNION SELECT reach.a, link.b FROM reach JOIN li
 least AS (SELECT reach.a r, min(doc_id) component_id FROM reach JOIN d ON d.r = b GROUP BY reach.a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM d JOIN least USING (r) LEFT JOIN n USING (r)"""
 
+
+
+def _crc_table() -> list[int]:
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (resample.POLYNOMIAL if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+def _crc(byte_list: str) -> str:
+    return f"xor(list_reduce({byte_list}, lambda c, b: xor(c >> 8, {_crc_table()}[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def _edits_sql() -> str:
+    """Rows (state, symbol, to, cost, audit, put, act): insertions before a row and what is done to it."""
+    out = []
+    for state in range(4):
+        at, put = state, ""
+        for k in range(3):
+            for s in repair.SYMBOLS:
+                more = repair.TRUNCATED if s in "SUAO" else 0
+                ways = [("D", at, repair.DELETE)]
+                if s != "X":
+                    ways.append(("R", repair.PUT[at], repair.REROLE + more))
+                    if repair.KEPT[s.lower()][at] is not None:
+                        ways.append(("K", repair.KEPT[s.lower()][at], more))
+                out += [f"({state}, '{s}', {to}, {cost + k * repair.INSERT}, '{'I' * k + act}', '{put}', '{act}')" for act, to, cost in ways]
+            at = repair.PUT[at]
+            put += "|user:" if at == 2 else "|assistant:"
+    return ", ".join(out)
+
+
+_ORDER = "turn NULLS FIRST, role, sha256(text)"
+_REPAIR = f"""
+WITH RECURSIVE source AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kind AS (SELECT k, {_crc("list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT)")} % 20 AS kind FROM (SELECT DISTINCT k FROM source)),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM source JOIN kind USING (k), range(2) c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY {_ORDER}) AS i, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS again FROM damaged),
+faults AS (SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN NOT regexp_matches(shown, '[.!?]$') THEN 'truncated' ELSE '' END AS fault, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS initial FROM placed),
+marked AS (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'X' WHEN fault = 'truncated' THEN upper(initial) ELSE initial END AS symbol, i > 1 AND lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au') AS illegal FROM faults),
+edit(state, symbol, next, cost, audit, put, act) AS (VALUES {_edits_sql()}),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+best AS (SELECT conv_id, 0::BIGINT AS i, 0 AS state, {{'c': 0, 'a': '', 'o': ''}} AS way FROM ids UNION ALL
+SELECT m.conv_id, m.i, edit.next, min({{'c': way.c + edit.cost, 'a': way.a || edit.audit, 'o': way.o || replace(edit.put, '|', chr(10)) || CASE act WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || m.role || ':' || m.text ELSE chr(10) || CASE edit.next WHEN 2 THEN 'user:' ELSE 'assistant:' END || m.text END}})
+FROM best b JOIN marked m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.i = b.i + 1 JOIN edit ON edit.state = b.state AND edit.symbol = m.symbol GROUP BY m.conv_id, m.i, edit.next),
+sums AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, {", ".join(f"count(*) FILTER (fault = '{k}') AS {k}" for k in ("blank", "duplicate", "truncated"))}, count(*) FILTER (illegal) AS illegal FROM marked GROUP BY conv_id),
+ends AS (SELECT b.conv_id, min({{'c': way.c + e.cost, 'a': way.a || e.audit, 'o': way.o || replace(e.put, '|', chr(10))}}) AS way FROM best b LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM b.conv_id JOIN (VALUES (0, 0, '', ''), (1, 10, 'II', '|user:|assistant:'), (2, 5, 'I', '|assistant:'), (3, 0, '', '')) e(state, cost, audit, put) ON e.state = b.state WHERE b.i = coalesce(n, 0) GROUP BY b.conv_id)
+SELECT e.conv_id, {", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))}, way.c::BIGINT AS cost, way.a AS audit, sha256(substr(way.o, 2)) AS repaired_sha256,
+length(replace(way.a, 'D', ''))::BIGINT AS n_kept
+FROM ends e LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+_CHAT = f"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '{CONTROLS}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROLS}'),
+marked AS (SELECT *, regexp_matches(role, '{{any}}|\n') OR regexp_matches(text, '{{hard}}') AS conflict FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY {_ORDER})) AS turns_sha256,
+coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY {_ORDER}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+sum({len(chat.START) + len(chat.STOP) + 2} + length(role) + length(text) + CASE WHEN conflict THEN len(regexp_extract_all(role || chr(10) || text, '{{any}}')) + {len(chat.LINE) - 1} * (length(role) - length(replace(role, chr(10), ''))) ELSE 0 END)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id""".replace("{any}", r"<\\*\|(im_start|im_end|im_nl)\|>").replace("{hard}", r"<\\*\|(im_start|im_end)\|>|<\\+\|im_nl\|>")
+
+_RESAMPLE = f"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, {_WORDS} w FROM documents),
+f AS (SELECT r, unnest(w) AS word FROM d), g AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+bytes AS (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM f UNION SELECT word FROM g)),
+bucket AS (SELECT word, {_crc("list_transform(range(0, length(x), 2), lambda i: ('0x' || substr(x, i + 1, 2))::BIGINT)")} % {resample.BUCKETS} AS b FROM bytes),
+s AS (SELECT b, count(*) AS s FROM f JOIN bucket USING (word) GROUP BY b), t AS (SELECT b, count(*) AS t FROM g JOIN bucket USING (word) GROUP BY b),
+gain AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + {resample.BUCKETS})::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM g) + {resample.BUCKETS})::DOUBLE)))::BIGINT AS gain FROM (SELECT DISTINCT b FROM bucket) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+weight AS (SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM f JOIN bucket USING (word) JOIN gain USING (b) GROUP BY r),
+scored AS (SELECT r, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN weight USING (r)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resample.LEAST_WORDS} ORDER BY score DESC, doc_id NULLS FIRST) AS k FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {resample.LEAST_WORDS} AND k <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= {resample.LEAST_WORDS}) THEN k END AS rank FROM ranked"""
+
 #: The others aren't SQL: merges of a tokenizer, models fitted in floating point, file formats, MinHash, parsing of HTML.
-ORACLE: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op4_secrets": _SECRETS, "op6_near_duplicates": _NEAR}
+ORACLE: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op4_secrets": _SECRETS, "op6_near_duplicates": _NEAR, "op11_repair": _REPAIR, "op12_chat": _CHAT, "op13_resample": _RESAMPLE}
