@@ -181,8 +181,8 @@ _REPAIR = f"""
 WITH RECURSIVE source AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
 kind AS (SELECT k, {_crc("list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT)")} % 20 AS kind FROM (SELECT DISTINCT k FROM source)),
 damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM source JOIN kind USING (k), range(2) c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
-placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY {_ORDER}) AS i, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS again FROM damaged),
-faults AS (SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN NOT regexp_matches(shown, '[.!?]$') THEN 'truncated' ELSE '' END AS fault, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS initial FROM placed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY {_ORDER}) AS i, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown FROM damaged),
+faults AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS again, CASE WHEN shown = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN NOT regexp_matches(shown, '[.!?]$') THEN 'truncated' ELSE '' END AS fault, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS initial FROM placed),
 marked AS (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'X' WHEN fault = 'truncated' THEN upper(initial) ELSE initial END AS symbol, i > 1 AND lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au') AS illegal FROM faults),
 edit(state, symbol, next, cost, audit, put, act) AS (VALUES {_edits_sql()}),
 ids AS (SELECT DISTINCT conv_id FROM conversations),
