@@ -28,3 +28,27 @@ def zero_filled(code: Column, width: int = 9) -> Column:
     """Zeros in front up to a width; longer codes stay as they are."""
     text = code.cast("string")
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
+def row_text(*columns: Column) -> Column:
+    """One text for a row's values, equal only if all of them are equal: each with its length, null as N."""
+    texts = [c.cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.lit("V"), F.length(t).cast("string"), F.lit(":"), t), F.lit("N")) for t in texts])
+
+
+def digest_sums(row: Column, of: Column | None = None) -> tuple[Column, Column, Column]:
+    """Aggregates that tell a multiset of rows, in any order and partitioning: how many, and sums of two 60-bit parts of their texts' MD5.
+
+    of restricts them to rows where it is true.
+    """
+    digest = F.md5(row.cast("binary"))
+    parts = [F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(28,0)") for at in (1, 16)]
+    if of is not None:
+        parts = [F.when(of, p) for p in parts]
+    n = F.count("*") if of is None else F.count_if(of)
+    return n, *[F.coalesce(F.sum(p), F.lit(0)).cast("decimal(38,0)") for p in parts]
+
+
+def digest_text(n: int, first: int, second: int) -> str:
+    """The sums of digest_sums() as one text."""
+    return f"{int(n)}-{int(first):x}-{int(second):x}"

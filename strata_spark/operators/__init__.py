@@ -1,3 +1,3 @@
-from . import geo, sampling, tabulate, validate
+from . import draw_index, geo, layout, sampling, tabulate, validate
 
-__all__ = ["geo", "sampling", "tabulate", "validate"]
+__all__ = ["draw_index", "geo", "layout", "sampling", "tabulate", "validate"]

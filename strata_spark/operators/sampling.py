@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import draw_hash, hash01
 from .geo import GEO
 
-#: Parts of the range of hashes that are counted for each stratum.
-BUCKETS = 512
+#: The first so many hex digits of a hash are its bucket; buckets are counted for each stratum.
+DIGITS = 2
 
 
 def projection_ratios(projections: DataFrame, base_year: int, years: tuple[int, int] | None = None) -> DataFrame:
@@ -50,36 +50,46 @@ def _targets(sizes: DataFrame, frac: float, on_invalid: str) -> DataFrame:
     return out.withColumn("k", k)
 
 
+def report(counts: DataFrame, ratios: DataFrame, frac: float, on_invalid: str = "skip") -> DataFrame:
+    """What stratum_targets() gives, from counted buckets in place of the households."""
+    n = counts.groupBy("dept", "year").agg(F.sum("in_bucket").alias("n"))
+    return _targets(n.join(ratios, ["dept", "year"]), frac, on_invalid).select("dept", "year", "n", "ratio", "rate", "k", "status")
+
+
 def _hinted(strata: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(strata) if small else strata
 
 
-def _bucketed(rows: DataFrame, seed: int, buckets: int) -> DataFrame:
+def _bucketed(rows: DataFrame, seed: int, digits: int) -> DataFrame:
     """Adds a household's hash for its year and the part of the hashes' range that it lies in."""
-    return rows.withColumn("draw", draw_hash(seed, F.col("year"), F.col("household_id"))).withColumn("bucket", F.floor(hash01(F.col("draw")) * buckets).cast("int"))
+    return rows.withColumn("draw", draw_hash(seed, F.col("year"), F.col("household_id"))).withColumn("bucket", F.substring("draw", 1, digits))
 
 
-def _counted(households: DataFrame, strata: DataFrame, seed: int, small: bool, buckets: int) -> DataFrame:
-    """Households of each stratum and bucket (in_bucket), with the columns of strata (dept, year, ...)."""
-    rows = households.select("dept", "household_id").join(_hinted(strata, small), "dept")
-    return _bucketed(rows, seed, buckets).groupBy(*strata.columns, "bucket").agg(F.count("*").alias("in_bucket"))
+def bucket_counts(households: DataFrame, years: range | list[int], seed: int, digits: int = DIGITS) -> DataFrame:
+    """(dept, year, bucket, in_bucket): households of each department by their hash for each year. Depends on no fraction and no ratio."""
+    each = F.explode(F.array(*[F.lit(y) for y in years]).cast("array<int>")).alias("year")
+    rows = households.where("dept is not null").select("dept", "household_id", each)
+    return _bucketed(rows, seed, digits).groupBy("dept", "year", "bucket").agg(F.count("*").alias("in_bucket"))
 
 
-def _drawn(households: DataFrame, counts: DataFrame, seed: int, small: bool, buckets: int) -> DataFrame:
-    """The first k households of each stratum, given counts (dept, year, k, bucket, in_bucket)."""
+def _cuts(counts: DataFrame) -> DataFrame:
+    """(dept, year, last, rest) from (dept, year, k, bucket, in_bucket): the bucket of the k-th household, and how many of that one are drawn."""
     up_to = F.sum("in_bucket").over(Window.partitionBy("dept", "year").orderBy("bucket"))
     of_stratum = counts.where("k > 0").withColumn("upto", up_to).groupBy("dept", "year", "k").agg(
-        F.coalesce(F.min(F.when(F.col("upto") >= F.col("k"), F.col("bucket"))), F.lit(buckets)).alias("last"),
+        F.coalesce(F.min(F.when(F.col("upto") >= F.col("k"), F.col("bucket"))), F.lit("g")).alias("last"),  # g: behind all digits
         F.coalesce(F.sum(F.when(F.col("upto") < F.col("k"), F.col("in_bucket"))), F.lit(0)).alias("taken"),
     )
-    cuts = of_stratum.select("dept", "year", "last", (F.col("k") - F.col("taken")).alias("rest"))
-    rows = _bucketed(households.join(_hinted(cuts, small), "dept"), seed, buckets).where("bucket <= last")
+    return of_stratum.select("dept", "year", "last", (F.col("k") - F.col("taken")).alias("rest"))
+
+
+def _drawn(households: DataFrame, cuts: DataFrame, seed: int, small: bool, digits: int) -> DataFrame:
+    rows = _bucketed(households.join(_hinted(cuts, small), "dept"), seed, digits).where("bucket <= last")
     apart = F.when(F.col("bucket") < F.col("last"), F.col("household_id"))  # taken anyway: spread, not sorted together
     rank = F.row_number().over(Window.partitionBy("dept", "year", apart).orderBy("draw", "household_id"))
     return rows.withColumn("rank", rank).where("bucket < last or rank <= rest").drop("rank", "draw", "bucket", "last", "rest")
 
 
-def draw_exact(households: DataFrame, targets: DataFrame, seed: int, small: bool = False, buckets: int = BUCKETS) -> DataFrame:
+def draw_exact(households: DataFrame, targets: DataFrame, seed: int, small: bool = False, digits: int = DIGITS) -> DataFrame:
     """households with year: k of each department and year, the first in the order of their hashes.
 
     Hashes are counted by stratum and bucket, in partial sums; the sums tell in which bucket the k-th household
@@ -87,15 +97,37 @@ def draw_exact(households: DataFrame, targets: DataFrame, seed: int, small: bool
     Exact for any rows: many of one household_id share a bucket. small says that the strata are few (their
     number is bounded); they are broadcast then, and households aren't shuffled by department.
     """
-    counts = _counted(households, targets.where("k > 0").select("dept", "year", "k"), seed, small, buckets)
-    return _drawn(households, counts, seed, small, buckets)
+    strata = targets.where("k > 0").select("dept", "year", "k")
+    rows = households.select("dept", "household_id").join(_hinted(strata, small), "dept")
+    counts = _bucketed(rows, seed, digits).groupBy(*strata.columns, "bucket").agg(F.count("*").alias("in_bucket"))
+    return _drawn(households, _cuts(counts), seed, small, digits)
 
 
-def draw_exact_share(households: DataFrame, ratios: DataFrame, frac: float, seed: int, on_invalid: str = "skip", small: bool = False, buckets: int = BUCKETS) -> DataFrame:
-    """The same with the targets that stratum_targets() gives, which are taken from the counted buckets: one pass less."""
-    counts = _counted(households, ratios.select("dept", "year", "ratio"), seed, small, buckets)
+def _counted_targets(counts: DataFrame, ratios: DataFrame, frac: float, on_invalid: str) -> DataFrame:
     sizes = counts.withColumn("n", F.sum("in_bucket").over(Window.partitionBy("dept", "year")))
-    return _drawn(households, _targets(sizes, frac, on_invalid), seed, small, buckets)
+    return _targets(sizes.join(ratios.select("dept", "year", "ratio"), ["dept", "year"]), frac, on_invalid)
+
+
+def draw_counted(households: DataFrame, counts: DataFrame, ratios: DataFrame, frac: float, seed: int, on_invalid: str = "skip", small: bool = False, digits: int = DIGITS) -> DataFrame:
+    """The same from bucket_counts() of the households with this seed and these digits: one pass over households, whatever frac and the years.
+
+    Of two fractions with the same counts, the smaller one's sample is part of the larger one's.
+    """
+    return _drawn(households, _cuts(_counted_targets(counts, ratios, frac, on_invalid)), seed, small, digits)
+
+
+def thresholds(households: DataFrame, counts: DataFrame, ratios: DataFrame, frac: float, seed: int, on_invalid: str = "skip", small: bool = False, digits: int = DIGITS) -> DataFrame:
+    """(dept, year, cut): hash and id of each stratum's k-th household, as a struct; only its bucket's households are looked at."""
+    cuts = _cuts(_counted_targets(counts, ratios, frac, on_invalid))
+    rows = _bucketed(households.select("dept", "household_id").join(_hinted(cuts, small), "dept"), seed, digits).where("bucket = last")
+    rank = F.row_number().over(Window.partitionBy("dept", "year").orderBy("draw", "household_id"))
+    return rows.withColumn("rank", rank).where("rank = rest").select("dept", "year", F.struct("draw", "household_id").alias("cut"))
+
+
+def draw_up_to(households: DataFrame, cuts: DataFrame, seed: int, small: bool = False) -> DataFrame:
+    """households with year up to each stratum's threshold: a filter, so rows keep their partitioning. household_id has to be unique in a stratum."""
+    rows = households.join(_hinted(cuts, small), "dept").withColumn("draw", draw_hash(seed, F.col("year"), F.col("household_id")))
+    return rows.where(F.struct("draw", "household_id") <= F.col("cut")).drop("draw", "cut")
 
 
 def short_strata(drawn: DataFrame, targets: DataFrame) -> DataFrame:

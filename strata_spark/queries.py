@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import zero_filled
-from .operators import geo, sampling, tabulate, validate
+from .functions import digest_sums, row_text, zero_filled
+from .operators import draw_index, geo, layout, sampling, tabulate, validate
 from .plans import TABULATED, draw, sample_job
+from .sources.files import work_path
 from .spec import SampleSpec
 
 BASE, YEARS, SEED, FRAC = 1995, tuple(range(1995, 2002)), 7, 0.05
@@ -68,8 +69,13 @@ class Tables:
     def ratios(self, years=None):
         return sampling.projection_ratios(self.projection, BASE, years)
 
+    @property
+    def departments(self):
+        """How many there are; from the file's footer."""
+        return self.read("nation").count()
+
     def drawn(self, spec: SampleSpec) -> DataFrame:
-        return draw(self.dwelling, self.household, self.tract, self.projection, spec)[0]
+        return draw(self.dwelling, self.household, self.tract, self.projection, spec, self.departments)[0]
 
 
 def _sample(spec):
@@ -84,7 +90,29 @@ FLAT = ["year", "household_id", "dwelling_id", "tract_id", "dept", "prov", "aggl
 
 
 def _flat(t):
-    return sample_job(t.dwelling, t.household, t.person, t.tract, t.projection, ONE_YEAR)[0].select(*FLAT)
+    return sample_job(t.dwelling, t.household, t.person, t.tract, t.projection, ONE_YEAR, t.departments)[0].select(*FLAT)
+
+
+def _indexed(t):
+    """Two draws from one index of bucket counts: the years of ALL_YEARS at half its fraction, after 1998 was counted alone."""
+    path, homes = work_path(t.spark, "draw-index"), t.placed
+    draw_index.ensure(homes, path, range(1998, 1999), SEED)
+    counts = draw_index.ensure(homes, path, range(*ALL_YEARS.years), SEED)
+    small = sampling.draw_counted(homes, counts, t.ratios(ALL_YEARS.years), FRAC / 2, SEED, small=True)  # 25 departments
+    return small.select("household_id", "dwelling_id", "dept", "year")
+
+
+def _laid_out(t):
+    folder = work_path(t.spark, "layout")
+    tables = layout.lay_out(t.dwelling, t.household, t.person, t.tract, folder.rpartition("/")[2].replace("-", "_"), 16, folder)
+    cuts = layout.cuts(t.spark, tables, t.ratios(ALL_YEARS.years), FRAC, range(*ALL_YEARS.years), SEED, small=True)
+    return layout.flat_sample(t.spark, tables, cuts, SEED, small=True).select(*FLAT)
+
+
+def _digests(t):
+    flat = sample_job(t.dwelling, t.household, t.person, t.tract, t.projection, ALL_YEARS, t.departments)[0]
+    n, first, second = digest_sums(row_text(*[F.col(c) for c in sorted(FLAT) if c != "year"]))
+    return flat.groupBy("year").agg(n.alias("n_rows"), first.cast("string").alias("first"), second.cast("string").alias("second"))
 
 
 def _row_counts(t):
@@ -124,11 +152,16 @@ _QUERIES = {
     "sampled_dwellings_multi_year": lambda t: sampling.sampled_by_year(t.dwelling, t.drawn(ALL_YEARS), "dwelling_id").select("year", "dwelling_id", "housing_type"),
     "flat_sample": _flat,
     "flat_sample_row_counts": _row_counts,
+    "draw_bucket_counts": lambda t: sampling.bucket_counts(t.placed, range(*ALL_YEARS.years), SEED),
+    "sample_exact_indexed": _indexed,
+    "flat_sample_laid_out": _laid_out,
+    "sample_digest": _digests,
     "circuit_bridge": lambda t: t.bridge,
     "tract_code_padded": lambda t: t.tract.select("tract_id", zero_filled(F.col("tract_id")).alias("code")),
     "adults_age_binned": lambda t: tabulate.adults(t.person).groupBy("age", "age_bin").agg(F.count("*").alias("n")),
     "age_bin_frequency": lambda t: tabulate.frequency(tabulate.adults(t.person), "age_bin"),
     "age_quantiles": lambda t: tabulate.quantiles(t.person, "age"),
+    "age_quantiles_by_circuit": lambda t: tabulate.quantiles(t.adults_in_circuits, "age", (0.1, 0.25, 0.5, 0.9), tabulate.AREA),
     "crosstab_tenure": lambda t: tabulate.one_way(t.adults_in_circuits, "tenure"),
     "crosstab_activity": lambda t: tabulate.one_way(t.adults_in_circuits, "activity"),
     "crosstab_sex": lambda t: tabulate.one_way(t.adults_in_circuits, "sex"),
@@ -169,10 +202,10 @@ CASE WHEN ratio IS NULL OR ratio <= 0 THEN 'skipped_invalid_ratio' WHEN {frac}::
 FROM size JOIN ratios USING (dept) WHERE {where}"""
 
 
-def _drawn(where: str, bernoulli: bool = False) -> str:
+def _drawn(where: str, bernoulli: bool = False, frac: float = FRAC) -> str:
     hashed = f"SELECT p.*, year, rate, k, md5('{SEED}:' || year || ':' || household_id) h FROM placed p JOIN target USING (dept) WHERE status = 'ok'"
     test = "('0x' || substr(h, 1, 8))::BIGINT / 4294967296.0::DOUBLE < rate" if bernoulli else "rn <= k"
-    return f", target AS ({_targets(FRAC, where)}), hashed AS ({hashed}), drawn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dept, year ORDER BY h, household_id) rn FROM hashed) WHERE {test}) "
+    return f", target AS ({_targets(frac, where)}), hashed AS ({hashed}), drawn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dept, year ORDER BY h, household_id) rn FROM hashed) WHERE {test}) "
 
 
 _ONE, _ALL = _drawn("year = 1998"), _drawn("year >= 1996 AND year < 2002")
@@ -188,6 +221,7 @@ def _completed(areas: str) -> str:
     return f", t AS ({_one_way('age_bin')}), areas AS ({areas}) SELECT a.*, v.age_bin, coalesce(age_bin_count, 0) AS age_bin_count FROM areas a CROSS JOIN (VALUES ('young'), ('middle'), ('old')) v(age_bin) LEFT JOIN t USING (prov, dept, circuit, age_bin)"
 
 
+_ROW_TEXT = " || ".join(f"coalesce('V' || length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'N')" for c in sorted(FLAT) if c != "year")
 _SQL = {
     "projection_ratios_wide": "SELECT dept, " + ", ".join(f"p{y} / nullif(p{BASE}, 0) AS r{y}" for y in YEARS) + " FROM projection",
     "projection_ratios_long": "SELECT * FROM ratios",
@@ -210,11 +244,16 @@ _SQL = {
     "sampled_dwellings_multi_year": _ALL + "SELECT year, dwelling_id, housing_type FROM (SELECT DISTINCT year, dwelling_id FROM drawn) JOIN dwelling USING (dwelling_id)",
     "flat_sample": _ONE + _FLAT,
     "flat_sample_row_counts": _ONE + f"SELECT 'drawn' AS name, count(*) AS n_rows FROM drawn UNION ALL SELECT 'with_dwelling', count(*) FROM drawn JOIN dwelling USING (dwelling_id) UNION ALL SELECT 'flat', count(*) FROM ({_FLAT})",
+    "draw_bucket_counts": f"SELECT dept, year::INT AS year, substr(md5('{SEED}:' || year || ':' || household_id), 1, {sampling.DIGITS}) AS bucket, count(*) AS in_bucket FROM placed, range({ALL_YEARS.years[0]}, {ALL_YEARS.years[1]}) y(year) GROUP BY ALL",
+    "sample_exact_indexed": _drawn("year >= 1996 AND year < 2002", frac=FRAC / 2) + _SAMPLE,
+    "flat_sample_laid_out": _ALL + _FLAT,
+    "sample_digest": _ALL + f", flat AS ({_FLAT}), digests AS (SELECT year, md5({_ROW_TEXT}) h FROM flat) SELECT year, count(*) AS n_rows, sum(('0x' || substr(h, 1, 15))::BIGINT)::HUGEINT::VARCHAR AS first, sum(('0x' || substr(h, 16, 15))::BIGINT)::HUGEINT::VARCHAR AS second FROM digests GROUP BY year",
     "circuit_bridge": "SELECT tract_id, prov, dept, circuit FROM bridge",
     "tract_code_padded": "SELECT tract_id, lpad(tract_id::VARCHAR, 9, '0') AS code FROM tract",
     "adults_age_binned": "SELECT age, age_bin, count(*) AS n FROM adult GROUP BY age, age_bin",
     "age_bin_frequency": "SELECT age_bin, count(*) AS n FROM adult WHERE age_bin IS NOT NULL GROUP BY age_bin",
     "age_quantiles": " UNION ALL ".join(f"SELECT {q}::DOUBLE AS share, quantile_cont(age::DOUBLE, {q}) AS value FROM person" for q in (0.0, 0.3333, 0.6666, 1.0)),
+    "age_quantiles_by_circuit": " UNION ALL ".join(f"SELECT prov, dept, circuit, {q}::DOUBLE AS share, quantile_cont(age::DOUBLE, {q}) AS value FROM rows GROUP BY prov, dept, circuit" for q in (0.1, 0.25, 0.5, 0.9)),
     **{f"crosstab_{c}": _one_way(c) for c in TABULATED},
     "crosstab_all_long": " UNION ALL ".join(f"SELECT prov, dept, circuit, '{c}' AS variable, {c}::VARCHAR AS value, count(*) AS n FROM rows WHERE {c} IS NOT NULL GROUP BY prov, dept, circuit, {c}" for c in TABULATED),
     "crosstab_age_bin_complete": _completed("SELECT DISTINCT prov, dept, circuit FROM t"),

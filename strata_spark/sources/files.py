@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import zero_filled
 from ..spec import CENSUS, Hierarchy, SampleSpec
+from . import publish
 
 
 def read_columns(spark: SparkSession, path: str, types: dict[str, str], sep: str = ",", fmt: str | None = None) -> DataFrame:
@@ -64,22 +69,23 @@ def read_projections(spark: SparkSession, path: str, dept: str = "DPTO", name: s
     return read_columns(spark, path, {dept: "int"} | names | dict.fromkeys(years, "double")).withColumnsRenamed({dept: "dept", name or "": "dept_name"})
 
 
-def write_sample(sample: DataFrame, folder: str, fmt: str = "parquet", single_file: bool = False) -> None:
-    """One folder per year; with single_file each holds one file, whose rows one task writes."""
-    rows = sample.repartition("year") if single_file else sample
-    writer = rows.write.mode("overwrite").partitionBy("year")
-    (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(folder)
+def write_sample(sample: DataFrame, folder: str, fmt: str = "parquet", years: tuple[int, int] | None = None, before=None) -> list[int]:
+    """folder/year=... for each year of the sample, from one evaluation of it. Years written earlier stay, the same year is replaced.
+
+    years is half-open; those of it that the sample lacks are emptied. before() may raise to leave everything as it was.
+    """
+    return publish.write_by_year(sample, folder.rstrip("/"), fmt, range(*years) if years else None, before=before)
 
 
-def write_named_csv(sample: DataFrame, folder: str, spec: SampleSpec) -> None:
-    """A folder table_f{frac}_{year}_{name}.csv for each year of the spec, with as many part files as tasks."""
-    for year in range(*spec.years):
-        sample.where(F.col("year") == year).write.mode("overwrite").option("header", True).csv(f"{folder}/table_f{spec.frac}_{year}_{spec.name}.csv")
+def write_named_csv(sample: DataFrame, folder: str, spec: SampleSpec, one_file: bool = True, before=None) -> dict[int, str]:
+    """table_f{frac}_{year}_{name}.csv for each year of the spec, from one evaluation: one file each, where the file system can join files."""
+    names = {year: f"table_f{spec.frac}_{year}_{spec.name}.csv" for year in range(*spec.years)}
+    return publish.write_named_files(sample, folder.rstrip("/"), names, one_file, before)
 
 
 def write_manifest(report: DataFrame, spec: SampleSpec, folder: str) -> None:
-    """The manifest as JSON lines."""
-    run_manifest(report, spec).write.mode("overwrite").json(folder)
+    """The manifest as JSON lines, by year; other years' manifests stay."""
+    publish.write_by_year(run_manifest(report, spec), folder.rstrip("/"), "json", range(*spec.years))
 
 
 def write_tables(long_table: DataFrame, folder: str, fmt: str = "csv") -> None:
@@ -91,3 +97,31 @@ def write_tables(long_table: DataFrame, folder: str, fmt: str = "csv") -> None:
 def run_manifest(report: DataFrame, spec: SampleSpec) -> DataFrame:
     """The stratum report with the run's parameters on each row."""
     return report.withColumns({f"spec_{k}": F.lit(None if v is None else str(v)) for k, v in asdict(spec).items()})
+
+
+def with_run(report: DataFrame, found: dict[int, tuple[int, str]]) -> DataFrame:
+    """The stratum report with each year's rows and digest of the sample."""
+    pick = lambda k, kind: F.coalesce(*[F.when(F.col("year") == y, F.lit(v[k])) for y, v in found.items()], F.lit(None).cast(kind))
+    return report.withColumns({"sample_rows": pick(0, "long"), "sample_digest": pick(1, "string")})
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that spark.checkpoint.dir names."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-")  # one machine: tests
+        atexit.register(shutil.rmtree, base, True)
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """df written as Parquet and read again, so that several plans share one evaluation."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    publish.Store(spark, path).delete(path)
