@@ -1,8 +1,9 @@
 """Main text of web pages by consensus of each host's pages.
 
-Every page scores its containers by the running text they hold, less what looks like boilerplate. Votes for
+Every page scores its containers by the running text they hold, less what is boilerplate. Votes for
 generalised tag-class paths are added up per host, and all pages of a host are extracted by the winning path;
-a page without it is extracted by its own best one.
+a page without it is extracted by its own best one. Inside it, text goes only where a tag or a whole name says that it is
+none of the article's; names that merely begin like such a one lose votes, not text.
 """
 
 from __future__ import annotations
@@ -26,9 +27,17 @@ HEAD = frozenset("base link meta noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: An open element that a new one of these ends.
 ENDED_BY = {"p": frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 article section aside nav footer header form pre blockquote hr main figure li".split()), "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
-#: Elements and words of class, id or role that hold no main text: a name that is such a word, or begins with one.
+#: Elements that hold no main text. An article's own header does.
 BOILERPLATE_TAGS = frozenset("nav header footer aside form button menu dialog head".split())
-BOILERPLATE_WORDS = re.compile(r"(?i)(?:^|\s)(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|header|menu|masthead|nav\w*|newsletter|notices?|pagination|popup|promo\w*|related|reply|replies|share\w*|sharing|side-?bar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])")
+#: Whole names (one of the classes, the id or the role) of what holds no main text.
+BOILERPLATE_NAMES = frozenset("""ad ads ad-box ad-banner ad-container ad-slot ad-unit ad-wrapper advert adverts advertisement advertisements advertising adsbygoogle banner ad-label
+alert-banner breadcrumb breadcrumbs comment comments comment-list comment-form comment-section comments-area comments-list comments-section post-comments reader-comments disqus disqus_thread respond reply replies
+complementary consent consent-banner contentinfo cookie cookies cookie-banner cookie-bar cookie-consent cookie-notice gdpr footer footer-nav page-footer site-footer header page-header site-header masthead navigation nav navbar navigation-menu nav-menu
+menu main-menu main-nav site-nav topbar top-bar newsletter newsletter-signup notice notices pagination pager popup modal promo promotion promotions related related-articles related-links related-posts search search-form
+share share-bar share-buttons share-links sharing social social-bar social-icons social-links social-media social-share sidebar side-bar left-sidebar right-sidebar sidebar-left sidebar-right signup sign-up skip skip-link sponsor sponsored sponsors
+subscribe subscription toolbar widget widgets widget-area""".split())
+#: A name that begins like these loses its container's votes, but no text.
+SUSPECT = re.compile(r"(?i)(?:^|\s)(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|header|menu|masthead|nav|navbar|newsletter|notices?|pagination|popup|promo|related|reply|replies|share|sharing|side-?bar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])")
 #: Elements whose names only describe the page's layout; the words don't count there.
 LAYOUT_TAGS = frozenset("html body main article".split())
 #: Votes of containers whose tag says what they are count so many times.
@@ -37,12 +46,21 @@ TAG_WEIGHT = {"article": 4, "main": 3, "body": 1, "html": 1}
 BROADCAST_HOSTS = 50_000
 
 BY_TAG = 1 << 40
-#: Paths of more characters are shown by a hash.
+#: Paths of more characters are shown by a hash; their depth is kept beside.
 PATH_CHARS = 300
 
 _START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
 _STOP = re.compile(r"[>\"']")
-_NAMES = re.compile(r"""\s(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+#: One attribute: its name, and its value in quotes or plain.
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+
+
+def attributes_of(source: str) -> dict[str, str]:
+    """Attributes of a start tag by lower-case name; of repeated ones the first. What stands in quotes is no attribute."""
+    out: dict[str, str] = {}
+    for name, double, single, plain in _ATTRIBUTE.findall(source):
+        out.setdefault(name.lower(), double or single or plain)
+    return out
 
 
 @dataclass
@@ -50,14 +68,17 @@ class _Open:
     tag: str
     dropped: int  # how many containers are dropped by their names here, and BY_TAG for each that is by its tag or hidden
     number: int
+    suspect: int = 0
 
 
 @dataclass
 class Page:
-    """Containers by number, the page being 0: their tags, paths and parents. Blocks as (text, number of the innermost
-    container, dropped, characters in links)."""
+    """Containers by number, the page being 0: their tags, paths, depths, parents and how many more suspect names
+    stand at or around them than around the least suspect text. Blocks as (text, number of the innermost container, dropped, characters in links)."""
 
     tags: list = field(default_factory=lambda: [""])
+    depths: list = field(default_factory=lambda: [0])
+    suspect: list = field(default_factory=lambda: [0])
     paths: list = field(default_factory=lambda: [""])
     parents: list = field(default_factory=lambda: [0])
     blocks: list = field(default_factory=list)
@@ -124,7 +145,7 @@ def _raw_end(source: str, at: int, tag: str) -> int:
 def parse(source: str | None) -> Page:
     """One pass over tags; unclosed and unexpected tags are taken as browsers mostly do.
 
-    Where names would drop all that a page has, what the fewest of them drop is kept.
+    Where names would drop all that a page has, what the fewest of them drop is kept; likewise with suspect names.
     """
     page, stack = Page(), [_Open("", 0, 0)]
     open_tags: dict[str, int] = {}
@@ -203,38 +224,47 @@ def parse(source: str | None) -> Page:
                 break
         if tag in VOID:
             continue
-        names = {k.lower(): a or b or c or "" for k, a, b, c in _NAMES.findall(attributes)}
+        names = attributes_of(attributes)
         marks = " ".join((names.get("class", ""), names.get("id", ""), names.get("role", "")))
-        dropped = BY_TAG if tag in BOILERPLATE_TAGS or "hidden" in names else int(tag not in LAYOUT_TAGS and bool(BOILERPLATE_WORDS.search(marks)))
+        own_header = tag == "header" and open_tags.get("article")
+        dropped = BY_TAG if tag in BOILERPLATE_TAGS and not own_header or "hidden" in names else int(tag not in LAYOUT_TAGS and not own_header and not BOILERPLATE_NAMES.isdisjoint(marks.lower().split()))
+        suspect = stack[-1].suspect + int(tag not in LAYOUT_TAGS and not own_header and bool(SUSPECT.search(marks)))
         first = re.sub(r"\d+", "#", names.get("class", "").split()[0]) if names.get("class", "").strip() else ""
         path = f"{page.paths[stack[-1].number]}/{tag}" + f".{first}" * bool(first)
         page.tags.append(tag)
         page.parents.append(stack[-1].number)
+        page.depths.append(page.depths[stack[-1].number] + 1)
+        page.suspect.append(suspect)
         page.paths.append(path if len(path) <= PATH_CHARS else "#" + hashlib.md5(path.encode("utf-8", "surrogatepass")).hexdigest())
         open_tags[tag] = open_tags.get(tag, 0) + 1
-        stack.append(_Open(tag, stack[-1].dropped + dropped, len(page.tags) - 1))
+        stack.append(_Open(tag, stack[-1].dropped + dropped, len(page.tags) - 1, suspect))
     close_block()
     least = min((dropped for _, _, dropped, _ in page.blocks), default=0)
     page.blocks = [(words, inside, dropped > least % BY_TAG or dropped >= BY_TAG, linked) for words, inside, dropped, linked in page.blocks]
+    least = min((page.suspect[inside] for _, inside, dropped, _ in page.blocks if not dropped), default=0)
+    page.suspect = [max(0, n - least) for n in page.suspect]
     return page
 
 
-def votes(page: Page) -> dict[str, int]:
-    """Characters of running text less twice those of boilerplate and links, by path; only positive ones."""
+def votes(page: Page) -> dict[str, tuple[int, int]]:
+    """Characters of running text less twice those of boilerplate and links, and the depth, by path; only positive ones.
+
+    Text under a suspect name counts for no container.
+    """
     worth, out = [0] * len(page.tags), {}
     for words, inside, dropped, linked in page.blocks:
-        worth[inside] += -2 * len(words) if dropped else len(words) - 3 * min(linked, len(words))
+        worth[inside] += -2 * len(words) if dropped else 0 if page.suspect[inside] else len(words) - 3 * min(linked, len(words))
     for k in range(len(page.tags) - 1, 0, -1):  # containers come after those that hold them
         worth[page.parents[k]] += worth[k]
         tag = page.tags[k]
-        if tag not in ENDED_BY and not re.fullmatch(r"h[1-6]|blockquote|pre|ul|ol|dl", tag):
-            out[page.paths[k]] = out.get(page.paths[k], 0) + worth[k] * TAG_WEIGHT.get(tag, 2)
-    return {p: v for p, v in out.items() if v > 0}
+        if not page.suspect[k] and tag not in ENDED_BY and not re.fullmatch(r"h[1-6]|blockquote|pre|ul|ol|dl", tag):
+            out[page.paths[k]] = out.get(page.paths[k], (0, 0))[0] + worth[k] * TAG_WEIGHT.get(tag, 2), page.depths[k]
+    return {p: v for p, v in out.items() if v[0] > 0}
 
 
-def best(by_path: dict[str, int]) -> str | None:
-    """The path with most votes; of equal ones the longest, then the first in order."""
-    return min(by_path, key=lambda p: (-by_path[p], -len(p), p), default=None)
+def best(by_path: dict[str, tuple[int, int]]) -> str | None:
+    """The path with most votes; of equal ones the deepest, then the first in order."""
+    return min(by_path, key=lambda p: (-by_path[p][0], -by_path[p][1], p), default=None)
 
 
 def main_text(source: str | None, path: str | None) -> str:
@@ -263,7 +293,7 @@ def host(url: Column) -> Column:
 def extract(pages: DataFrame, html: str = "html", url: str = "url", broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """Adds text (the main text, blocks joined by a line feed, or empty) and n_chars to pages.
 
-    Null html has empty text; a null or odd url belongs to the host ""; ties go to the longer path and then to the
+    Null html has empty text; a null or odd url belongs to the host ""; ties go to the deeper path and then to the
     first in order; repeated rows vote each; other columns stay, whatever their names; an empty table gives an empty table. Columns of these names are replaced.
     Votes are partial sums per host and path, so a host with very many pages is no group in one task.
     """
@@ -273,12 +303,13 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", broadcast_ho
         for batch in slices(batches, "html"):
             total: dict = {}
             for h, source in zip(batch.column("h").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                for path, v in votes(parse(source)).items():
-                    total[h, path] = total.get((h, path), 0) + v
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), pa.array(total.values(), pa.int64())], ["h", "path", "votes"])
+                for path, (v, depth) in votes(parse(source)).items():
+                    total[h, path, depth] = total.get((h, path, depth), 0) + v
+            columns = [*zip(*total)] or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int32()), pa.array(total.values(), pa.int64())], ["h", "path", "depth", "votes"])
 
-    sums = pages.select(host(F.col(url)).alias("h"), F.col(html).alias("html")).mapInArrow(vote, "h string, path string, votes long").groupBy("h", "path").agg(F.sum("votes").alias("votes"))
-    first = F.min(F.struct((-F.col("votes")).alias("votes"), (-F.length("path")).alias("size"), "path"))
+    sums = pages.select(host(F.col(url)).alias("h"), F.col(html).alias("html")).mapInArrow(vote, "h string, path string, depth int, votes long").groupBy("h", "path", "depth").agg(F.sum("votes").alias("votes"))
+    first = F.min(F.struct((-F.col("votes")).alias("votes"), (-F.col("depth")).alias("above"), "path"))
     at, to = unused(pages, "host"), unused(pages, "path")
     winners = staged(sums.groupBy("h").agg(first.alias("w")).select(F.col("h").alias(at), F.col("w.path").alias(to)), "paths")
     small = winners.count() <= broadcast_hosts

@@ -48,6 +48,77 @@ def test_names_that_describe_the_layout(name):
         assert html.main_text(f"<body><div class='{name}'>{inside}</div></body>", None) == want
 
 
+@pytest.mark.parametrize("opened", ["<div title=\"a hidden gem\">", "<div title='x hidden class=ad y'>", "<p data-note=\"is hidden here\">", "<div data-x=' id=sidebar'>", "<div class=story class=ads>", "<div CLASS=story hiddenx>", "<div class='x' data-hidden>",
+    "<section id=social-impact>", "<section class='related-work'>", "<section class='shareholders-report'>", "<section class=navy>", "<section id=adventure>", "<div class='header-less comments-on-kant'>", "<section id=menus>", "<div aria-hidden=false>"])
+def test_no_text_is_lost_by_quoted_words_or_like_names(opened):
+    tag = opened[1:].split()[0].rstrip(">")
+    page = f"<html><body><nav>Menu</nav><article><p>One.</p>{opened}Two.</{tag}><p>Three.</p></article></body></html>"
+    assert html.main_text(page, None) == "One.\nTwo.\nThree."
+    assert html.main_text(page, "/html/body/article") == "One.\nTwo.\nThree."
+    alone = f"<html><body><nav>Menu</nav><article>{opened}Two.</{tag}></article></body></html>"
+    assert html.main_text(alone, None) == "Two."
+
+
+@pytest.mark.parametrize("opened", ["<div hidden>", "<div class='x' HIDDEN=''>", "<div class=\"big Ads\">", "<div id='comments'>", "<div role=navigation>", "<div class='a' id=\"cookie-notice\">", "<div class=ad class=story>", "<aside>", "<footer>", "<div title=\"it's\" class='sidebar'>"])
+def test_what_goes(opened):
+    tag = opened[1:].split()[0].rstrip(">")
+    assert html.main_text(f"<body><article><p>One.</p>{opened}No.</{tag}><p>Two.</p></article></body>", None) == "One.\nTwo."
+
+
+def test_an_article_has_its_own_header():
+    page = "<body><header><h1>Site</h1></header><article><header class=header><h1>Title</h1><p>By me</p></header><p>Text of it.</p><footer>Filed</footer></article></body>"
+    assert html.main_text(page, None) == "Title\nBy me\nText of it."
+
+
+def test_attributes():
+    assert html.attributes_of(" a=1 A=2 b = 'x y' c d=\"e=f g\" /h='i' j=") == {"a": "1", "b": "x y", "c": "", "d": "e=f g", "h": "i", "j": ""}
+
+
+def test_ties_go_to_the_deeper_path():
+    assert html.best({"/a/b": (5, 2), "/a": (5, 1), "/z": (4, 9)}) == "/a/b"
+    assert html.best({"/b": (5, 1), "/a": (5, 1)}) == "/a" and html.best({}) is None
+    deep = "<div class='" + "x" * 200 + "'>"
+    page = html.parse(f"<body>{deep}{deep}<section><p>All of the text.</p></section></div></div></body>")
+    by_path = html.votes(page)
+    win = html.best(by_path)
+    assert win.startswith("#") and by_path[win][1] == max(d for _, d in by_path.values()) and html.main_text(f"<body>{deep}{deep}<section><p>All of the text.</p></section></div></div></body>", None) == "All of the text."
+
+
+def test_votes_of_a_host_by_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    boxes = ["div.a", "div.b", "section.c", "main", "div.share-it"]
+
+    def page():
+        out, blocks = [], []
+        for box in rng.sample(boxes, rng.randint(1, 5)):
+            tag, _, name = box.partition(".")
+            words = "w" * rng.choice([1, 5, 20, 20])
+            out.append(f"<{tag} class='{name}'><p>{words}</p></{tag}>")
+            blocks.append((box, words))
+        return "<html><body>" + "".join(out) + "</body></html>", blocks
+
+    hosts = {f"h{k}.example": [page() for _ in range(rng.randint(1, 6))] for k in range(30)}
+    rows = [(i, f"https://{h}/{i}", source) for h, pages in hosts.items() for i, (source, _) in enumerate(pages)]
+    got = {r.url: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    for h, pages in hosts.items():
+        total = {}
+        for _, blocks in pages:
+            own = [(("/html/body/" + b).removesuffix("."), len(w), 3 if b == "main" else 2) for b, w in blocks if b != "div.share-it" or len(blocks) == 1]  # suspect, but for a page that has nothing else
+            whole = sum(n for _, n, _ in own)
+            for path, depth in (("/html/body", 2), ("/html", 1)):
+                if whole:
+                    total[path, depth] = total.get((path, depth), 0) + whole
+            for path, n, weight in own:
+                total[path, 3] = total.get((path, 3), 0) + n * weight
+        win = min(total, key=lambda k: (-total[k], -k[1], k[0]))[0] if total else None
+        for i, (_, blocks) in enumerate(pages):
+            inside = [w for b, w in blocks if win in ("/html", "/html/body") or win == ("/html/body/" + b).removesuffix(".")]
+            if inside or win is None:
+                assert got[f"https://{h}/{i}"] == "\n".join(inside or [w for _, w in blocks])
+
+
 def test_names_do_not_drop_a_whole_page():
     page = "<html><body><div id='header-fixed'><div class='story'><p>All of the text is in here.</p></div><nav>Menu</nav></div></body></html>"
     assert html.main_text(page, None) == "All of the text is in here."
