@@ -286,13 +286,16 @@ def _numbered(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame | None,
 
 
 def link(docs: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:
-    """What _link tells of each row of docs; rows that share a doc_id but not a text are documents of their own."""
+    """What _link tells of each row of docs; rows that share a doc_id but not a text are documents of their own.
+
+    kept compares doc_ids, so of linked rows that share the group's smallest one all are kept; deduplicated() leaves one.
+    """
     marked, of, _ = _numbered(docs.select("doc_id", text), text)
     out = _link(marked.select(F.col("_doc").alias("doc_id"), text), text, block)
     if of is None:
         return out
     out = out.join(of.select(F.col("_doc").alias("doc_id"), F.col("of").alias("a")), "doc_id", "left").join(of.select(F.col("_doc").alias("component_id"), F.col("of").alias("b")), "component_id", "left")
-    return out.select(F.col("a").alias("doc_id"), "n_shingles", F.col("b").alias("component_id"), "kept")
+    return out.select(F.col("a").alias("doc_id"), "n_shingles", F.col("b").alias("component_id"), F.coalesce(F.col("a") == F.col("b"), F.lit(True)).alias("kept"))
 
 
 def _link(docs: DataFrame, text: str, block: int = BLOCK) -> DataFrame:

@@ -12,14 +12,14 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import add_columns
 
 #: Labelled documents that a model is fitted on at most, those with the least hash of doc_id.
 TRAINING_DOCUMENTS = 3000
-#: Lines of these documents that it is fitted on at most; the documents that would exceed them are left out.
+#: Lines of these documents that it is fitted on at most; a document that would exceed them is left out.
 TRAINING_LINES = 400_000
 #: A document is good from this score on.
 GOOD = 0.7
@@ -167,16 +167,31 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", most: int = TRAINING_DOCUMENTS, most_lines: int = TRAINING_LINES) -> Model | None:
     """A model of `most` labelled rows that aren't held out, by the least hash of doc_id; None without labels of both kinds.
 
-    In the same order, rows are taken as long as they have no more than most_lines lines together.
+    In the same order, documents are taken that fit into most_lines lines with those before them; one that doesn't is left out
+    alone. Where there are labels of both kinds but documents of one kind only fit, that is an error. Of rows that share a
+    doc_id, the one whose text has the least SHA-256 counts.
     """
-    rows = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id"))).select("doc_id", "quality")
-    chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
-    lines = add_columns(docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id"), text, "features binary, sizes binary", _packed).select("doc_id", "quality", "features", "sizes")
-    hashed = lines.withColumns({"lines": F.octet_length("sizes") / 8, "hash": F.xxhash64("doc_id")})
-    up_to = F.sum("lines").over(Window.orderBy("hash", "doc_id", "quality", "lines"))  # of `most` documents
-    got = hashed.withColumn("up_to", up_to).where(F.col("up_to") <= most_lines).select("doc_id", "quality", "features", "sizes").orderBy("doc_id", "quality", "features").toPandas()  # of so many lines
-    if got.quality.nunique() < 2:
+    rows = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id"))).select("doc_id", "quality").distinct()
+    chosen = F.broadcast(rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most))  # of so many rows
+    body = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select("doc_id", body.alias("text")).join(chosen, "doc_id")
+    lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"))) + 1
+    sizes = own.select("doc_id", "quality", F.struct(F.sha2("text", 256).alias("digest"), lines.alias("lines")).alias("one")).groupBy("doc_id", "quality").agg(F.min("one").alias("one"))
+    fitting, left, kinds = [], most_lines, set()
+    for r in sizes.select("doc_id", "quality", "one.*").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").collect():  # a few numbers for each of the chosen
+        kinds.add(r.quality)
+        if r.lines <= left:
+            left -= r.lines
+            fitting.append((r.doc_id, r.quality, r.digest))
+    if len(kinds) < 2:
         return None
+    if len({quality for _, quality, _ in fitting}) < 2:
+        raise ValueError(f"no labelled documents of both kinds within {most_lines} lines")
+    spark = docs.sparkSession
+    taken = spark.createDataFrame(fitting, sizes.select("doc_id", "quality", "one.digest").schema)
+    texts = docs.select("doc_id", body.alias("text")).withColumn("digest", F.sha2("text", 256)).join(F.broadcast(taken), ["doc_id", "digest"])
+    texts = texts.dropDuplicates(["doc_id", "quality"]).select("doc_id", "quality", "text")
+    got = add_columns(texts, "text", "features binary, sizes binary", _packed).select("doc_id", "quality", "features", "sizes").orderBy("doc_id", "quality").toPandas()  # of most_lines lines
     found = [(np.frombuffer(f, np.int16).reshape(-1, 3 * MEASURES), np.frombuffer(s, np.int64)) for f, s in zip(got.features, got.sizes, strict=True)]
     return fit(found, (got.quality == 1).to_numpy(float))
 

@@ -45,11 +45,11 @@ def _matches(rows: DataFrame, text: str, row: str, owner: str, repo: str, kind:
 
 
 def scan(docs: DataFrame, text: str = "text", repo: str = "source", owner: Column | None = None, min_owners: int = MIN_OWNERS) -> DataFrame:
-    """Adds secrets to docs: array of (start, kind_no, kind, end, value_start, value_hash, owners, repos, label, placeholder), by start and kind.
+    """Adds secrets to docs: array of (start, kind_no, kind, end, value_start, value_hash, owners, repos, label, placeholder, mask_end), by start and kind.
 
     owner defaults to the repository's name up to the first slash. label is `example` where the value's hash
     has min_owners owners or more, else `live`; placeholder says whether the value has a word that documentation
-    uses in place of credentials. Null and empty texts have no
+    uses in place of credentials; mask_end is where the overlapping values end that this one is the first of, null for the others. Null and empty texts have no
     secrets; a null repository counts as one of its own; repeated rows count once for their owner; an empty
     table gives an empty table; a column of this name is replaced. Only documents with a candidate are staged
     and shuffled; a hash that many documents have is counted by partial sums.
@@ -57,7 +57,7 @@ def scan(docs: DataFrame, text: str = "text", repo: str = "source", owner: Colum
     owner = F.substring_index(F.col(repo), "/", 1) if owner is None else owner
     docs = docs.drop("secrets")
     has = F.coalesce(F.col(text).rlike(ANY), F.lit(False))
-    kind = "array<struct<start:int,kind_no:int,kind:string,end:int,value_start:int,value_hash:string,owners:bigint,repos:bigint,label:string,placeholder:boolean>>"
+    kind = "array<struct<start:int,kind_no:int,kind:string,end:int,value_start:int,value_hash:string,owners:bigint,repos:bigint,label:string,placeholder:boolean,mask_end:int>>"
     row, of_repo, of_owner = (unused(docs, c) for c in ("row", "repo", "owner"))
     rows = staged(
         docs.where(has).withColumns({row: F.monotonically_increasing_id(), of_repo: F.coalesce(F.col(repo).cast("string"), F.lit("")), of_owner: F.coalesce(owner.cast("string"), F.lit(""))}),
@@ -70,8 +70,13 @@ def scan(docs: DataFrame, text: str = "text", repo: str = "source", owner: Colum
     spread = found.groupBy("value_hash", "_owner", "_repo").agg(F.lit(1).alias("one")).groupBy("value_hash").agg(F.countDistinct("_owner").alias("owners"), F.countDistinct("_repo").alias("repos"))
     spread = staged(spread, "secret-owners")  # written, so that the join with a hash that very many documents have can be split
     label = F.when(F.col("owners") >= min_owners, "example").otherwise("live")
-    fields = ["start", "kind_no", "kind", "end", "value_start", "value_hash", "owners", "repos", "label", "placeholder"]
-    by_row = found.join(spread, "value_hash").withColumn("label", label).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(*fields))).cast(kind).alias("secrets")).withColumnRenamed("_row", row)
+    fields = ["start", "kind_no", "kind", "end", "value_start", "value_hash", "owners", "repos", "label", "placeholder", "mask_end"]
+    in_order = Window.partitionBy("_row").orderBy("value_start", F.desc("end"), "label", "kind_no")
+    first = F.col("value_start") >= F.coalesce(F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.max("end").over(Window.partitionBy("_row", "island"))
+    labelled = found.join(spread, "value_hash").withColumn("label", label).withColumn("first", first)
+    labelled = labelled.withColumn("island", F.sum(F.col("first").cast("int")).over(in_order)).withColumn("mask_end", F.when(F.col("first"), rest))
+    by_row = labelled.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(*fields))).cast(kind).alias("secrets")).withColumnRenamed("_row", row)
     empty = F.array().cast(kind)
     with_any = rows.join(by_row, row, "left").withColumn("secrets", F.coalesce("secrets", empty)).drop(row, of_repo, of_owner)
     return docs.where(~has).withColumn("secrets", empty).unionByName(with_any)
@@ -95,16 +100,35 @@ def described(scanned: DataFrame) -> DataFrame:
     )
 
 
+#: Texts are cut into blocks of so many code points to be put together anew.
+MASK_BLOCK = 256
+
+
 def masked(scanned: DataFrame, text: str = "text") -> DataFrame:
     """scanned with each value in the text replaced by [SECRET], or [EXAMPLE SECRET] if it is a copied example, and without secrets.
 
-    Where values overlap, the first to start takes the others into its replacement.
+    Where values overlap, the first to start takes the others into its replacement. The text is cut into blocks once; what lies
+    between values comes from the blocks at its ends and those between, so the time grows with the text.
     """
-    spans = F.transform("secrets", lambda s: F.struct(s.value_start.alias("a"), (-s.end).alias("minus_b"), s.label.alias("label")))
-    first = F.struct(F.lit(0).alias("end"), F.lit("").alias("out"))
-    step = lambda u, s: F.when(
-        s.a >= u.end,
-        F.struct((-s.minus_b).alias("end"), F.concat(u.out, F.substring(F.col(text), u.end + 1, s.a - u.end), F.when(s.label == "live", "[SECRET]").otherwise("[EXAMPLE SECRET]")).alias("out")),
-    ).otherwise(F.struct(F.greatest(u.end, -s.minus_b).alias("end"), u.out.alias("out")))
-    cut = F.aggregate(F.array_sort(spans), first, step, lambda u: F.concat(u.out, F.substring(F.col(text), u.end + 1, F.length(text))))
-    return scanned.withColumn(text, F.when(F.size("secrets") > 0, cut).otherwise(F.col(text))).drop("secrets")
+    size = MASK_BLOCK
+    block = lambda d, at: F.coalesce(F.get(d.blocks, at), F.lit(""))
+
+    def between(d, a, b):
+        """Code points a to b, b excluded."""
+        low, high = F.floor(a / size).cast("int"), F.floor(b / size).cast("int")
+        across = F.concat(F.substring(block(d, low), a % size + 1, F.lit(size)), F.array_join(F.slice(d.blocks, low + 2, F.greatest(high - low - 1, F.lit(0))), ""), F.substring(block(d, high), F.lit(1), b % size))
+        return F.when(low == high, F.substring(block(d, low), a % size + 1, b - a)).otherwise(across)
+
+    def whole(d):
+        n = F.size(d.masks)
+        piece = lambda k: F.concat(
+            between(d, F.when(k > 0, F.get(d.masks, k - 1).b).otherwise(0), F.when(k < n, F.get(d.masks, k).a).otherwise(d.size)),
+            F.when(k == n, "").when(F.get(d.masks, k).live, "[SECRET]").otherwise("[EXAMPLE SECRET]"),
+        )
+        return F.array_join(F.transform(F.sequence(F.lit(0), n), piece), "")
+
+    firsts = F.filter("secrets", lambda s: s.mask_end.isNotNull())
+    masks = F.array_sort(F.transform(firsts, lambda s: F.struct(s.value_start.alias("a"), s.mask_end.alias("b"), (s.label == "live").alias("live"))))
+    blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    once = F.array(F.struct(blocks.alias("blocks"), masks.alias("masks"), F.length(text).alias("size")))  # a lambda's variable is worked out once
+    return scanned.withColumn(text, F.when(F.size("secrets") > 0, F.get(F.transform(once, whole), 0)).otherwise(F.col(text))).drop("secrets")

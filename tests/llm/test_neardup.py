@@ -118,3 +118,18 @@ def test_components(spark):
                     want[x] = node
                     todo += near[x]
     assert got == want
+
+
+def test_repeated_doc_ids_by_the_contracts_sql(spark):
+    import duckdb
+
+    from strata_spark.llm.queries import ORACLE
+
+    a = " ".join(f"w{k}" for k in range(40))
+    rows = [(5, a), (5, a + " more"), (5, "quite another text that stands alone here"), (3, "b " + a), (7, a), (7, a), (9, None), (9, ""), (2, "x"), (2, "x")]
+    rows = [*rows, (11, " ".join(f"v{k}" for k in range(30))), (11, " ".join(f"v{k}" for k in range(31)))]
+    got = sorted(tuple(r) for r in neardup.link(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id", "kept").collect())
+    c = duckdb.connect()
+    c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    c.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert got == sorted(c.execute(f"SELECT doc_id, n_shingles, component_id, kept FROM ({ORACLE['op6_near_duplicates']})").fetchall())
