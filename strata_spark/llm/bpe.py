@@ -16,13 +16,13 @@ from functools import cached_property, lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import add_columns, laid_out, split_runs
+from .common import add_columns, laid_out, split_runs, trimmed
 
 #: Fixed values of the tokenizer's file format: its word pattern and the number of symbols before the merges.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SYMBOLS = 512
-#: Runs and words that a worker remembers each; bits of the number of pairs whose test it remembers.
-MOST, FIT_BITS = 300_000, 20
+#: Bits of the number of pairs whose test a worker remembers.
+FIT_BITS = 20
 #: Words that are worked on side by side; those of more bytes than LONG are worked on one by one.
 STEP, LONG = 16_384, 64
 
@@ -289,10 +289,12 @@ class WordBpe:
     def _learn(self, runs: list[str]) -> None:
         runs, split, others = pattern_words(runs)
         runs, split = runs + others, split + [*map(self._split, others)]
-        self.words = self.special_ids | (self.words if len(self.words) <= MOST else {})  # no word of the pattern is a special one
-        self._encode([*distinct_words(split).difference(self.words)])
+        self.words = self.special_ids | self.words  # no word of the pattern is a special one
+        new = distinct_words(split).difference(self.words)
+        self._encode([*new])
         word = self.words.__getitem__
         self.known.update((r, word(x) if type(x) is str else b"".join(map(word, x))) for r, x in zip(runs, split, strict=True))
+        self.words = trimmed(self.words, new)
 
     def encode_all(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids begin and end, and all ids; texts is an Arrow array, null is as empty.
@@ -304,8 +306,7 @@ class WordBpe:
         if missing := [r for r in runs if r not in self.known]:
             self._learn(missing)
         out = laid_out([self.known[r] for r in runs], np.dtype("<u4"), codes, ends)
-        if len(self.known) > MOST:
-            self.known = {r: self.known[r] for r in runs if len(r) <= 64} if len(runs) < MOST // 2 else {}
+        self.known = trimmed(self.known, runs)
         return out
 
     def encode(self, text: str | None) -> bytes:

@@ -10,10 +10,13 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests), a folder of this session's own."""
+    """The folder named in spark.checkpoint.dir; where that is unset on one machine (tests), a folder of this session's own. A cluster has to name one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         atexit.register(shutil.rmtree, base, True)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -54,6 +57,23 @@ class Memo(dict):
         return value
 
 
+#: Bytes that a worker keeps of what it has learnt about strings, about, and the characters of the longest of them.
+KEPT_BYTES, KEPT_LONGEST = 64 << 20, 64
+
+
+def trimmed(kept: dict[str, bytes], now, most: int = KEPT_BYTES, longest: int = KEPT_LONGEST) -> dict[str, bytes]:
+    """kept without the long ones of the strings `now` just added; once the others take too many bytes, only those of now, or none."""
+    for k in now:
+        if len(k) > longest:
+            kept.pop(k, None)
+    weight = lambda: 170 * len(kept) + sum(map(len, kept)) + sum(map(len, kept.values()))  # noqa: E731  170: what Python takes for an entry
+    if 170 * len(kept) > most // 4 and weight() > most:
+        kept = {k: kept[k] for k in now if k in kept}
+        if weight() > most // 2:
+            kept = {}
+    return kept
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers with well spread bits (the finaliser of splitmix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

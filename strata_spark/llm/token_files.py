@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import distinct_words, pattern_words
-from .common import laid_out, slices, split_runs, work_path
+from .common import laid_out, slices, split_runs, trimmed, work_path
 
 #: Documents are separated by this id.
 END = 2
@@ -31,9 +31,6 @@ class _Library:
     text; the token that ends a word says where the next one begins.
     """
 
-    #: Runs and words that are remembered.
-    MOST = 400_000
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -52,9 +49,7 @@ class _Library:
 
     def _learn(self, runs: list[str]) -> None:
         runs, split, others = pattern_words(runs)
-        if len(self.words) > self.MOST:
-            self.words.clear()
-        new = distinct_words(split).difference(self.words)
+        added = new = distinct_words(split).difference(self.words)
         merge = self.model.model.tokenize  # what comes before it leaves lower-case ASCII letters as they are
         simple = [w for w in new if w.isascii() and w.isalpha()]
         self.words.update((w, self._pack([t.id for t in merge(w)])) for w in simple)
@@ -70,6 +65,7 @@ class _Library:
         self.known.update((r, word(x) if type(x) is str else b"".join(map(word, x))) for r, x in zip(runs, split, strict=True))
         if others:
             self.known.update((c, self._pack(e.ids)) for c, e in zip(others, self.model.encode_batch_fast(others, add_special_tokens=False), strict=True))
+        self.words = trimmed(self.words, added)
 
     def encode_all(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Lengths, and all ids in one array; END follows each text. texts is an Arrow array, null is as empty."""
@@ -78,8 +74,7 @@ class _Library:
             self._learn(missing)
         codes = np.insert(codes, ends[1:], len(runs))
         out, ids = laid_out([*map(self.known.__getitem__, runs), self._pack([END])], np.dtype(self.kind), codes, ends + np.arange(len(ends)))
-        if len(self.known) > self.MOST:
-            self.known = {c: self.known[c] for c in runs if len(c) <= 64} if len(runs) < self.MOST // 2 else {}
+        self.known = trimmed(self.known, runs)
         return np.diff(out), ids
 
 

@@ -110,3 +110,25 @@ def test_token_files_prune(spark, tmp_path):
 def test_hashes(spark, odd_docs):
     got = bpe.encode(odd_docs, word_bpe()).selectExpr("text", "sha2(token_ids, 256) as h").collect()
     assert all(r.h == hashlib.sha256(bpe.tokenizer(word_bpe()).encode(r.text)).hexdigest() for r in got)
+
+
+@pytest.mark.parametrize("kind", ["ours", "library"])
+def test_what_is_remembered_is_bounded(kind):
+    encoder = bpe.tokenizer(word_bpe()) if kind == "ours" else token_files._library(word_bpe())
+    rng = random.Random(5)
+    for _ in range(3):  # distinct long runs: none stays
+        texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=3000)) for _ in range(40)) for _ in range(5)]
+        encoder.encode_all(pa.array(texts))
+        assert all(len(k) <= 64 for k in [*encoder.known, *encoder.words])
+    texts = ["one two", "same two " * 3]
+    first = [x.tolist() for x in encoder.encode_all(pa.array(texts))]
+    assert {"one", "two", "same"} <= encoder.known.keys() and first == [x.tolist() for x in encoder.encode_all(pa.array(texts))]
+
+
+def test_trimmed():
+    from strata_spark.llm.common import trimmed
+
+    assert trimmed({"a": b"1", "b" * 65: b"2"}, ["a", "b" * 65]) == {"a": b"1"}
+    many = {str(i): b"x" * 10 for i in range(2000)}
+    assert trimmed(dict(many), ["1", "2"], most=100_000) == {"1": b"x" * 10, "2": b"x" * 10}
+    assert trimmed(dict(many), [*many], most=100_000) == {} and trimmed(dict(many), [*many]) == many
