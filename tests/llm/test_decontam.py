@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from strata_spark.llm import decontam
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -48,7 +50,8 @@ def test_against_brute_force(spark):
     want = sorted(brute(docs, items))
     assert any(x[4] for x in want) and not all(x[4] for x in want)
     assert sorted(rows(decontam.find(d, b))) == want
-    assert sorted(rows(decontam.find(d, b, windows_per_pass=20))) == want  # several passes
+    for parts in (1, 6):
+        assert sorted(rows(decontam.find(d.repartition(parts), b.repartition(3), most_windows=20))) == want  # joined
 
 
 def test_odd_documents(spark, odd_docs, no_docs):
@@ -56,5 +59,22 @@ def test_odd_documents(spark, odd_docs, no_docs):
     got = decontam.find(odd_docs, items)
     assert {"score", "source"} < set(got.columns) and got.count() == odd_docs.count()
     assert sorted(r.text[:5] for r in got.where("contaminated").collect()) == ["no id", "word "]
-    assert decontam.find(no_docs, items).count() == 0
+    joined = decontam.find(odd_docs, items, most_windows=0)
+    assert joined.columns == got.columns and joined.exceptAll(got).count() == got.exceptAll(joined).count() == 0
+    assert decontam.find(no_docs, items).count() == decontam.find(no_docs, items, most_windows=0).count() == 0
     assert decontam.find(odd_docs, items.where("false")).where("contaminated or n_hit > 0").count() == 0
+
+
+def test_false_hits_of_bit_tables_find_nothing(spark, monkeypatch):
+    docs, items = fixture()
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontam, "_bit_table", lambda strings: (12, np.full(64, 2**64 - 1, np.uint64)))
+    assert sorted(rows(decontam.find(d, b, most_windows=0))) == sorted(brute(docs, items))
+
+
+def test_a_large_benchmark(spark):
+    r = random.Random(8)
+    items = [(i, " ".join(f"v{r.randrange(3000)}" for _ in range(40))) for i in range(2500)]  # 70,000 windows
+    docs = [(i, " ".join(f"u{r.randrange(99)}" for _ in range(20)) + " " + " ".join(items[r.randrange(2500)][1].split()[5:25]) + " the end") for i in range(300)]
+    got = decontam.find(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(got) == 300 and all((x.n_words, x.n_hit, len(x.item_ids), x.contaminated) == (42, 20, 1, True) for x in got)
