@@ -53,9 +53,8 @@ CONTAINED = 0.75
 
 _SEEDS = mix64(np.arange(11, 11 + 2 * BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MULTIPLY, _ADD = (_SEEDS[:BANDS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (_SEEDS[BANDS:] >> np.uint64(32)).astype(np.uint32)
-_TABLE_BITS = 22
-#: Templates are held whole in each worker, so a table of them may have this many characters.
-TEMPLATE_CHARS = 20_000_000
+#: Templates are held whole in each worker, so a table of them may have this many characters: some 5 million keys, 150 MB.
+TEMPLATE_CHARS = 1_000_000
 
 
 @lru_cache(maxsize=1)
@@ -101,7 +100,8 @@ class Index:
         keys, owners = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(owners or [np.zeros(0, int)])
         order = np.argsort(keys, kind="stable")
         self.keys, self.owners = keys[order], owners[order]
-        self.there = np.zeros(1 << _TABLE_BITS, bool)
+        self.bits = max(22, (8 * len(keys)).bit_length())  # an eighth of the cells at most are full
+        self.there = np.zeros(1 << self.bits, bool)
         self.there[self._cell(self.keys.astype(np.uint32), (self.keys >> np.uint64(32)).astype(np.uint32))] = True
 
     @staticmethod
@@ -109,9 +109,8 @@ class Index:
         """A band and its value in one number."""
         return band.astype(np.uint64) << np.uint64(32) | value
 
-    @staticmethod
-    def _cell(value, band):
-        return (value ^ (band * np.uint32(0x9E3779B1))) * np.uint32(0x85EBCA6B) >> np.uint32(32 - _TABLE_BITS)
+    def _cell(self, value, band):
+        return (value ^ (band * np.uint32(0x9E3779B1))) * np.uint32(0x85EBCA6B) >> np.uint32(32 - self.bits)
 
     def candidates(self, s: np.ndarray) -> set[int]:
         """Templates that share a band with one of the windows."""

@@ -144,6 +144,26 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 
 
 
+def _license_templates() -> str:
+    return ", ".join("('" + name.replace("'", "''") + "', '" + text.replace("'", "''") + "')" for name, text in licenses.TEMPLATES.items())
+
+
+_SHINGLES = f"array_to_string(w[i:i + {licenses.SHINGLE - 1}], ' ') s"
+_LICENSES = f"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, {_WORDS} w FROM documents),
+template AS (SELECT name, {_WORDS} w FROM (VALUES {_license_templates()}) x(name, text)),
+t AS (SELECT DISTINCT name, {_SHINGLES} FROM template, range(1, len(w) - {licenses.SHINGLE - 2}) x(i)),
+size AS (SELECT name, count(*) n, greatest(1, count(*) * 5 // 4) AS most FROM t GROUP BY name),
+shingle AS (SELECT r, i, {_SHINGLES} FROM d, range(1, greatest(1, len(w) - {licenses.SHINGLE - 2})) x(i)),
+place AS (SELECT r, name, i - 1 AS i, s, n, most FROM shingle JOIN t USING (s) JOIN size USING (name)),
+stretch AS (SELECT p.r, p.name, p.i, min(q.i) AS first FROM place p JOIN place q ON q.r = p.r AND q.name = p.name AND q.i <= p.i AND q.i > p.i - p.most GROUP BY p.r, p.name, p.i, p.n HAVING count(DISTINCT q.s) >= {licenses.CONTAINED} * p.n),
+apart AS (SELECT *, first >= coalesce(lag(i) OVER (PARTITION BY r, name ORDER BY i) + {licenses.SHINGLE}, 0) AS begins FROM stretch),
+island AS (SELECT *, sum(begins::INT) OVER (PARTITION BY r, name ORDER BY i) AS k FROM apart),
+span AS (SELECT r, name, min(first) AS start, max(i) + {licenses.SHINGLE} AS stop FROM island GROUP BY r, name, k),
+found AS (SELECT r, count(*) AS n_licenses, array_to_string(list_sort(list_distinct(list(name))), ',') AS names, string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, name) AS spans FROM span GROUP BY r)
+SELECT doc_id, coalesce(n_licenses, 0)::BIGINT AS n_licenses, coalesce(names, '') AS names, coalesce(spans, '') AS spans FROM d LEFT JOIN found USING (r)"""
+
+
 def _crc_table() -> list[int]:
     out = []
     for c in range(256):
@@ -215,5 +235,5 @@ scored AS (SELECT r, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coal
 ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resample.LEAST_WORDS} ORDER BY score DESC, doc_id NULLS FIRST) AS k FROM scored)
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {resample.LEAST_WORDS} AND k <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= {resample.LEAST_WORDS}) THEN k END AS rank FROM ranked"""
 
-#: The others aren't SQL: merges of a tokenizer, models fitted in floating point, file formats, MinHash, parsing of HTML.
-ORACLE: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op4_secrets": _SECRETS, "op6_near_duplicates": _NEAR, "op11_repair": _REPAIR, "op12_chat": _CHAT, "op13_resample": _RESAMPLE}
+#: The others aren't SQL: merges of a tokenizer, models fitted in floating point, file formats, parsing of HTML.
+ORACLE: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op4_secrets": _SECRETS, "op6_near_duplicates": _NEAR, "op9_licenses": _LICENSES, "op11_repair": _REPAIR, "op12_chat": _CHAT, "op13_resample": _RESAMPLE}

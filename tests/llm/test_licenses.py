@@ -78,3 +78,22 @@ def test_odd_documents(spark, odd_docs, no_docs):
     got = licenses.described(licenses.scan(odd_docs)).collect()
     assert len(got) == odd_docs.count() and all(r.n_licenses == 0 and r.spans == "" for r in got)
     assert licenses.scan(no_docs).count() == 0
+
+
+def test_spans_by_sql(spark):
+    import duckdb
+
+    from strata_spark.llm.queries import ORACLE
+
+    docs = fixture() + [(200, None), (201, ""), (202, "Released under the MIT License. " * 30), (203, "x " * 10 + "Released under the MIT License. y Released under the MIT License."), (202, "twice")]
+    got = licenses.described(licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"))).select("doc_id", "n_licenses", "names", "spans").collect()
+    c = duckdb.connect()
+    c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    c.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    assert sorted(map(tuple, got)) == sorted(c.execute(ORACLE["op9_licenses"]).fetchall())
+
+
+def test_tables_of_templates_are_sized_by_their_keys():
+    rng = random.Random(6)
+    index = licenses.Index({f"t{k}": " ".join(f"w{rng.randrange(10**6)}" for _ in range(4000)) for k in range(6)})
+    assert index.bits > 22 and index.there.mean() < 0.13
