@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +24,30 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Paths that work_path() gave within each cleared() that is open.
+_OPEN: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def cleared(spark: SparkSession):
+    """Deletes the work tables that operators write inside it, at its end: whatever reads them has to be written by then."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            of(path).getFileSystem(conf).delete(of(path), True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
