@@ -9,7 +9,8 @@ import uuid
 from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -58,6 +59,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remainder(doc_id: Column, by: int) -> Column:
+    """CRC-32 of doc_id as text, null as the empty one, modulo a number: which rows are held out of learning."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(by))
+
+
 class Memo(dict):
     """A bounded cache for map(memo.__getitem__, keys). When full, what was asked for since the last time it
     was full is the elder half, from which keys come back when asked for. Long keys aren't kept."""

@@ -92,3 +92,68 @@ def test_long_signals_are_worked_on_in_blocks(spec, monkeypatch):
     monkeypatch.setattr(media, "FRAMES_AT_ONCE", 10)
     for a, b in zip(whole, media.log_mel([payload], spec), strict=True):
         assert np.array_equal(a, b)
+
+
+def by_definition(payload, spec):
+    """Log-mel rows, energies and spans of one signal by scalar formulas: convolution, a plain DFT, triangles in mel, a two-state machine."""
+    x = [(b - 128) / 128 for b in payload]
+    wide = max(spec.up, spec.down)
+    half = spec.half_taps * wide // 2
+    h = []
+    for k, t in enumerate(range(-half, half + 1)):
+        u = t / wide
+        sinc = 1.0 if u == 0 else math.sin(math.pi * u) / (math.pi * u)
+        h.append(sinc * (0.5 - 0.5 * math.cos(2 * math.pi * (k + 1) / (2 * half + 2))) * spec.up / wide)
+    y = []
+    for m in range(len(x) * spec.up // spec.down):
+        at = m * spec.down + half  # place in the convolution of the stuffed signal
+        y.append(sum(h[at - n * spec.up] * x[n] for n in range(max(0, -(-(at - 2 * half) // spec.up)), min(len(x) - 1, at // spec.up) + 1)))
+    mel = lambda f: 2595 * math.log10(1 + f / 700)
+    edges = [700 * (10 ** (mel(spec.new_rate / 2) * k / (spec.mels + 1) / 2595) - 1) for k in range(spec.mels + 2)]
+    n = 1 + max(0, math.ceil((len(y) - spec.frame) / spec.hop))
+    rows, energies = [], []
+    for f in range(n):
+        frame = [y[f * spec.hop + k] if f * spec.hop + k < len(y) else 0.0 for k in range(spec.frame)]
+        # what stands behind a signal is the filter's tail over silence
+        for k in range(spec.frame):
+            if f * spec.hop + k >= len(y):
+                at = (f * spec.hop + k) * spec.down + half
+                frame[k] = sum(h[at - i * spec.up] * x[i] for i in range(max(0, -(-(at - 2 * half) // spec.up)), len(x)))
+        mean = sum(frame) / spec.frame
+        frame = [(v - mean) * (0.5 - 0.5 * math.cos(2 * math.pi * k / (spec.frame - 1))) for k, v in enumerate(frame)]
+        power = []
+        for b in range(spec.frame // 2 + 1):
+            re = sum(v * math.cos(2 * math.pi * b * k / spec.frame) for k, v in enumerate(frame))
+            im = sum(v * math.sin(2 * math.pi * b * k / spec.frame) for k, v in enumerate(frame))
+            power.append((re * re + im * im) / spec.frame)
+        row = []
+        for m in range(spec.mels):
+            low, middle, high = edges[m : m + 3]
+            total = 0.0
+            for b, e in enumerate(power):
+                hz = b * spec.new_rate / spec.frame
+                total += e * max(0.0, min((hz - low) / (middle - low), (high - hz) / (high - middle)))
+            row.append(10 * math.log10(total + 1e-10))
+        rows.append(row)
+        energies.append(10 * math.log10(sum(power) / len(power) + 1e-10))
+    spans, open_at = [], None
+    for f, e in enumerate(energies):
+        if open_at is None and e >= spec.open_db:
+            open_at = f
+        elif open_at is not None and e < spec.close_db:
+            spans.append((open_at, f))
+            open_at = None
+    spans += [(open_at, n)] if open_at is not None else []
+    return rows, energies, [(a * spec.hop / spec.new_rate, ((b - 1) * spec.hop + spec.frame) / spec.new_rate) for a, b in spans]
+
+
+@pytest.mark.parametrize("spec", [AudioSpec(frame=32, hop=16, mels=6), AudioSpec(up=3, down=4, frame=48, hop=24, mels=5, half_taps=4, open_db=-12.0, close_db=-14.0)])
+def test_log_mel_and_segments_by_definition(spec):
+    r = np.random.default_rng(7)
+    quiet = 128 + r.integers(-3, 4, 200)
+    loud = r.integers(0, 256, 300)
+    for payload in (bytes(64), media.padded(b"A text, as bytes of a signal. " * 9), media.padded(np.concatenate([quiet, loud, quiet, loud[:90]]).astype(np.uint8).tobytes())):
+        rows, energies, spans = by_definition(payload, spec)
+        counts, mel, energy = media.log_mel([payload], spec)
+        assert counts.tolist() == [len(rows)] and np.abs(mel - np.array(rows)).max() < 0.006 and np.abs(energy - np.array(energies)).max() < 0.006
+        assert media.segments(np.array(energies), spec) == [pytest.approx(s) for s in spans]
