@@ -67,8 +67,8 @@ def by_year(seen: Observation, years: range) -> dict[int, tuple[int, str]]:
 def run_job(spark: SparkSession, census: str, projections: str, tract_reference: str, out: str, spec: SampleSpec, fmt: str = "parquet", departments: str | None = None, provinces: str | None = None, index: str | None = None) -> dict[int, tuple[int, str]]:
     """Reads the census folder and the reference files, draws, and writes sample and manifest below out: Parquet by year, or a named CSV file a year.
 
-    Years written earlier stay, the spec's are replaced. The sample is evaluated once; its rows and order-free digest are
-    observed as they are written, go to the manifest and are given back by year. Codes of the spec that the code lists
+    Years written earlier stay, the spec's are replaced. The sample is evaluated once; drawn households, rows and order-free digest are
+    observed as they are written, go to the manifest, and the last two are given back by year. Nothing is published unless an exact draw has as many households as asked for. Codes of the spec that the code lists
     departments and provinces (else the tract reference) lack stop the run. index is a folder that keeps the draw's
     bucket counts for other fractions and years; if the households aren't those that were counted, nothing is published.
     """
@@ -96,13 +96,24 @@ def run_job(spark: SparkSession, census: str, projections: str, tract_reference:
         drawn = sampling.draw_bernoulli(homes, report, spec.seed, small)
     else:
         drawn = sampling.draw_counted(homes, counts, ratios, spec.frac, spec.seed, spec.on_invalid, small)
+    per_year = Observation("drawn households by year")
+    drawn = drawn.observe(per_year, F.count("*").alias("n"), *[F.count_if(F.col("year") == y).alias(f"n{y}") for y in years])
     sample, seen = observed(sampling.flatten(drawn, dwellings, persons, tracts), years)
+
+    def before_publishing() -> None:
+        if check:
+            check()
+        wanted = {r.year: r.k for r in report.groupBy("year").agg(F.sum("k").alias("k")).collect()}  # a row a year
+        got = per_year.get
+        if spec.method == "exact" and (short := [y for y in years if got[f"n{y}"] != wanted.get(y, 0)]):
+            raise ValueError(f"other numbers of households than asked for in {', '.join(map(str, short))}")
+
     if fmt == "csv":
-        files.write_named_csv(sample, out, spec, before=check)
+        files.write_named_csv(sample, out, spec, before=before_publishing)
     else:
-        files.write_sample(sample, f"{out}/sample", fmt, spec.years, check)
-    found = by_year(seen, years)
-    files.write_manifest(files.with_run(report, found), spec, f"{out}/manifest")
+        files.write_sample(sample, f"{out}/sample", fmt, spec.years, before_publishing)
+    found, got = by_year(seen, years), per_year.get
+    files.write_manifest(files.with_run(report, {y: (got[f"n{y}"], *v) for y, v in found.items()}), spec, f"{out}/manifest")
     if index is None:
         files.removed(spark, f"{out.rstrip('/')}/_counts")
     return found

@@ -99,10 +99,10 @@ def run_manifest(report: DataFrame, spec: SampleSpec) -> DataFrame:
     return report.withColumns({f"spec_{k}": F.lit(None if v is None else str(v)) for k, v in asdict(spec).items()})
 
 
-def with_run(report: DataFrame, found: dict[int, tuple[int, str]]) -> DataFrame:
-    """The stratum report with each year's rows and digest of the sample."""
+def with_run(report: DataFrame, found: dict[int, tuple[int, int, str]]) -> DataFrame:
+    """The stratum report with each year's drawn households, and rows and digest of the sample."""
     pick = lambda k, kind: F.coalesce(*[F.when(F.col("year") == y, F.lit(v[k])) for y, v in found.items()], F.lit(None).cast(kind))
-    return report.withColumns({"sample_rows": pick(0, "long"), "sample_digest": pick(1, "string")})
+    return report.withColumns({"sample_households": pick(0, "long"), "sample_rows": pick(1, "long"), "sample_digest": pick(2, "string")})
 
 
 def work_path(spark: SparkSession, name: str) -> str:

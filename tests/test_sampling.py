@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata_spark import sources
 from strata_spark.functions import age_bin, draw_hash, hash01, zero_filled
-from strata_spark.operators import geo, layout, sampling, tabulate, validate
+from strata_spark.operators import draw_index, geo, layout, sampling, tabulate, validate
 from strata_spark.plans import draw, run_job, sample_job
 from strata_spark.plans.run import by_year, observed, placed
 from strata_spark.spec import SampleSpec
@@ -226,7 +226,7 @@ def test_years_replace_only_themselves(spark, tmp_path):
     assert read().keys() == {2016}
     manifest = {(r.year, r.dept): r for r in spark.read.json(f"{out}/manifest").collect()}
     assert {(y, d): r.k for (y, d), r in manifest.items()} == {(2015, 11): 0, (2015, 12): 0, (2016, 11): 2, (2016, 12): 3}
-    assert manifest[2016, 11].sample_rows == len(both[2016]) and manifest[2015, 12].sample_rows == 0
+    assert manifest[2016, 11].sample_households == 5 and manifest[2016, 11].sample_rows == len(both[2016]) and manifest[2015, 12].sample_rows == 0
     assert not [p.name for p in (tmp_path / "out").rglob("_*") if p.is_dir()]
     csv = lambda: {p.name: p.read_text() for p in (tmp_path / "out").glob("*.csv")}
     run_job(spark, *files, out, spec(2015), "csv")
@@ -310,6 +310,24 @@ def test_draw_index(spark, tmp_path):
     assert not list((tmp_path / "out7").rglob("*.parquet"))
 
 
+def test_a_draw_from_an_index_reads_households_once(spark, tmp_path):
+    spark.range(5000).selectExpr("id household_id", "cast(id % 4 as int) dept").write.parquet(str(tmp_path / "homes.parquet"))
+    homes = spark.read.parquet(str(tmp_path / "homes.parquet"))
+    ratios = spark.createDataFrame([(d, y, 1.0) for d in range(4) for y in (2015, 2016)], "dept int, year int, ratio double")
+    draw_index.ensure(homes, str(tmp_path / "index"), range(2015, 2017), 3)
+    counts = draw_index.ensure(homes, str(tmp_path / "index"), range(2015, 2017), 3)
+    drawn = sampling.draw_counted(homes, counts, ratios, 0.07, 3)
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet \[[^]]*household_id", plan)) == 1 and drawn.count() == 8 * round(0.07 * 1250)
+    again, check = draw_index.checked(homes, str(tmp_path / "index"), range(2015, 2017))
+    sampling.draw_counted(again, counts, ratios, 0.07, 3).write.format("noop").mode("overwrite").save()
+    check()
+    other, check = draw_index.checked(homes.where("household_id > 0"), str(tmp_path / "index"), range(2015, 2017))
+    other.write.format("noop").mode("overwrite").save()
+    with pytest.raises(ValueError, match="changed"):
+        check()
+
+
 def test_laid_out_tables_need_no_exchange_by_key(spark, tmp_path):
     n = 4000
     tracts = spark.createDataFrame([(t, t % 3, 1, None) for t in range(9)], "tract_id long, dept int, prov int, agglomerate int")
