@@ -94,6 +94,15 @@ def write_tables(long_table: DataFrame, folder: str, fmt: str = "csv") -> None:
     (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(folder)
 
 
+def write_named_tables(long_table: DataFrame, folder: str, variables: tuple[str, ...], name: str = "agg_circuitos_{variable}.csv", one_file: bool = True) -> dict[str, str]:
+    """A tabulation in long form (area, variable, value, n) as one CSV file per variable, from one evaluation; other files stay."""
+    odd = [v for v in variables if not v.replace("_", "").isalnum()]
+    if odd:
+        raise ValueError(f"variables can't name files: {', '.join(odd)}")
+    names = {v: name.format(variable=v) for v in variables}
+    return publish.write_named_files(long_table.where(F.col("variable").isin(*variables)), folder.rstrip("/"), names, one_file, column="variable")
+
+
 def run_manifest(report: DataFrame, spec: SampleSpec) -> DataFrame:
     """The stratum report with the run's parameters on each row."""
     return report.withColumns({f"spec_{k}": F.lit(None if v is None else str(v)) for k, v in asdict(spec).items()})

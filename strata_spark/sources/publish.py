@@ -1,4 +1,4 @@
-"""Publishing what one job wrote: each year's files take the place of that year's earlier ones, other years stay."""
+"""Publishing what one job wrote: each year's (or variable's) files take the place of its earlier ones, others stay."""
 
 from __future__ import annotations
 
@@ -74,13 +74,13 @@ class Store:
             self.delete(aside)
 
 
-def write_by_year(rows: DataFrame, folder: str, fmt: str = "parquet", years: range | None = None, header: bool = True, before=None) -> list[int]:
+def write_by_year(rows: DataFrame, folder: str, fmt: str = "parquet", years: range | None = None, before=None) -> list[int]:
     """rows written once, then folder/year=... of each year replaced; gives the years.
 
     Years that the rows lack but `years` has become absent; all others stay as they are. before() is called between
     writing and publishing; where it raises, nothing is published.
     """
-    store, stage = _written(rows, folder, fmt, header)
+    store, stage = _written(rows, folder, fmt, "year")
     try:
         if before:
             before()
@@ -92,28 +92,28 @@ def write_by_year(rows: DataFrame, folder: str, fmt: str = "parquet", years: ran
     return sorted(there)
 
 
-def write_named_files(rows: DataFrame, folder: str, names: dict[int, str], one_file: bool = True, before=None) -> dict[int, str]:
-    """rows written once as CSV, then folder/<name> of each year replaced: one file with one header, made of the tasks' parts.
+def write_named_files(rows: DataFrame, folder: str, names: dict, one_file: bool = True, before=None, column: str = "year") -> dict:
+    """rows written once as CSV, then folder/<name> of each of the column's values replaced: one file with one header, made of the tasks' parts.
 
-    names has a file name for each year; one without rows becomes a header alone. Where the file system can't join files, or
-    one_file is False, the name is a folder of part files, each with a header. Gives what each year became, `file` or `folder`.
+    names has a file name for each value; one without rows becomes a header alone. Where the file system can't join files, or
+    one_file is False, the name is a folder of part files, each with a header. Gives what each became, `file` or `folder`.
     """
-    store, stage = _written(rows, folder, "csv", not one_file)
-    columns = ",".join(c if all(x not in c for x in ',"\n\r') else '"' + c.replace('"', '\\"') + '"' for c in rows.columns if c != "year") + "\n"
+    store, stage = _written(rows, folder, "csv", column, not one_file)
+    columns = ",".join(c if all(x not in c for x in ',"\n\r') else '"' + c.replace('"', '\\"') + '"' for c in rows.columns if c != column) + "\n"
     out = {}
     try:
         if before:
             before()
-        for year, name in names.items():
-            own = f"{stage}/year={year}"
+        for value, name in names.items():
+            own = f"{stage}/{column}={value}"
             parts = [f"{own}/{n}" for n in store.names(own) if n.startswith("part-")]
             made = f"{own}/joined" if one_file else None
             if one_file or not parts:
                 store.write(f"{own}/header", columns)
             if one_file and store.joined([f"{own}/header", *parts], made):
-                out[year] = "file"
+                out[value] = "file"
             else:
-                made, out[year] = own, "folder"
+                made, out[value] = own, "folder"
                 if one_file or not parts:
                     store.rename(f"{own}/header", f"{own}/part-00000-header.csv")
             store.replace(made, f"{folder}/{name}")
@@ -122,11 +122,11 @@ def write_named_files(rows: DataFrame, folder: str, names: dict[int, str], one_f
     return out
 
 
-def _written(rows: DataFrame, folder: str, fmt: str, header: bool) -> tuple[Store, str]:
+def _written(rows: DataFrame, folder: str, fmt: str, column: str, header: bool = True) -> tuple[Store, str]:
     folder = folder.rstrip("/")
     stage = f"{folder}/_writing-{uuid.uuid4().hex}"
     store = Store(rows.sparkSession, folder)
-    writer = rows.write.partitionBy("year")
+    writer = rows.write.partitionBy(column)
     try:
         (writer.option("header", header).csv if fmt == "csv" else writer.json if fmt == "json" else writer.parquet)(stage)
     except Exception:

@@ -270,6 +270,21 @@ def test_named_files_from_one_evaluation(spark, tmp_path):
     assert (tmp_path / "table_f0.05_2016_x.csv").is_dir() and spark.read.option("header", True).csv(str(tmp_path / "table_f0.05_2016_x.csv")).count() == 1000
 
 
+def test_tables_as_named_files(spark, tmp_path):
+    rows = [(p, f"c{c}", v, str(x), p + c + x) for p in range(3) for c in range(4) for v in ("sex", "age_bin") for x in range(2)]
+    table = spark.createDataFrame(rows, "prov int, circuit string, variable string, value string, n long").repartition(4)
+    assert sources.write_named_tables(table, str(tmp_path), ("sex", "age_bin", "tenure")) == dict.fromkeys(("sex", "age_bin", "tenure"), "file")
+    for v in ("sex", "age_bin", "tenure"):
+        got = spark.read.option("header", True).csv(str(tmp_path / f"agg_circuitos_{v}.csv"))
+        assert got.columns == ["prov", "circuit", "value", "n"]
+        assert sorted((int(r.prov), r.circuit, r.value, int(r.n)) for r in got.collect()) == sorted((a, b, x, n) for a, b, w, x, n in rows if w == v)
+    before = (tmp_path / "agg_circuitos_age_bin.csv").read_text()
+    sources.write_named_tables(table.where("prov = 1"), str(tmp_path), ("sex",))
+    assert (tmp_path / "agg_circuitos_age_bin.csv").read_text() == before and len((tmp_path / "agg_circuitos_sex.csv").read_text().splitlines()) == 9
+    with pytest.raises(ValueError, match="a/b"):
+        sources.write_named_tables(table, str(tmp_path), ("a/b",))
+
+
 def test_digests_tell_multisets_in_any_order(spark):
     rows = spark.createDataFrame([(i % 50, f"s{i % 7}", None if i % 3 else i, 2015 + i % 2) for i in range(400)], "a long, s string, n long, year int")
     years = range(2015, 2018)
