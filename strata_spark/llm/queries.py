@@ -85,9 +85,20 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def lm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3's result has that SQL can state: counts, and the base score in thousandths."""
+    scored = op3_language_model(spark, sf_dir)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.floor(F.col("base_score") * 1000 + 0.5).cast("long").alias("base_milli"))
+
+
+def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5's result has that SQL can state: the payload read back and the stored file."""
+    return op5_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe, op2_decontamination, op3_language_model, op4_secrets, op5_media, op6_near_duplicates, op7_quality, op8_token_files, op9_licenses, op10_html, op11_repair, op12_chat, op13_resample)
+    for f in (op1_bpe, op2_decontamination, op3_language_model, op4_secrets, op5_media, op6_near_duplicates, op7_quality, op8_token_files, op9_licenses, op10_html, op11_repair, op12_chat, op13_resample, lm_counts, media_payloads)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -235,5 +246,28 @@ scored AS (SELECT r, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coal
 ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resample.LEAST_WORDS} ORDER BY score DESC, doc_id NULLS FIRST) AS k FROM scored)
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {resample.LEAST_WORDS} AND k <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= {resample.LEAST_WORDS}) THEN k END AS rank FROM ranked"""
 
+_LM_COUNTS = f"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, list_append(regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+'), ' end') AS w,
+{_crc("list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ord(x)::BIGINT)")} % 7 = 2 AS held_out FROM documents),
+token AS (SELECT r, held_out, unnest(w) AS t FROM d), c AS (SELECT t, count(*) AS c FROM token WHERE NOT held_out GROUP BY t),
+size AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c),
+sums AS (SELECT r, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c, 0) + 1)::DOUBLE / (n + v + 1)::DOUBLE)) AS base FROM token LEFT JOIN c USING (t), size GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, floor(base * 1000 + 0.5)::BIGINT AS base_milli FROM d JOIN sums USING (r), size"""
+
+
+def _little_endian(value: str, width: int) -> str:
+    """Hex digits of a number's bytes, the lowest first."""
+    return f"list_aggregate(list_reverse(regexp_extract_all(printf('%0{2 * width}x', {value}), '..')), 'string_agg', '')"
+
+
+_HEADER = "'52494646' || " + _little_endian("36 + n", 4) + " || '57415645666d7420' || '10000000' || '01000100' || " + _little_endian(f"{media.AudioSpec().rate}", 4) + " || " + _little_endian(f"{media.AudioSpec().rate}", 4) + " || '01000800' || '64617461' || " + _little_endian("n", 4)
+_MEDIA_PAYLOADS = f"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+p AS (SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, greatest({media.ALIGN}, (octet_length(b) + {media.ALIGN - 1}) // {media.ALIGN} * {media.ALIGN})::BIGINT AS n, hex(b) AS x FROM d),
+full_ AS (SELECT doc_id, n_bytes, n, x || repeat('00', (n - n_bytes)::INT) AS x FROM p)
+SELECT doc_id, n_bytes, n AS payload_bytes, sha256(unhex(x)) AS payload_sha256,
+{_crc(f"list_transform(regexp_extract_all(right(x, {2 * media.ALIGN}), '..'), lambda h: ('0x' || h)::BIGINT)")}::BIGINT AS tail_crc32,
+(n + 44)::BIGINT AS media_bytes, sha256(unhex({_HEADER} || x)) AS media_sha256 FROM full_"""
+
 #: The others aren't SQL: merges of a tokenizer, models fitted in floating point, file formats, parsing of HTML.
-ORACLE: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op4_secrets": _SECRETS, "op6_near_duplicates": _NEAR, "op9_licenses": _LICENSES, "op11_repair": _REPAIR, "op12_chat": _CHAT, "op13_resample": _RESAMPLE}
+ORACLE: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op4_secrets": _SECRETS, "op6_near_duplicates": _NEAR, "op9_licenses": _LICENSES, "op11_repair": _REPAIR, "op12_chat": _CHAT, "op13_resample": _RESAMPLE, "lm_counts": _LM_COUNTS, "media_payloads": _MEDIA_PAYLOADS}
