@@ -1,8 +1,8 @@
 """BPE encoding and decoding by dynamic programming over prefixes.
 
-Every prefix of a word has exactly one last token in its BPE encoding. An automaton of all tokens finds the
-tokens that end at each prefix; the one that is compatible with the last token of the prefix before it is
-kept, and following the kept tokens back from the end of the word gives the ids. A pair is compatible if
+Every prefix of a word has exactly one last token in its BPE encoding. A suffix automaton of all tokens finds the longest
+end of each prefix that stands in some token, and by it the tokens that end there; the one that is compatible with the last token
+of the prefix before it is kept, and following the kept tokens back from the end of the word gives the ids. A pair is compatible if
 merging the two tokens' texts would leave just these two tokens. Words end with a marked symbol, so the
 alphabet has 512 symbols: a byte inside a word or a byte that ends one.
 """
@@ -62,9 +62,8 @@ def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
 class _Table:
     """A fixed map of integers to integers that is asked for many keys at once; -1 for others."""
 
-    def __init__(self, items: dict[int, int]):
-        keys, values = np.fromiter(items.keys(), np.int64, len(items)), np.fromiter(items.values(), np.int64, len(items))
-        self.bits = (4 * len(keys) + 1).bit_length()
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = (3 * len(keys) + 1).bit_length()
         self.keys, self.values = np.full((1 << self.bits) + len(keys), -1), np.full((1 << self.bits) + len(keys), -1, np.int32)
         slots = _slots(keys, self.bits)
         while len(keys):
@@ -89,31 +88,120 @@ class _Table:
         return out
 
 
+class SuffixAutomaton:
+    """All substrings of the tokens' texts, which are strings of symbols below 512.
+
+    A state stands for substrings that end at the same places of all texts; size is the length of its longest, link the state of the longest of
+    its ends that is no longer one of them. A token is the longest of its state. full is the longest token that ends a match of
+    a state's longest string, part the longest that ends a shorter match.
+    """
+
+    def __init__(self, texts: dict[int, str]):
+        follow, link, size, token = [{}], [-1], [0], [-1]
+
+        def new(length: int, to: dict, back: int) -> int:
+            follow.append(to)
+            link.append(back)
+            size.append(length)
+            token.append(-1)
+            return len(link) - 1
+
+        def split(p: int, q: int, c: int) -> int:
+            """A state of its own for those strings of q that are one symbol longer than p's."""
+            copy = new(size[p] + 1, dict(follow[q]), link[q])
+            link[q] = copy
+            while p >= 0 and follow[p].get(c) == q:
+                follow[p][c] = copy
+                p = link[p]
+            return copy
+
+        def longer(last: int, c: int) -> int:
+            q = follow[last].get(c)
+            if q is not None:
+                return q if size[q] == size[last] + 1 else split(last, q, c)
+            at, p = new(size[last] + 1, {}, 0), last
+            while p >= 0 and c not in follow[p]:
+                follow[p][c] = at
+                p = link[p]
+            if p >= 0:
+                q = follow[p][c]
+                link[at] = q if size[q] == size[p] + 1 else split(p, q, c)
+            return at
+
+        # texts by length, so that what a prefix of them leads to is there before what follows it
+        ends, prefixes = {}, {"": 0}
+        for text, t in sorted((x, t) for t, x in texts.items()):
+            known = len(text)
+            while text[:known] not in prefixes:
+                known -= 1
+            at = prefixes[text[:known]]
+            for k in range(known, len(text)):
+                at = prefixes[text[: k + 1]] = longer(at, ord(text[k]))
+            ends[t] = text
+        for t, text in ends.items():
+            at = 0
+            for c in map(ord, text):
+                at = follow[at][c]
+            token[at] = t
+        keys = [state << 9 | c for state, to in enumerate(follow) for c in to]
+        self.keys, self.values = np.array(keys, np.int64), np.array([x for to in follow for x in to.values()], np.int32)
+        self.link, self.size = np.maximum(np.array(link, np.int32), 0), np.array(size, np.int32)
+        full = token[:]
+        part = [-1] * len(full)
+        for state in np.argsort(self.size, kind="stable").tolist()[1:]:  # links lead to shorter ones
+            part[state] = full[link[state]]
+            if full[state] < 0:
+                full[state] = part[state]
+        self.full, self.part = np.array(full, np.int32), np.array(part, np.int32)
+        self.state_of = np.zeros(len(texts), np.int32)
+        for state, t in enumerate(token):
+            if t >= 0:
+                self.state_of[t] = state
+
+
+@lru_cache(maxsize=2)
+def automaton(path: str) -> SuffixAutomaton:
+    with open(path, encoding="utf-8") as f:
+        return SuffixAutomaton(_texts(json.load(f))[0])
+
+
+def _texts(spec: dict) -> tuple[dict[int, str], dict[int, tuple[int, int]]]:
+    """Each token's symbols as a string, and the two that each merge joins."""
+    vocab = spec["model"]["vocab"]
+    texts, merges = {}, {}
+    for c, b in _bytes_of_chars().items():
+        texts |= {vocab[c]: chr(b), vocab[c + "</w>"]: chr(256 + b)}
+    for m in spec["model"]["merges"]:
+        a, b = m.split(" ") if isinstance(m, str) else m
+        left, right, whole = vocab[a], vocab[b], vocab[a + b]
+        merges[whole], texts[whole] = (left, right), texts[left] + texts[right]
+    return texts, merges
+
+
 class WordBpe:
     """A tokenizer file of kind "BPE with word ends", with normalisation NFC, white space to space, lower case."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, of_tokens: SuffixAutomaton | None = None):
         import regex
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         of_char = _bytes_of_chars()
-        texts = {vocab[c]: chr(b) for c, b in of_char.items()} | {vocab[c + "</w>"]: chr(256 + b) for c, b in of_char.items()}
-        self.split, self.merged = np.zeros((SYMBOLS + len(merges), 2), np.int64), {}
-        for a, b in merges:
-            left, right, whole = vocab[a], vocab[b], vocab[a + b]
-            self.split[whole], self.merged[left << 16 | right] = (left, right), whole
-            texts[whole] = texts[left] + texts[right]
+        texts, merges = _texts(spec)
+        self.split = np.zeros((SYMBOLS + len(merges), 2), np.int64)
+        for whole, both in merges.items():
+            self.split[whole] = both
         if sorted(texts) != list(range(SYMBOLS + len(merges))):
             raise ValueError(f"{path}: ids must be the symbols and then the merges in order of rank")
         self.sizes = np.array([len(texts[i]) for i in range(len(texts))])
-        self._automaton(texts)
-        self.merge_of = _Table(self.merged)
+        self.states = of_tokens or automaton(path)
+        self.step_of = _Table(self.states.keys, self.states.values)
+        self.shorter = self.states.part[self.states.state_of].astype(np.int64)
+        wholes = np.fromiter(merges, np.int64, len(merges))
+        self.merge_of = _Table(self.split[wholes, 0] << 16 | self.split[wholes, 1], wholes)
         self.tested, self.fit = np.full(1 << FIT_BITS, -1), np.zeros(1 << FIT_BITS, bool)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.bytes_of = str.maketrans({c: chr(b) for c, b in of_char.items()})
@@ -125,45 +213,21 @@ class WordBpe:
         """Forgets what it knows of the texts so far."""
         self.known, self.words = {}, {}
 
-    def _automaton(self, texts: dict[int, str]) -> None:
-        """States are the tokens' prefixes; longest[state] is the longest token that ends there, shorter[token] the next one."""
-        children, own, fail = [{}], [-1], [0]
-        state_of = np.zeros(len(texts), np.int64)
-        for token, text in texts.items():
-            at = 0
-            for c in map(ord, text):
-                to = children[at].get(c)
-                if to is None:
-                    to = children[at][c] = len(children)
-                    children.append({})
-                    own.append(-1)
-                at = to
-            own[at], state_of[token] = token, at
-        fail, longest = [0] * len(children), own[:]
-        todo = list(children[0].values())
-        for at in todo:
-            for c, to in children[at].items():
-                back = fail[at]
-                while back and c not in children[back]:
-                    back = fail[back]
-                fail[to] = children[back].get(c, 0)
-                todo.append(to)
-            if own[at] < 0:
-                longest[at] = longest[fail[at]]
-        self.steps = {at << 9 | c: to for at, x in enumerate(children) for c, to in x.items()}
-        self.step_of, self.fail, self.longest = _Table(self.steps), np.array(fail), np.array(longest)
-        self.shorter = self.longest[self.fail[state_of]]
-
-    def _step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """The states of the longest suffixes that begin a token."""
-        to = self.step_of[state << 9 | symbol]
+    def _step(self, state: np.ndarray, length: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States and lengths of the longest matches that end with a symbol more."""
+        to, length = self.step_of[state << 9 | symbol], length + 1
         todo = np.flatnonzero(to < 0)
         state = state[todo]
         while len(todo):
-            state = self.fail[state]
+            state = self.states.link[state].astype(np.int64)
             to[todo] = found = self.step_of[state << 9 | symbol[todo]]
+            length[todo] = self.states.size[state] + 1
             todo, state = todo[found < 0], state[found < 0]
-        return to
+        return to, length
+
+    def _ending(self, state: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The longest token that ends a match."""
+        return np.where(length == self.states.size[state], self.states.full[state], self.states.part[state]).astype(np.int64)
 
     def fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether no merge across the boundary of each pair comes before those that form the two tokens.
@@ -211,11 +275,11 @@ class WordBpe:
         row = np.repeat(np.arange(n), sizes)
         symbols[np.arange(len(row)) - np.repeat(starts, sizes), row] = np.frombuffer(b"".join([words[k] for k in order]), np.uint8)
         symbols[sizes - 1, np.arange(n)] |= 256
-        last, state = np.zeros((most + 1, n), np.int64), np.zeros(n, np.int64)
+        last, state, length = np.zeros((most + 1, n), np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
         alive = np.searchsorted(-sizes, -np.arange(1, most + 1), "right")  # words with a prefix of this length
         for end, k in enumerate(alive.tolist(), 1):
-            state = self._step(state[:k], symbols[end - 1, :k])
-            token = self.longest[state]
+            state, length = self._step(state[:k], length[:k], symbols[end - 1, :k])
+            token = self._ending(state, length)
             todo = np.flatnonzero(self.sizes[token] < end)
             while len(todo):
                 tried = token[todo]
@@ -240,13 +304,15 @@ class WordBpe:
 
     def encode_long_word(self, word: bytes) -> np.ndarray:
         """The ids of one long word, a prefix after the other."""
-        sizes, fits, steps, fail, longest, shorter = self.lists
-        last, state, symbols = [0], 0, [*word]
+        sizes, fits, steps, link, most, full, part, shorter = self.lists
+        last, state, length, symbols = [0], 0, 0, [*word]
         symbols[-1] |= 256
         for end, c in enumerate(symbols, 1):
             while (to := steps.get(state << 9 | c)) is None:
-                state = fail[state]
-            state, token = to, longest[to]
+                state = link[state]
+                length = most[state]
+            state, length = to, length + 1
+            token = full[to] if length == most[to] else part[to]
             while sizes[token] < end and not fits(last[end - sizes[token]], token):
                 token = shorter[token]
             last.append(token)
@@ -259,7 +325,8 @@ class WordBpe:
     @cached_property
     def lists(self):
         one = lru_cache(maxsize=100_000)(lambda left, right: bool(self.fits(np.array([left]), np.array([right]))[0]))
-        return self.sizes.tolist(), one, self.steps, self.fail.tolist(), self.longest.tolist(), self.shorter.tolist()
+        steps = dict(zip(self.states.keys.tolist(), self.states.values.tolist(), strict=True))
+        return self.sizes.tolist(), one, steps, *(x.tolist() for x in (self.states.link, self.states.size, self.states.full, self.states.part, self.shorter))
 
     def _encode(self, words: list[str]) -> None:
         """Puts the packed ids of words of the pattern into self.words."""
@@ -342,9 +409,16 @@ def _bytes_of_chars() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str) -> WordBpe:
-    return WordBpe(path)
+_TOKENIZERS: dict[str, WordBpe] = {}
+
+
+def tokenizer(path: str, of_tokens=None) -> WordBpe:
+    """A process's tokenizer of a file; of_tokens is a broadcast automaton, where there is one."""
+    if path not in _TOKENIZERS:
+        while len(_TOKENIZERS) > 1:
+            _TOKENIZERS.pop(next(iter(_TOKENIZERS)))
+        _TOKENIZERS[path] = WordBpe(path, of_tokens and of_tokens.value)
+    return _TOKENIZERS[path]
 
 
 def _packed(ends: np.ndarray, ids: np.ndarray):
@@ -359,16 +433,17 @@ def encode(docs: DataFrame, path: str, text: str = "text", and_decode: bool = Fa
 
     With and_decode, decoded (string) is added too, from the same pass. Null and empty texts have no tokens
     and are kept, so are repeated rows and all other columns; columns of these names are replaced. An empty
-    table gives an empty table. Texts of any length are encoded whole.
+    table gives an empty table. Texts of any length are encoded whole. The automaton, as large as the vocabulary, is broadcast.
     """
+    of_tokens = docs.sparkSession.sparkContext.broadcast(automaton(path))
 
     def make(texts):
         import pyarrow as pa
 
-        ends, ids = tokenizer(path).encode_all(texts)
+        ends, ids = tokenizer(path, of_tokens).encode_all(texts)
         return [_packed(ends, ids), pa.array(np.diff(ends), pa.int64())] + ([decode_all(ends, ids, path)] if and_decode else [])
 
-    return add_columns(docs, text, "token_ids binary, n_tokens long" + ", decoded string" * and_decode, make, lambda: tokenizer(path).clear())
+    return add_columns(docs, text, "token_ids binary, n_tokens long" + ", decoded string" * and_decode, make, lambda: tokenizer(path, of_tokens).clear())
 
 
 def decode(docs: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:

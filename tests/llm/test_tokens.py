@@ -132,3 +132,30 @@ def test_trimmed():
     many = {str(i): b"x" * 10 for i in range(2000)}
     assert trimmed(dict(many), ["1", "2"], most=100_000) == {"1": b"x" * 10, "2": b"x" * 10}
     assert trimmed(dict(many), [*many], most=100_000) == {} and trimmed(dict(many), [*many]) == many
+
+
+def test_suffix_automaton_against_all_substrings():
+    rng = random.Random(9)
+    for _ in range(40):
+        texts = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(1, 12))} | {"a", "b", "c"}
+        texts = dict(enumerate(sorted(texts, key=lambda _: rng.random())))
+        states = bpe.SuffixAutomaton(texts)
+        inside = {t[i:j] for t in texts.values() for i in range(len(t)) for j in range(i + 1, len(t) + 1)}
+        number = {t: k for k, t in texts.items()}
+        step = dict(zip(states.keys.tolist(), states.values.tolist(), strict=True))
+        word = "".join(rng.choice("abc") for _ in range(60))
+        state = length = 0
+        for end in range(1, len(word) + 1):
+            while (to := step.get(state << 9 | ord(word[end - 1]))) is None:
+                state = int(states.link[state])
+                length = int(states.size[state])
+            state, length = to, length + 1
+            ends = [word[i:end] for i in range(end)]
+            assert length == max(len(x) for x in ends if x in inside)
+            tokens = [number[x] for x in ends if x in number]  # the longest first
+            assert (states.full if length == states.size[state] else states.part)[state] == tokens[0]
+            chain, at = [tokens[0]], tokens[0]
+            while (at := int(states.part[states.state_of[at]])) >= 0:
+                chain.append(at)
+            assert chain == tokens
+        assert len(states.link) <= 2 * sum(map(len, texts.values())) + 1
