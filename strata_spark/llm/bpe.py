@@ -21,8 +21,8 @@ from .common import add_columns, laid_out, split_runs, trimmed
 #: Fixed values of the tokenizer's file format: its word pattern and the number of symbols before the merges.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SYMBOLS = 512
-#: Bits of the number of pairs whose test a worker remembers.
-FIT_BITS = 20
+#: Bits of the number of pairs whose test a worker remembers; bytes of runs and of words that it remembers; bytes of text taken at once.
+FIT_BITS, KEPT, AT_ONCE = 20, 32 << 20, 4 << 20
 #: Words that are worked on side by side; those of more bytes than LONG are worked on one by one.
 STEP, LONG = 16_384, 64
 
@@ -361,7 +361,7 @@ class WordBpe:
         self._encode([*new])
         word = self.words.__getitem__
         self.known.update((r, word(x) if type(x) is str else b"".join(map(word, x))) for r, x in zip(runs, split, strict=True))
-        self.words = trimmed(self.words, new)
+        self.words = trimmed(self.words, new, KEPT)
 
     def encode_all(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids begin and end, and all ids; texts is an Arrow array, null is as empty.
@@ -373,7 +373,7 @@ class WordBpe:
         if missing := [r for r in runs if r not in self.known]:
             self._learn(missing)
         out = laid_out([self.known[r] for r in runs], np.dtype("<u4"), codes, ends)
-        self.known = trimmed(self.known, runs)
+        self.known = trimmed(self.known, runs, KEPT)
         return out
 
     def encode(self, text: str | None) -> bytes:
@@ -443,7 +443,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", and_decode: bool = Fa
         ends, ids = tokenizer(path, of_tokens).encode_all(texts)
         return [_packed(ends, ids), pa.array(np.diff(ends), pa.int64())] + ([decode_all(ends, ids, path)] if and_decode else [])
 
-    return add_columns(docs, text, "token_ids binary, n_tokens long" + ", decoded string" * and_decode, make, lambda: tokenizer(path, of_tokens).clear())
+    return add_columns(docs, text, "token_ids binary, n_tokens long" + ", decoded string" * and_decode, make, lambda: tokenizer(path, of_tokens).clear(), most=AT_ONCE)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -161,6 +163,15 @@ def by_bytes(batch, column: str | int, most: int = 8 << 20):
         at = to
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's own way to give freed memory back, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda _: 0
+
+
 def slices(batches, column: str | int, most: int = 8 << 20):
     """The slices by_bytes() cuts of all batches; at their end, unused memory goes back, for the stages after it."""
     import pyarrow as pa
@@ -170,6 +181,7 @@ def slices(batches, column: str | int, most: int = 8 << 20):
             yield from by_bytes(whole, column, most)
     finally:
         pa.default_memory_pool().release_unused()
+        _trim()(0)
 
 
 def unused(df: DataFrame, name: str) -> str:
@@ -180,10 +192,10 @@ def unused(df: DataFrame, name: str) -> str:
     return f"_{name}"
 
 
-def add_columns(df: DataFrame, text: str, ddl: str, make, done=None, whole: bool = False) -> DataFrame:
+def add_columns(df: DataFrame, text: str, ddl: str, make, done=None, whole: bool = False, most: int = 8 << 20) -> DataFrame:
     """df with further columns that make(Arrow array of texts) returns as Arrow arrays; df's columns of these names go, in whatever case.
 
-    Map side only. Batches are cut so that each call gets about 8 MB of text, or one longer text; with whole,
+    Map side only. Batches are cut so that each call gets about `most` bytes of text, or one longer text; with whole,
     make gets them with all columns. done is called at the end of each partition, so that a worker keeps nothing for the stages after it.
     """
     from pyspark.sql.types import StructType
@@ -197,7 +209,7 @@ def add_columns(df: DataFrame, text: str, ddl: str, make, done=None, whole: bool
         import pyarrow as pa
 
         try:
-            for batch in slices(batches, at):
+            for batch in slices(batches, at, most):
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i, _ in kept] + make(batch if whole else batch.column(at)), [f.name for _, f in kept] + new.names)
         finally:
             if done:
