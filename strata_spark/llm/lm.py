@@ -266,7 +266,8 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     Words lie between white space, A-Z lower-cased; each text has an end token; null is as empty. Held-out
     rows are scored but not learnt from; a null doc_id counts as the text "". Repeated rows are counted and
     scored as often as they occur. Without training rows all words are unknown. An empty table gives none.
-    Chunks and sums are kept in the shared folder.
+    Chunks and sums are kept in the shared folder. Words and pairs are told apart by 64-bit hashes, of which 48 bits and the part
+    are compared, so counts are exact but for collisions: none is expected below some millions of distinct pairs a part.
     """
     spark = docs.sparkSession
     path, answers_path = work_path(spark, "lm-chunks"), work_path(spark, "lm-sums")
