@@ -21,8 +21,8 @@ from .common import add_columns, laid_out, split_runs, trimmed
 #: Fixed values of the tokenizer's file format: its word pattern and the number of symbols before the merges.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SYMBOLS = 512
-#: Bits of the number of pairs whose test a worker remembers; bytes of runs and of words that it remembers; bytes of text taken at once.
-FIT_BITS, KEPT, AT_ONCE = 20, 32 << 20, 4 << 20
+#: Bits of the number of pairs whose test a worker remembers; runs and words that it remembers each; bytes of text taken at once.
+FIT_BITS, KEPT, AT_ONCE = 20, 170_000, 4 << 20
 #: Words that are worked on side by side; those of more bytes than LONG are worked on one by one.
 STEP, LONG = 16_384, 64
 

@@ -87,20 +87,17 @@ class Memo(dict):
         return value
 
 
-#: Bytes that a worker keeps of what it has learnt about strings, about, and the characters of the longest of them.
-KEPT_BYTES, KEPT_LONGEST = 64 << 20, 64
+#: Characters of the longest string about which a worker keeps what it has learnt, so that as many entries are as many bytes at most.
+KEPT_LONGEST = 64
 
 
-def trimmed(kept: dict[str, bytes], now, most: int = KEPT_BYTES, longest: int = KEPT_LONGEST) -> dict[str, bytes]:
-    """kept without the long ones of the strings `now` just added; once the others take too many bytes, only those of now, or none."""
+def trimmed(kept: dict[str, bytes], now, most: int, longest: int = KEPT_LONGEST) -> dict[str, bytes]:
+    """kept without the long ones of the strings `now` just added; once there are over `most` others, only those of now, or none."""
     for k in now:
         if len(k) > longest:
             kept.pop(k, None)
-    weight = lambda: 170 * len(kept) + sum(map(len, kept)) + sum(map(len, kept.values()))  # noqa: E731  170: what Python takes for an entry
-    if 170 * len(kept) > most // 4 and weight() > most:
-        kept = {k: kept[k] for k in now if k in kept}
-        if weight() > most // 2:
-            kept = {}
+    if len(kept) > most:
+        kept = {k: kept[k] for k in now if k in kept} if len(now) <= most // 2 else {}
     return kept
 
 

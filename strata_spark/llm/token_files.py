@@ -21,6 +21,8 @@ from .common import laid_out, slices, split_runs, trimmed, work_path
 END = 2
 #: Offsets of so many files, a few bytes each, are broadcast; those of more are joined by shuffling.
 BROADCAST_PARTS = 100_000
+#: Runs and words that a worker remembers each.
+KEPT = 400_000
 STRIPE_BYTES, INDEX_STRIDE, BLOOM_FPP = 16 << 20, 5000, 0.01
 
 
@@ -65,7 +67,7 @@ class _Library:
         self.known.update((r, word(x) if type(x) is str else b"".join(map(word, x))) for r, x in zip(runs, split, strict=True))
         if others:
             self.known.update((c, self._pack(e.ids)) for c, e in zip(others, self.model.encode_batch_fast(others, add_special_tokens=False), strict=True))
-        self.words = trimmed(self.words, added)
+        self.words = trimmed(self.words, added, KEPT)
 
     def encode_all(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Lengths, and all ids in one array; END follows each text. texts is an Arrow array, null is as empty."""
@@ -74,7 +76,7 @@ class _Library:
             self._learn(missing)
         codes = np.insert(codes, ends[1:], len(runs))
         out, ids = laid_out([*map(self.known.__getitem__, runs), self._pack([END])], np.dtype(self.kind), codes, ends + np.arange(len(ends)))
-        self.known = trimmed(self.known, runs)
+        self.known = trimmed(self.known, runs, KEPT)
         return np.diff(out), ids
 
 
