@@ -16,6 +16,10 @@ from ..spec import CENSUS, Hierarchy, SampleSpec
 from . import publish
 
 
+#: File names of yearly samples and of tables.
+SAMPLE_NAME, TABLE_NAME = "table_f{frac}_{year}_{name}.csv", "agg_circuitos_{variable}.csv"
+
+
 def read_columns(spark: SparkSession, path: str, types: dict[str, str], sep: str = ",", fmt: str | None = None) -> DataFrame:
     """Named columns of a CSV file with a header, or of Parquet, cast; other columns aren't parsed. Blank codes are null.
 
@@ -79,7 +83,7 @@ def write_sample(sample: DataFrame, folder: str, fmt: str = "parquet", years: tu
 
 def write_named_csv(sample: DataFrame, folder: str, spec: SampleSpec, one_file: bool = True, before=None) -> dict[int, str]:
     """table_f{frac}_{year}_{name}.csv for each year of the spec, from one evaluation: one file each, where the file system can join files."""
-    names = {year: f"table_f{spec.frac}_{year}_{spec.name}.csv" for year in range(*spec.years)}
+    names = {year: SAMPLE_NAME.format(frac=spec.frac, year=year, name=spec.name) for year in range(*spec.years)}
     return publish.write_named_files(sample, folder.rstrip("/"), names, one_file, before)
 
 
@@ -94,7 +98,7 @@ def write_tables(long_table: DataFrame, folder: str, fmt: str = "csv") -> None:
     (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(folder)
 
 
-def write_named_tables(long_table: DataFrame, folder: str, variables: tuple[str, ...], name: str = "agg_circuitos_{variable}.csv", one_file: bool = True) -> dict[str, str]:
+def write_named_tables(long_table: DataFrame, folder: str, variables: tuple[str, ...], name: str = TABLE_NAME, one_file: bool = True) -> dict[str, str]:
     """A tabulation in long form (area, variable, value, n) as one CSV file per variable, from one evaluation; other files stay."""
     odd = [v for v in variables if not v.replace("_", "").isalnum()]
     if odd:
