@@ -8,10 +8,14 @@ token is left out of the counts that predict it.
 Counting and looking up are exchanges between chunks of documents and parts of the key space. A chunk sends
 each part its distinct keys with their counts, packed; a part adds up what all chunks sent and sends back the
 sums for the keys of each. So a frequent pair costs one entry per chunk, and no table is held whole anywhere.
+Chunks beyond GROUP are dealt to groups. Parts then meet within a group, and what a group has of a part is exchanged
+again between the groups, in as many ranges as there are groups: so the number of parts stays, a task reads GROUP
+messages at most, or one a group, and messages keep holding many keys.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -22,6 +26,8 @@ from .common import by_bytes, hashed, mix64, remainder, split_runs, work_path
 
 #: Text of a chunk; a longer document is a chunk of its own.
 CHUNK_BYTES = 8 << 20
+#: Chunks that exchange counts directly; more of them do so by groups.
+GROUP = 4096
 #: Keys are sent in six bytes beside their part.
 KEY_BYTES = 6
 BUCKETS = 40
@@ -137,51 +143,104 @@ def _long(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _sums(chunks: DataFrame, parts: int) -> DataFrame:
-    """(kind, part, chunk, sums, tokens, distinct): what the corpus has of the keys a chunk sent to a part, in the order sent.
+SENT = "kind int, cell long, sender long, keys binary, n binary"
+ANSWERS = "kind int, cell long, sender long, sums binary, tokens long, distinct long"
 
-    tokens and distinct, of words, stand at one chunk of each part and are 0 elsewhere.
+
+def _table(ddl: str, rows: list[tuple]):
+    """Rows as an Arrow table of these columns."""
+    import pyarrow as pa
+
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in ddl.split(", ")]
+    return pa.table({name: pa.array(list(column), types[kind]) for (name, kind), column in zip(fields, zip(*rows, strict=True) if rows else [()] * len(fields), strict=True)})
+
+
+def _messages(kind: int, keys: np.ndarray, n: np.ndarray, parts: int, first: int, sender: int) -> list[tuple]:
+    """What a sender has of its keys, a row for each part with any; cells are numbered from first."""
+    order, at = _deal(keys, parts)
+    keys, n = keys[order], n[order]
+    return [(kind, first + p, sender, _short(keys[a:b]), _pack(n[a:b])) for p, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
+
+
+def _added(keys: list[bytes], n: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys of some messages, their sums, and where each message's keys stand among them, one after the other."""
+    every, where = np.unique(np.concatenate([_long(k) for k in keys]), return_inverse=True)
+    return every, np.bincount(where, np.concatenate([_unpack(x) for x in n]), len(every)).astype(np.int64), where
+
+
+def _answers(kind: int, cell: int, senders: list[int], keys: list[bytes], total: np.ndarray, where: np.ndarray, tokens: int, distinct: int) -> list[tuple]:
+    """Each sender's keys' sums in the order sent; tokens and distinct stand at the first row alone."""
+    ends = np.cumsum([len(k) // KEY_BYTES for k in keys])
+    rows = [(kind, cell, s, _pack(total[where[b - len(k) // KEY_BYTES : b]])) for s, k, b in zip(senders, keys, ends, strict=True)]
+    return [(*row, *((0, 0) if i else (tokens, distinct))) for i, row in enumerate(rows)]
+
+
+def _by_cell(batches):
+    """kind, cell, and the lists of senders, keys and counts of each cell; batches are in the order of cells."""
+    at, rows = None, []
+    for batch in batches:
+        for kind, cell, *row in zip(*(batch.column(c).to_pylist() for c in ("kind", "cell", "sender", "keys", "n")), strict=True):
+            if (kind, cell) != at:
+                if rows:
+                    yield *at, *map(list, zip(*rows, strict=True))
+                at, rows = (kind, cell), []
+            rows.append(row)
+    if rows:
+        yield *at, *map(list, zip(*rows, strict=True))
+
+
+def _dealt(sent: DataFrame) -> DataFrame:
+    return sent.repartition("kind", "cell").sortWithinPartitions("kind", "cell", "sender")
+
+
+def _totals(sent: DataFrame) -> DataFrame:
+    """ANSWERS: the sums of each cell's keys over all senders, for each sender."""
+
+    def add(batches):
+        for kind, cell, senders, keys, n in _by_cell(batches):
+            _, total, where = _added(keys, n)
+            yield from _table(ANSWERS, _answers(kind, cell, senders, keys, total, where, int(total.sum()), int((total > 0).sum()))).to_batches()
+
+    return _dealt(sent).mapInArrow(add, ANSWERS)
+
+
+def _sums(chunks: DataFrame, parts: int, groups: int = 1) -> DataFrame:
+    """ANSWERS: what the corpus has of the keys a chunk (sender) sent to a part (cell modulo parts), in the order sent.
+
+    tokens and distinct, of words, add up to those of the corpus. With several groups, a group's sums of each part are
+    dealt to as many ranges of keys, where the groups' sums meet; the answers come back the same way.
     """
 
     def send(batches):
-        import pyarrow as pa
-
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = _Chunk(row)
+                group = int(mix64(np.array([row["chunk"]], np.uint64))[0] % np.uint64(groups))
                 for kind, keys, n in zip((0, 1), (chunk.words, chunk.pairs), chunk.counts(), strict=True):
-                    order, at = _deal(keys, parts)
-                    keys, n = keys[order], n[order]
-                    cut = [(p, _short(keys[a:b]), _pack(n[a:b])) for p, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(cut), pa.int32()), pa.array([c[0] for c in cut], pa.int32()), pa.array([row["chunk"]] * len(cut), pa.int64()), pa.array([c[1] for c in cut], pa.binary()), pa.array([c[2] for c in cut], pa.binary())], ["kind", "part", "chunk", "keys", "n"])
+                    yield from _table(SENT, _messages(kind, keys, n, parts, group * parts, row["chunk"])).to_batches()
 
-    def add(batches):
-        import pyarrow as pa
+    sent = chunks.mapInArrow(send, SENT)
+    if groups == 1:
+        return _totals(sent)
 
-        def close(kind, part, rows):
-            keys = [_long(k) for _, k, _ in rows]
-            every, where = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(where, np.concatenate([_unpack(n) for _, _, n in rows]), len(every)).astype(np.int64)
-            ends = np.cumsum([len(k) for k in keys])
-            sums = [_pack(total[where[b - len(k) : b]]) for k, b in zip(keys, ends, strict=True)]
-            alone = np.zeros((2, len(rows)), np.int64)
-            alone[:, 0] = total.sum(), (total > 0).sum()
-            return pa.RecordBatch.from_arrays([pa.array([kind] * len(rows), pa.int32()), pa.array([part] * len(rows), pa.int32()), pa.array([c for c, _, _ in rows], pa.int64()), pa.array(sums, pa.binary()), pa.array(alone[0]), pa.array(alone[1])], ["kind", "part", "chunk", "sums", "tokens", "distinct"])
-
-        at, rows = None, []
-        for batch in batches:
-            for kind, part, *row in zip(*(batch.column(c).to_pylist() for c in ("kind", "part", "chunk", "keys", "n")), strict=True):
-                if (kind, part) != at:
-                    if rows:
-                        yield close(*at, rows)
-                    at, rows = (kind, part), []
-                rows.append(row)
-        if rows:
-            yield close(*at, rows)
+    def merge(batches):
+        for kind, cell, _, keys, n in _by_cell(batches):
+            every, total, _ = _added(keys, n)
+            yield from _table(SENT, _messages(kind, every, total, groups, cell % parts * groups, cell // parts)).to_batches()
+
+    of_groups = _totals(_dealt(sent).mapInArrow(merge, SENT))
+    back = of_groups.select("kind", (F.col("sender") * parts + F.expr(f"cell div {groups}")).alias("cell"), (F.col("cell") % groups).alias("range"), "sums", "tokens", "distinct")
+
+    def hand_on(left, right):
+        rows, found = left.to_pydict(), right.to_pydict()
+        every, total, where = _added(rows["keys"], rows["n"])
+        order, at = _deal(every, groups)
+        for r, sums in zip(found["range"], found["sums"], strict=True):
+            total[order[at[r] : at[r + 1]]] = _unpack(sums)
+        return _table(ANSWERS, _answers(rows["kind"][0], rows["cell"][0], rows["sender"], rows["keys"], total, where, sum(found["tokens"]), sum(found["distinct"])))
 
-    sent = chunks.mapInArrow(send, "kind int, part int, chunk long, keys binary, n binary")
-    dealt = sent.repartition("kind", "part").sortWithinPartitions("kind", "part", "chunk")
-    return dealt.mapInArrow(add, "kind int, part int, chunk long, sums binary, tokens long, distinct long")
+    return sent.groupBy("kind", "cell").cogroup(back.groupBy("kind", "cell")).applyInArrow(hand_on, ANSWERS)
 
 
 def _with_counts(row: dict, answers: list[tuple], parts: int):
@@ -274,13 +333,13 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     _chunks(docs, text).write.parquet(path)
     chunks = spark.read.schema("chunk long, ids array<long>, marks array<boolean>, sizes binary, numbers binary, words binary").parquet(path)
     totals = chunks.select(F.sum(F.size("ids")).alias("docs"), F.sum(F.size(F.filter("marks", lambda m: ~m))).alias("trained"), F.count("*").alias("chunks")).first()
-    parts = max(1, 2 * totals.chunks)  # so a part has about as many keys as half a chunk
-    _sums(chunks, parts).write.parquet(answers_path)
-    answers = spark.read.schema("kind int, part int, chunk long, sums binary, tokens long, distinct long").parquet(answers_path)
+    parts = max(1, 2 * min(totals.chunks, GROUP))  # so a part has about as many keys of a group as half a chunk
+    _sums(chunks, parts, max(1, math.ceil(totals.chunks / GROUP))).write.parquet(answers_path)
+    answers = spark.read.schema(ANSWERS).parquet(answers_path)
     sizes = answers.where("kind = 0").agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
     even = np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
     model = Mixture(even, sizes.n or 0, sizes.v or 0, totals.trained or 0)
-    both = chunks.groupBy("chunk").cogroup(answers.select("chunk", "kind", "part", "sums").groupBy("chunk"))
+    both = chunks.groupBy("chunk").cogroup(answers.select(F.col("sender").alias("chunk"), "kind", (F.col("cell") % parts).cast("int").alias("part"), "sums").groupBy("chunk"))
 
     def counted(left, right):
         rows, found = left.to_pylist(), right.to_pylist()

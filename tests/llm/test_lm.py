@@ -73,6 +73,22 @@ def test_deleted_scores_against_brute_force(spark, monkeypatch):
         assert not r.held_out or r.deleted_score == r.score
 
 
+def test_groups_of_chunks_exchange_the_same_sums(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 600)
+    docs = spark.createDataFrame(fixture(), "doc_id long, text string").repartition(3)
+    rows = lambda: sorted(tuple(r) for r in lm.score(docs).collect())
+    alone = rows()
+    parts = {}
+    for group in (1, 4, 9):
+        monkeypatch.setattr(lm, "GROUP", group)
+        with monkeypatch.context() as m:
+            m.setattr(lm, "_sums", lambda chunks, n, groups, of=lm._sums: parts.update({group: (n, groups)}) or of(chunks, n, groups))
+            got = rows()
+        assert [r[:5] for r in got] == [r[:5] for r in alone]
+        assert np.allclose([r[5:] for r in got], [r[5:] for r in alone])
+    assert all(n == 2 * group and groups > 1 for group, (n, groups) in parts.items())
+
+
 def test_texts_that_occur_twice_have_higher_deleted_scores(spark):
     r = random.Random(8)
     docs = [(i, " ".join(f"w{r.randrange(300)}" for _ in range(60))) for i in range(200)]
