@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from dataclasses import asdict
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,16 +119,27 @@ def with_run(report: DataFrame, found: dict[int, tuple[int, int, str]]) -> DataF
     return report.withColumns({"sample_households": pick(0, "long"), "sample_rows": pick(1, "long"), "sample_digest": pick(2, "string")})
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that spark.checkpoint.dir names."""
+@lru_cache
+def _own_folder(application: str) -> str:
+    """A folder of one application on one machine, deleted when Python ends."""
+    path = tempfile.mkdtemp(prefix="spark-")
+    atexit.register(shutil.rmtree, path, True)
+    return path
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; where that is unset on one machine (tests), a folder of this application's own. A cluster has to name one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spark-")  # one machine: tests
-        atexit.register(shutil.rmtree, base, True)
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = _own_folder(spark.sparkContext.applicationId)  # the setting can't be changed in a running session
+    return base.rstrip("/")
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
