@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
-import tempfile
 import uuid
 from contextlib import contextmanager
 from functools import lru_cache
@@ -14,18 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset on one machine (tests), a folder of this session's own. A cluster has to name one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-        atexit.register(shutil.rmtree, base, True)
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
+from ..sources.files import shared_dir
 
 #: Paths that work_path() gave within each cleared() that is open.
 _OPEN: list[list[str]] = []
