@@ -21,7 +21,10 @@ from .common import add_columns
 
 ALIGN = 64
 #: Frames of one signal that are worked on at once; a multiple of every AudioSpec.up in use.
-FRAMES_AT_ONCE = 1 << 12
+FRAMES_AT_ONCE = 1 << 9
+#: Samples of several signals that are laid out at once, with the silence between, and bytes of texts or files that a worker takes at once.
+SAMPLES_AT_ONCE = 1 << 18
+BYTES_AT_ONCE = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -106,6 +109,21 @@ def frame_counts(sizes: np.ndarray, spec: AudioSpec) -> np.ndarray:
     return 1 + np.maximum(0, -(-(sizes - spec.frame) // spec.hop))
 
 
+def slots(counts: np.ndarray, spec: AudioSpec) -> np.ndarray:
+    """Samples that signals of so many frames take when laid out one after the other: whole frames and silence, far more than a short text has."""
+    return -(-((counts - 1) * spec.hop + spec.frame + 2 * spec.half_taps) // spec.up) * spec.down * spec.up
+
+
+def groups(payloads: list[bytes], spec: AudioSpec):
+    """Ranges of signals that take SAMPLES_AT_ONCE when laid out, or one longer signal."""
+    each = slots(frame_counts(np.array([len(p) for p in payloads], np.int64) * spec.up // spec.down, spec), spec)
+    ends, at = np.cumsum(each), 0
+    while at < len(payloads):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - each[at] + SAMPLES_AT_ONCE, "right")))
+        yield at, to
+        at = to
+
+
 def log_mel(payloads: list[bytes], spec: AudioSpec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Frames of each signal, and of all frames the log-mel rows and energies, both in dB to two places.
 
@@ -117,8 +135,7 @@ def log_mel(payloads: list[bytes], spec: AudioSpec) -> tuple[np.ndarray, np.ndar
     if len(payloads) == 1 and counts[0] > FRAMES_AT_ONCE:
         parts = [_features(*_block(payloads[0], f, min(int(counts[0]), f + FRAMES_AT_ONCE), spec), spec) for f in range(0, int(counts[0]), FRAMES_AT_ONCE)]
         return counts, *(np.concatenate(x) for x in zip(*parts, strict=True))
-    slots = -(-((counts - 1) * spec.hop + spec.frame + 2 * spec.half_taps) // spec.up) * spec.down * spec.up
-    starts = np.concatenate([[0], np.cumsum(slots)])
+    starts = np.concatenate([[0], np.cumsum(slots(counts, spec))])
     signal = np.zeros(int(starts[-1]))
     for p, at in zip(payloads, starts, strict=False):
         signal[at : at + len(p)] = _samples(p)
@@ -191,7 +208,7 @@ def store(docs: DataFrame, text: str = "text", spec: AudioSpec = AudioSpec()) ->
         data = [(x or "").encode("utf-8", "surrogatepass") for x in texts.to_pylist()]
         return [pa.array([len(d) for d in data], pa.int64()), pa.array([to_wav(padded(d), spec.rate) for d in data], pa.binary())]
 
-    return add_columns(docs, text, "n_bytes long, media binary", make)
+    return add_columns(docs, text, "n_bytes long, media binary", make, most=BYTES_AT_ONCE)
 
 
 def features(docs: DataFrame, media: str = "media", spec: AudioSpec = AudioSpec()) -> DataFrame:
@@ -207,21 +224,15 @@ def features(docs: DataFrame, media: str = "media", spec: AudioSpec = AudioSpec(
         out: list = [(None, None, None)] * len(files)
         there = [i for i, f in enumerate(files) if f is not None]
         payloads = [from_wav(files[i]) for i in there]
-        at = 0
-        while at < len(payloads):  # about a million samples at once
-            to, size = at, 0
-            while to < len(payloads) and (to == at or size + len(payloads[to]) <= 1 << 20):
-                size += len(payloads[to])
-                to += 1
+        for at, to in groups(payloads, spec):
             counts, mel, energy = log_mel(payloads[at:to], spec)
             ends = np.cumsum(counts)
             for k, (a, b) in enumerate(zip(ends - counts, ends, strict=True), at):
                 out[there[k]] = (payloads[k], tensors(mel[a:b], spec), [{"start_s": x, "end_s": y} for x, y in segments(energy[a:b], spec)])
-            at = to
         kinds = pa.binary(), pa.binary(), pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
         return [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]
 
-    return add_columns(docs, media, "payload binary, log_mel binary, segments array<struct<start_s:double,end_s:double>>", make)
+    return add_columns(docs, media, "payload binary, log_mel binary, segments array<struct<start_s:double,end_s:double>>", make, most=BYTES_AT_ONCE)
 
 
 def described(docs: DataFrame, *more: str) -> DataFrame:

@@ -1,12 +1,13 @@
 import hashlib
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from strata_spark.llm import media
+from strata_spark.llm import common, media
 from strata_spark.llm.media import AudioSpec
 
 
@@ -157,3 +158,33 @@ def test_log_mel_and_segments_by_definition(spec):
         counts, mel, energy = media.log_mel([payload], spec)
         assert counts.tolist() == [len(rows)] and np.abs(mel - np.array(rows)).max() < 0.006 and np.abs(energy - np.array(energies)).max() < 0.006
         assert media.segments(np.array(energies), spec) == [pytest.approx(s) for s in spans]
+
+
+@pytest.mark.parametrize("texts", [["ab"] * 4000, ["A text of a usual length. " * 100] * 3000], ids=["short", "usual"])
+def test_a_worker_holds_little_of_an_arrow_batch(texts, monkeypatch):
+    made = []
+    monkeypatch.setattr(media, "add_columns", lambda df, column, ddl, make, **more: made.append((make, more)))
+    media.store(None)
+    media.features(None)
+    values = pa.array(texts)
+    for (make, more), new in zip(made, (1, 0), strict=True):
+        out, peaks = [], []
+        for part in common.slices([pa.RecordBatch.from_arrays([values], ["x"])], 0, **more):
+            tracemalloc.start()
+            out.append(make(part.column(0))[new])
+            peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+            tracemalloc.stop()
+        values = pa.concat_arrays(out)
+        assert len(values) == len(texts) and max(peaks) < 30
+    assert values.to_pylist() == [media.padded(t.encode()) for t in texts]
+
+
+def test_groups_take_every_signal_once_and_are_bounded_with_their_silence():
+    spec, r = AudioSpec(), np.random.default_rng(5)
+    payloads = [bytes(64 * int(n)) for n in [*r.integers(1, 50, 3000), 9000, 1, 1, 9000]]
+    found = list(media.groups(payloads, spec))
+    assert [a for a, _ in found] == [0, *(b for _, b in found[:-1])] and found[-1][1] == len(payloads)
+    for a, b in found:
+        counts = media.frame_counts(np.array([len(p) for p in payloads[a:b]]) * spec.up // spec.down, spec)
+        assert b == a + 1 or media.slots(counts, spec).sum() <= media.SAMPLES_AT_ONCE
+    assert list(media.groups([], spec)) == []
